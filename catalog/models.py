@@ -18,16 +18,20 @@ def query(fn):
     return fn
 
 
-def featured(spark, d, size=2**18):
-    """Labelled texts as term counts, computed once for fitting and predicting."""
-    terms = durable(bow.with_terms(t.labelled(spark, d)).select("mention_id", "label", "words"))
-    vocab = bow.vocabulary(bow.term_frequency(terms), size)
-    return m.vectorized(terms, vocab)
+def terms(spark, d):
+    """Labelled texts as term arrays, computed once for vocabulary, fitting and predicting."""
+    return durable(bow.with_terms(t.labelled(spark, d)).select("mention_id", "label", "words"))
+
+
+def featured(spark, d, kind="multinomial"):
+    docs = terms(spark, d)
+    if kind == "gaussian":  # dense statistics: a few features
+        return m.vectorized(docs, vocab=bow.vocabulary(bow.array_frequency(docs), FEW))
+    return m.vectorized(docs)
 
 
 def predicted(spark, d, kind):
-    size = FEW if kind == "gaussian" else 2**18
-    train, test = m.key_split(featured(spark, d, size), "mention_id")
+    train, test = m.key_split(featured(spark, d, kind), "mention_id")
     return m.predictions(m.naive_bayes(train, kind), test, KEY)
 
 

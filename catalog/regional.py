@@ -78,14 +78,14 @@ def keep_last_per_user(spark, d):
 @query
 def parse_join_date(spark, d):
     people = t.authors(spark, d)
-    return people.select("user_id", "user_join_date", v.parse_join_date(F.col("user_join_date")).alias("join_date"))
+    return people.select(F.col("author_id").alias("user_id"), "user_join_date", v.parse_join_date(F.col("user_join_date")).alias("join_date"))
 
 
 @query
 def join_date_parts(spark, d):
     day = v.parse_join_date(F.col("user_join_date"))
     return t.authors(spark, d).select(
-        "user_id", F.year(day).alias("y"), F.month(day).alias("m"), F.dayofmonth(day).alias("d")
+        F.col("author_id").alias("user_id"), F.year(day).alias("y"), F.month(day).alias("m"), F.dayofmonth(day).alias("d")
     )
 
 

@@ -43,7 +43,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """user_id, region, country, user_join_date (text in several notations)."""
+    """author_id, region, country, user_join_date (text in several notations)."""
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read(spark, sf_dir, "nation")
     region = read(spark, sf_dir, "region")
@@ -66,7 +66,7 @@ def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(first_order, F.col("c_custkey") == F.col("o_custkey"), "left")
         .select(
-            F.col("c_custkey").alias("user_id"),
+            F.col("c_custkey").alias("author_id"),
             F.col("n_name").alias("region"),
             F.col("r_name").alias("country"),
             written.alias("user_join_date"),
@@ -78,7 +78,9 @@ def _with_authors(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFra
     """Attach the author row; some mentions have no user or no known region."""
     people = authors(spark, sf_dir)
     small = fits_broadcast(read(spark, sf_dir, "customer").select("c_custkey"))
-    out = lookup_join(facts, people, ["user_id"], "left", small=small, salt_by=["mention_id"])
+    out = lookup_join(
+        facts, people, {"user_id": "author_id"}, small=small, salt_by=["mention_id"]
+    )
     return out.withColumn(
         "user_id", F.when(F.col("mention_id") % 29 != 0, F.col("user_id"))
     ).withColumn("region", F.when(F.col("mention_id") % 31 != 0, F.col("region")))

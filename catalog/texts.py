@@ -216,4 +216,4 @@ def bag_of_words(spark, d):
 
 @query
 def term_topk(spark, d):
-    return bow.term_topk(bow.term_frequency(bow.with_terms(docs(spark, d))))
+    return bow.term_topk(bow.term_frequency(bow.words_of(docs(spark, d), KEY)))

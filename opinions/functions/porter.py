@@ -49,13 +49,24 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _first(tests: Iterable[tuple[Column, Column | str]]) -> Column:
+    """Value of the first test that holds, else an empty string."""
+    out = None
+    for hit, value in tests:
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out.otherwise("")
+
+
 def _ending(word: Column, suffixes: Iterable[str]) -> Column:
     """The longest listed suffix that ends the word, else an empty string."""
-    out = None
+    groups: dict[str, list[str]] = {}
     for s in sorted(suffixes, key=len, reverse=True):
-        hit = word.endswith(s)
-        out = F.when(hit, s) if out is None else out.when(hit, s)
-    return out.otherwise("")
+        groups.setdefault(s[-1], []).append(s)
+    # One letter rules out most suffixes at once.
+    return _first(
+        (word.endswith(letter), _first((word.endswith(s), s) for s in group))
+        for letter, group in groups.items()
+    )
 
 
 def _rewrite(

@@ -50,8 +50,17 @@ def bag_of_words(
     return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def term_frequency(docs: DataFrame, words: str = "words") -> DataFrame:
-    """term, freq, docs over all texts, from their term arrays."""
+def term_frequency(words: DataFrame) -> DataFrame:
+    """term, freq over all texts, from unstemmed words: counted first, so each distinct word is
+    stemmed once."""
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(stem(F.col("word")).alias("term")).agg(F.sum("n").alias("freq"))
+
+
+def array_frequency(docs: DataFrame, words: str = "words") -> DataFrame:
+    """term, freq over all texts, from their term arrays."""
+    # Exploding an expression, not a bare column: Spark would else test the array for emptiness
+    # below the projection that makes it, and so clean and stem every text again.
     terms = docs.select(F.explode(F.concat(F.col(words), F.array().cast("array<string>"))).alias("term"))
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
 

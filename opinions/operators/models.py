@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -14,10 +14,18 @@ from opinions.functions.values import in_test_split
 FEATURES = "features"
 
 
-def vectorized(docs: DataFrame, vocab: Sequence[str], words: str = "words") -> DataFrame:
-    """Add ``features``: term counts over a fixed, ordered vocabulary."""
-    model = CountVectorizerModel.from_vocabulary(list(vocab), words, FEATURES)
-    return model.transform(docs)
+def vectorized(
+    docs: DataFrame, words: str = "words", size: int = 2**18, min_docs: int = 1, vocab: Sequence[str] | None = None
+) -> DataFrame:
+    """Add ``features``: term counts over the ``size`` most frequent terms, or over ``vocab``.
+
+    The fitted vocabulary is bounded by ``size``; which of several equally frequent terms it ends
+    with is not fixed, so name a short ``vocab`` where that matters.
+    """
+    if vocab is not None:
+        return CountVectorizerModel.from_vocabulary(list(vocab), words, FEATURES).transform(docs)
+    counter = CountVectorizer(inputCol=words, outputCol=FEATURES, vocabSize=size, minDF=min_docs)
+    return counter.fit(docs).transform(docs)
 
 
 def key_split(df: DataFrame, key: str, folds: int = 5) -> tuple[DataFrame, DataFrame]:

@@ -24,14 +24,17 @@ SCORES = ("neg", "neu", "pos", "compound")
 SUM_DIGITS = 9
 
 
-def _one_of(c: Column, words: Iterable[str]) -> Column:
-    return F.array_contains(F.array(*[F.lit(w) for w in words]).cast("array<string>"), c)
+def _quoted(word: str) -> str:
+    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _lookup(c: Column, table: dict[str, float]) -> Column:
-    """Value of ``c`` in a small literal table, null if absent."""
-    pairs = [F.lit(x) for k, v in table.items() for x in (k, float(v))]
-    return F.try_element_at(F.create_map(*pairs).cast("map<string,double>"), c)
+def word_list(words: Iterable[str]) -> Column:
+    return F.expr(f"cast(array({', '.join(_quoted(w) for w in words)}) AS array<string>)")
+
+
+def word_table(table: dict[str, float]) -> Column:
+    pairs = ", ".join(f"{_quoted(w)}, {float(v)!r}D" for w, v in table.items())
+    return F.expr(f"cast(map({pairs}) AS map<string, double>)")
 
 
 def emphasis(cleaned: Column, rules: RuleSet) -> Column:
@@ -62,11 +65,9 @@ def tokenized(docs: DataFrame, rules: RuleSet, keys: Sequence[str], text: str) -
 def _context(rows: DataFrame) -> DataFrame:
     """Neighbours of the first place where the same token occurs; positions start at 1."""
     first = F.array_position("toks", F.col("tok")).cast("int")
-    rows = rows.withColumn("first", first)
     shift = {"b1": -2, "b2": -3, "b3": -4, "a1": 0, "a2": 1}
-    return rows.withColumns(
-        {name: F.get("toks", F.col("first") + by) for name, by in shift.items()}
-    ).drop("toks")
+    near = [F.get("toks", F.col("first") + by).alias(name) for name, by in shift.items()]
+    return rows.select("*", first.alias("first"), *near).drop("toks")
 
 
 def token_context(
@@ -105,19 +106,20 @@ def scored_tokens(
     )
     if not keep_texts:
         rows = rows.filter("pos > 0")
-    rows = rows.withColumn("low", F.lower("tok"))
+    rows = rows.select("*", F.lower("tok").alias("low"))
 
     def known(df: DataFrame) -> DataFrame:
-        names = lex.select(F.col("token").alias("low"), "valence")
-        out = lookup_join(df, names, ["low"], "left", small=small, salt_by=salt_by)
+        out = lookup_join(df, lex, {"low": "token"}, small=small, salt_by=salt_by)
         return out.filter(F.col("valence").isNotNull() | (F.col("pos") == 0))
 
     # A lexicon too large to broadcast shuffles the tokens, so the array must be gone before.
     hits = _context(known(rows)) if small else known(_context(rows))
+    hits = hits.select("*", *[F.lower(b).alias(f"low_{b}") for b in ("b1", "b2", "b3")])
     for b in ("b1", "b2", "b3"):
-        side = lex.select(F.col("token").alias(f"low_{b}"), F.col("valence").alias(f"val_{b}"))
-        hits = hits.withColumn(f"low_{b}", F.lower(b))
-        hits = lookup_join(hits, side, [f"low_{b}"], "left", small=small, salt_by=salt_by)
+        # The same table under the same names each time: one broadcast serves all joins.
+        hits = hits.withColumnRenamed("valence", "_kept")
+        hits = lookup_join(hits, lex, {f"low_{b}": "token"}, small=small, salt_by=salt_by)
+        hits = hits.withColumnsRenamed({"valence": f"val_{b}", "_kept": "valence"})
     return _apply_rules(hits, rules)
 
 
@@ -127,13 +129,16 @@ def _apply_rules(hits: DataFrame, rules: RuleSet) -> DataFrame:
     code small enough for the JVM to compile."""
     col = F.col
     never_2, never_3 = rules.never_factors
-    pairs = [k for k in rules.boosters if " " in k]
-    links = {b: F.coalesce(_one_of(col(b), rules.never_links), F.lit(False)) for b in ("b1", "b2")}
+    boosters, booster_words = word_table(rules.boosters), word_list(rules.boosters)
+    idioms, idiom_phrases = word_table(rules.idioms), word_list(rules.idioms)
+    negators, never_links = word_list(rules.negators), word_list(rules.never_links)
+    pairs = word_list(k for k in rules.boosters if " " in k)
+    links = {b: F.coalesce(F.array_contains(never_links, col(b)), F.lit(False)) for b in ("b1", "b2")}
 
     def negated(b: str) -> Column:
         low = col(f"low_{b}")
         return F.when(
-            _one_of(low, rules.negators) | low.contains(rules.contraction), rules.negation_factor
+            F.array_contains(negators, low) | low.contains(rules.contraction), rules.negation_factor
         ).otherwise(1.0)
 
     flips = {
@@ -147,9 +152,9 @@ def _apply_rules(hits: DataFrame, rules: RuleSet) -> DataFrame:
     for factor, b in zip(rules.distance_factors, ("b1", "b2", "b3")):
         free = col(b).isNotNull() & col(f"val_{b}").isNull()
         words[f"lift_{b}"] = F.coalesce(
-            F.when(free, _lookup(col(f"low_{b}"), rules.boosters) * factor), F.lit(0.0)
+            F.when(free, F.try_element_at(boosters, col(f"low_{b}")) * factor), F.lit(0.0)
         )
-        loud = free & col("mixed") & _one_of(col(f"low_{b}"), rules.boosters) & is_upper(col(b))
+        loud = free & col("mixed") & F.array_contains(booster_words, col(f"low_{b}")) & is_upper(col(b))
         words[f"loud_{b}"] = F.when(loud, rules.caps_step * factor).otherwise(0.0)
         words[f"flip_{b}"] = F.when(free, flips[b]).otherwise(1.0)
 
@@ -168,45 +173,50 @@ def _apply_rules(hits: DataFrame, rules: RuleSet) -> DataFrame:
         phrase("b3", "b2", "b1"),
         phrase("b3", "b2"),
     )
-    matching = F.filter(phrases, lambda p: _one_of(p, rules.idioms))
-    words["idiom"] = F.when(far, _lookup(F.get(matching, F.lit(0)), rules.idioms))
-    damped = far & (_one_of(phrase("b3", "b2"), pairs) | _one_of(phrase("b2", "b1"), pairs))
+    matching = F.filter(phrases, lambda p: F.array_contains(idiom_phrases, p))
+    words["idiom"] = F.when(far, F.try_element_at(idioms, F.get(matching, F.lit(0))))
+    damped = far & (F.array_contains(pairs, phrase("b3", "b2")) | F.array_contains(pairs, phrase("b2", "b1")))
     words["damp"] = F.when(damped, rules.bigram_step).otherwise(0.0)
 
-    exempt = F.coalesce(_one_of(col("low_b2"), rules.least_exempt), F.lit(False))
+    exempt = F.coalesce(
+        F.array_contains(word_list(rules.least_exempt), col("low_b2")), F.lit(False)
+    )
     least = (col("low_b1") == rules.least_word) & col("val_b1").isNull() & ~exempt
     words["flip_least"] = F.when(least, rules.negation_factor).otherwise(1.0)
 
     low = F.lower("tok")
     softened = (low == rules.softener[0]) & (F.lower("a1") == rules.softener[1])
-    silent = _one_of(low, rules.boosters) | F.coalesce(softened, F.lit(False))
+    silent = F.array_contains(booster_words, low) | F.coalesce(softened, F.lit(False))
     turn, pos = col("turn"), col("pos")
     before, after = rules.contrast_factors
     words["flip_turn"] = (
         F.when((turn > 0) & (pos < turn), before).when((turn > 0) & (pos > turn), after).otherwise(1.0)
     )
     words["silent"] = silent
-    out = hits.withColumns(words)
-
     def side(run: Column) -> Column:
         """1 above zero, else -1."""
         return F.when(run > 0, 1.0).otherwise(-1.0)
 
-    valence = col("valence")
-    out = out.withColumn(
-        "v_caps", valence + F.when(col("shout"), rules.caps_step).otherwise(0.0) * side(valence)
-    )
-    prior = "v_caps"
-    for k, b in enumerate(("b1", "b2", "b3"), start=1):
-        run = col(prior)
-        lift = col(f"lift_{b}") * F.when(run < 0, -1.0).otherwise(1.0)
-        out = out.withColumn(f"boost{k}", lift + col(f"loud_{b}") * side(run))
-        out = out.withColumn(f"v{k}", (run + col(f"boost{k}")) * col(f"flip_{b}"))
-        prior = f"v{k}"
-    out = out.withColumn("v_idiom", F.coalesce("idiom", "v3") + col("damp"))
-    out = out.withColumn("v_least", col("v_idiom") * col("flip_least"))
-    out = out.withColumn("score", F.when(col("silent"), 0.0).otherwise(col("v_least")))
-    return out.withColumn("weighted", col("score") * col("flip_turn"))
+    def push(b: str, run: Column) -> Column:
+        return col(f"lift_{b}") * F.when(run < 0, -1.0).otherwise(1.0) + col(f"loud_{b}") * side(run)
+
+    # Each value may name the ones before it.
+    value = col("valence")
+    values = {
+        "v_caps": value + F.when(col("shout"), rules.caps_step).otherwise(0.0) * side(value),
+        "boost1": push("b1", col("v_caps")),
+        "v1": (col("v_caps") + col("boost1")) * col("flip_b1"),
+        "boost2": push("b2", col("v1")),
+        "v2": (col("v1") + col("boost2")) * col("flip_b2"),
+        "boost3": push("b3", col("v2")),
+        "v3": (col("v2") + col("boost3")) * col("flip_b3"),
+        "v_idiom": F.coalesce("idiom", "v3") + col("damp"),
+        "v_least": col("v_idiom") * col("flip_least"),
+        "score": F.when(col("silent"), 0.0).otherwise(col("v_least")),
+        "weighted": col("score") * col("flip_turn"),
+    }
+    out = hits.select("*", *[c.alias(n) for n, c in words.items()])
+    return out.select("*", *[c.alias(n) for n, c in values.items()])
 
 
 def sentiment_scores(
@@ -239,7 +249,7 @@ def finish_scores(hits: DataFrame, rules: RuleSet, keys: Iterable[str]) -> DataF
     emph = F.col("emph")
     sums = sums.withColumns(
         {
-            "total": F.col("total") + F.signum(total) * emph,
+            "total": F.when(total == 0, 0.0).otherwise(F.col("total") + F.signum(total) * emph),
             "up_all": F.col("up") + F.when(up > down, emph).otherwise(0.0),
             "down_all": F.col("down") + F.when(down > up, emph).otherwise(0.0),
             "flat": (F.col("n") - F.col("loud")).cast("double"),
@@ -250,7 +260,7 @@ def finish_scores(hits: DataFrame, rules: RuleSet, keys: Iterable[str]) -> DataF
         return F.coalesce(F.round(F.try_divide(F.col(name), F.col("mass")), 3), F.lit(0.0))
 
     s = F.col("total")
-    compound = F.round(s / F.sqrt(s * s + rules.squash), 4)
+    compound = F.round(s / F.sqrt(s * s + rules.squash), 4) + 0.0  # no negative zero
     return sums.select(
         *keys,
         F.when(F.col("n") > 0, part("down_all")).otherwise(0.0).alias("neg"),

@@ -265,10 +265,10 @@ SELECT mention_id,
   CASE WHEN n = 0 THEN 0 ELSE round(down2 / (up2 + down2 + flat), 3) END AS neg,
   CASE WHEN n = 0 THEN 0 ELSE round(flat / (up2 + down2 + flat), 3) END AS neu,
   CASE WHEN n = 0 THEN 0 ELSE round(up2 / (up2 + down2 + flat), 3) END AS pos,
-  CASE WHEN n = 0 THEN 0 ELSE round(total2 / sqrt(total2 * total2 + 15), 4) END AS compound
+  CASE WHEN n = 0 THEN 0 ELSE round(total2 / sqrt(total2 * total2 + 15), 4) + 0.0::DOUBLE END AS compound
 FROM (
   SELECT *,
-    CASE WHEN round(total, 9) > 0 THEN total + emph WHEN round(total, 9) < 0 THEN total - emph ELSE total END AS total2,
+    CASE WHEN round(total, 9) > 0 THEN total + emph WHEN round(total, 9) < 0 THEN total - emph ELSE 0 END AS total2,
     CASE WHEN round(up, 9) > round(down, 9) THEN up + emph ELSE up END AS up2,
     CASE WHEN round(down, 9) > round(up, 9) THEN down + emph ELSE down END AS down2
   FROM sums)
