@@ -1,0 +1,164 @@
+import datetime as dt
+
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from opinions.functions import values as v
+from opinions.operators import joins, scope
+from opinions.plans import regional as r
+
+S = ("a", "b")
+COLUMNS = "mention_id long, subject string, user_id long, polarity int, country string, region string, user_join_date string, ts timestamp"
+T0 = dt.datetime(2020, 10, 1)
+ROWS = [
+    (1, "a", 1, 1, "X", "R1", "08/01/2020", T0),
+    (2, "a", 1, -1, "X", "R1", "08/01/2020", T0),
+    (3, "a", 1, 1, "X", "R2", "08/01/2020", T0),  # three texts of one user at the same time
+    (4, "b", 1, 1, "X", "R1", "08/01/2020", T0),
+    (5, "a", 2, 1, "X", "R1", "09-01-2020", T0),  # joined on the cutoff day
+    (6, "b", 3, 1, "X", "R3", "9/1/2019", T0),  # region of one subject only
+    (7, "b", 4, 0, "X", None, "01/01/2020", T0),
+    (8, "a", 5, 1, "X", "OUT", "01/01/2020", T0),
+    (9, "a", 6, 1, "Y", "R1", "01/01/2020", T0),
+    (10, "b", None, 1, "X", "R1", "01/01/2020", T0),
+    (11, "b", 7, 1, "X", "R2", "", T0),
+    (12, "b", 8, -1, "X", "R2", "2020-08-31 10:00:00", T0),
+    (13, "b", 8, 1, "X", "R2", "2020-08-31 10:00:00", T0 + dt.timedelta(days=1)),
+]
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return spark.createDataFrame(ROWS, COLUMNS)
+
+
+@pytest.fixture(scope="module")
+def scoped(raw):
+    return scope.region_scope(scope.drop_missing_user(raw), ["X"], ["OUT"])
+
+
+def ids(df):
+    return sorted(x["mention_id"] for x in df.select("mention_id").collect())
+
+
+def test_scope(scoped):
+    assert ids(scoped) == [1, 2, 3, 4, 5, 6, 11, 12, 13]
+
+
+def test_populations_by_order(scoped):
+    assert ids(scope.population(scoped, "users")) == [1, 4, 5, 6, 11, 12]
+    assert ids(scope.population(scoped, "established", "2020-09-01")) == [1, 4, 6, 12]
+    # Positive texts first: the user whose first text is negative counts, with the last positive one.
+    assert ids(scope.population(scoped, "mentions", order="positive_first")) == [1, 3, 4, 5, 6, 11, 13]
+    assert ids(scope.population(scoped, "users", order="positive_first")) == [3, 4, 5, 6, 11, 13]
+    assert ids(scope.population(scoped, "established", "2020-09-01", "positive_first")) == [3, 4, 6, 13]
+
+
+def test_populations_nest(scoped):
+    sets = [set(ids(scope.population(scoped, k, "2020-09-01"))) for k in ("established", "users", "mentions")]
+    assert sets[0] <= sets[1] <= sets[2]
+    with pytest.raises(ValueError):
+        scope.population(scoped, "nobody")
+
+
+def test_user_dedup_is_limited_before_the_shuffle(scoped):
+    plan = scope.one_per_user(scoped)._jdf.queryExecution().executedPlan().toString()
+    limits = [i for i, line in enumerate(plan.splitlines()) if "WindowGroupLimit" in line]
+    exchange = next(i for i, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning" in line)
+    assert len(limits) == 2 and limits[0] < exchange < limits[1]
+
+
+def test_filters_reach_the_scan(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet").select(
+        F.col("event_id").alias("mention_id"), "user_id", F.col("event_type").alias("country"),
+        F.col("props").alias("region"), F.lit("").alias("user_join_date"),
+    )
+    plan = scope.region_scope(scope.drop_missing_user(events), ["view"], ["x"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "In(event_type" in text or "EqualTo(event_type" in text
+    assert "IsNotNull(user_id)" in text and "value" not in text.split("ReadSchema")[1]
+
+
+def test_join_dates(spark):
+    cases = [
+        ("09/01/2020", "2020-09-01"), ("9-1-2020", "2020-09-01"), ("2020-09-01 10:00:00", "2020-09-01"),
+        ("2020/9/1", "2020-09-01"), ("", None), ("soon", None), (None, None), ("13/13/2020", None),
+    ]
+    df = spark.createDataFrame(cases, "s string, want string")
+    got = df.select("s", v.parse_join_date(F.col("s")).cast("string").alias("got"), "want").collect()
+    assert [(x["s"], x["got"]) for x in got] == cases
+
+
+def test_cross_mention(spark):
+    rows = [(1, "a", "I like Bee"), (2, "a", "I like ay"), (3, "b", "AY AY"), (4, "b", "bee"), (5, "a", None)]
+    df = spark.createDataFrame(rows, "mention_id long, subject string, text string")
+    assert ids(scope.exclude_cross_mention(df, {"a": "bee", "b": "ay"})) == [2, 4]
+
+
+def test_keep_columns(raw):
+    assert scope.keep_columns(raw, ["user_id", "region", "city"]).columns == ["user_id", "region"]
+
+
+def test_labels(spark):
+    df = spark.createDataFrame([(-1, "a"), (0, "a"), (1, "a"), (-1, "b"), (0, "b"), (1, "b")], "p int, s string")
+    out = df.select(
+        v.recode(F.col("p"), {-1: 0, 0: 2, 1: 1}, False),
+        v.recode(F.col("p"), {-1: 1, 1: 2}, True),
+        v.recode(F.col("p"), {-1: 3}, False),
+        v.joint_class(F.col("s"), F.col("p"), S),
+    ).collect()
+    assert [tuple(x) for x in out] == [
+        (0, 1, 3, 1), (2, 0, None, 0), (1, 2, None, 2), (0, 1, 3, 3), (2, 0, None, 0), (1, 2, None, 4),
+    ]
+
+
+def test_numbers_from_text(spark):
+    df = spark.createDataFrame([("12",), (" 7",), ("n/a",), (None,)], "w string")
+    assert [x[0] for x in df.select(v.to_int(F.col("w"))).collect()] == [12, 7, None, None]
+
+
+def test_regions(spark, scoped):
+    both = r.positive_by_region(scoped, S)
+    assert values(both, "region", "n_a", "n_b") == [("R1", 2, 1), ("R2", 1, 2)]
+    led = r.with_leader(both, S)
+    outcome = spark.createDataFrame(
+        [("R1", "a", "12", "3", "2"), ("R2", "a", " 7", "1", "4"), ("R3", "b", "n/a", "1", "0")],
+        "region string, winner string, weight string, votes_a string, votes_b string",
+    )
+    assert values(r.weight_totals(r.weights_join(led, outcome)), "leader", "weight") == [("a", 12), ("b", 7)]
+    spine = spark.createDataFrame([("R1",), ("R2",), ("R3",), ("R4",)], "region string")
+    board = r.scoreboard(scoped, spine, S)
+    assert values(board, "region", "n_a", "n_b", "ratio", "leader") == [
+        ("R1", 2, 1, 2.0, "a"), ("R2", 1, 2, 0.5, "b"), ("R3", 0, 1, 0.0, "b"), ("R4", 0, 0, None, "b"),
+    ]
+    assert board.count() == spine.count()
+    assert values(r.outcome_agreement(board, outcome)) == [(2,)]
+    assert values(r.actual_weights(outcome, S), "team", "weight") == [("a", 19), ("b", 0)]
+    assert values(r.predicted_weights(board, outcome, S), "team", "weight") == [("a", 12), ("b", 7)]
+    assert values(r.outcome_ratio(outcome), "region", "ratio_actual") == [("R1", 1.5), ("R2", 0.25), ("R3", None)]
+    corr = r.ratio_correlation(board, outcome).collect()[0]
+    assert abs(corr["r"] - 1.0) < 1e-9 and corr["regions"] == 2
+
+
+def test_polarity_needs_every_subject(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1)], "subject string, polarity int")
+    assert values(r.polarity_distribution(df, S), "polarity", "n_a", "n_b") == [(1, 1, 1)]
+
+
+def test_ties(spark):
+    df = spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "x int, y int")
+    first = [x[0] for x in df.select(v.leader_of(F.col("x"), F.col("y"), S, "first")).collect()]
+    second = [x[0] for x in df.select(v.leader_of(F.col("x"), F.col("y"), S, "second")).collect()]
+    assert first == ["a", "a", "b"] and second == ["b", "a", "b"]
+
+
+def test_lookup_join_beyond_the_broadcast_bound(spark):
+    facts = spark.range(2000).selectExpr("id", "if(id % 3 = 0, 0, id % 50) AS k")  # one hot key
+    dim = spark.range(40).selectExpr("id AS k", "concat('v', id) AS val")
+    assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, max_rows=39)
+    assert not joins.fits_broadcast(dim, max_bytes=100)
+    small = joins.lookup_join(facts, dim, {"k": "k"}, small=True)
+    large = joins.lookup_join(facts, dim, {"k": "k"}, small=False, salt_by=["id"], salts=4)
+    assert small.columns == large.columns == ["id", "k", "val"]
+    assert values(small) == values(large)
