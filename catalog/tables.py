@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinions.operators.joins import fits_broadcast, lookup_join
 from opinions.rules import RuleSet
-from opinions.sources.io import fill_cluster
+from opinions.sources.io import fill_cluster, read_parquet
 
 SUBJECTS = ("a", "b")
 COUNTRIES = ("AMERICA", "EUROPE", "ASIA")
@@ -38,8 +38,22 @@ RULES = RuleSet(
 )
 
 
+# Declared schemas: no job per table just to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
 def authors(spark: SparkSession, sf_dir: str) -> DataFrame:

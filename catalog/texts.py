@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from catalog import tables as t
 from opinions.functions import text as x
 from opinions.functions.porter import step_1a
+from opinions.functions.values import polarity_of
 from opinions.operators import bow, langid, scope
 from opinions.operators import sentiment as sen
+from opinions.operators.durable import durable
 from opinions.plans import texts as plan
-from opinions.functions.values import polarity_of
 
 QUERIES = {}
 KEY = ["mention_id"]
@@ -156,15 +157,20 @@ def sentiment_label(spark, d):
     return scores.select("mention_id", polarity_of(F.col("compound")).alias("polarity"))
 
 
+def language_words(spark, d):
+    """Word counts per language, read by the profiles and by the table of frequent words."""
+    return durable(langid.word_counts(docs(spark, d)))
+
+
 @query
 def langid_profiles(spark, d):
-    out = langid.langid_profiles(docs(spark, d))
+    out = langid.langid_profiles(langid.word_counts(docs(spark, d)))
     return out.select("lang", "gram", "n", F.round("logp", 6).alias("logp"))
 
 
 def predicted(spark, d):
-    texts = docs(spark, d)
-    return langid.langid_predict(texts, langid.langid_profiles(texts), t.LANGS)
+    words = language_words(spark, d)
+    return langid.langid_predict(docs(spark, d), langid.langid_profiles(words), t.LANGS, words=words)
 
 
 @query
@@ -179,9 +185,8 @@ def langid_filter(spark, d):
 
 @query
 def scored_mentions(spark, d):
-    raw = t.text_mentions(spark, d)
-    profiles = langid.langid_profiles(docs(spark, d))
-    return plan.scored_mentions(raw, t.lexicon(spark, d), profiles, t.LANGS, t.RIVALS, rules=t.RULES)
+    raw, words = t.text_mentions(spark, d), language_words(spark, d)
+    return plan.scored_mentions(raw, t.lexicon(spark, d), words, t.LANGS, t.RIVALS, rules=t.RULES)
 
 
 @query

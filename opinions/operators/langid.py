@@ -1,8 +1,9 @@
 """Language identification from character n-grams.
 
 Profiles are learned from labelled texts; prediction adds up log-probabilities of the grams that
-any profile holds. The profile table has at most ``top`` rows per language, so it can be broadcast
-whatever the size of the texts; gram rows are summed per text in the task that reads the text.
+any profile holds. The score of a word depends on the word alone, so frequent words are scored once,
+in a table, and only other words are cut into grams. Both tables are bounded by a parameter and can
+be broadcast whatever the size of the texts; sums are made per text in the task that reads the text.
 """
 
 from __future__ import annotations
@@ -32,16 +33,19 @@ def word_grams(word: Column, sizes: Sequence[int] = (1, 2, 3)) -> Column:
     return F.concat(*[grams(s) for s in sizes])
 
 
-def langid_profiles(labelled: DataFrame, top: int = 500, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, gram, n, logp: the ``top`` most frequent grams per language with add-one log-probability.
-
-    Words are counted before they are cut into grams, so a frequent word is cut once per task.
-    """
-    words = (
-        labelled.select(F.col(lang).alias("lang"), F.explode(words_for_grams(F.col(text))).alias("word"))
+def word_counts(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """lang, word, c: how often each word occurs; counted next to the scan, then combined."""
+    words = F.explode(words_for_grams(F.col(text))).alias("word")
+    return (
+        labelled.select(F.col(lang).alias("lang"), words)
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("c"))
     )
+
+
+def langid_profiles(words: DataFrame, top: int = 500) -> DataFrame:
+    """lang, gram, n, total, v, logp from ``word_counts``: the ``top`` most frequent grams per
+    language with add-one log-probability."""
     counts = (
         words.select("lang", "c", F.explode(word_grams(F.col("word"))).alias("gram"))
         .groupBy("lang", "gram")
@@ -75,23 +79,48 @@ def wide_profiles(profiles: DataFrame, langs: Sequence[str]) -> DataFrame:
     )
 
 
+def word_scores(words: DataFrame, wide: DataFrame, langs: Sequence[str], top: int = 20_000) -> DataFrame:
+    """word, w_<lang>: summed log-probabilities of the ``top`` most frequent words."""
+    frequent = words.groupBy("word").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "word").limit(top)
+    grams = frequent.select("word", F.explode(word_grams(F.col("word"))).alias("gram"))
+    return (
+        grams.join(F.broadcast(wide), "gram", "left")
+        .groupBy("word")
+        .agg(*[F.sum(f"lp_{g}").alias(f"w_{g}") for g in langs])
+    )
+
+
 def langid_predict(
     docs: DataFrame,
     profiles: DataFrame,
     langs: Sequence[str],
     keys: Sequence[str] = ("mention_id",),
     text: str = "text",
+    words: DataFrame | None = None,
 ) -> DataFrame:
-    """keys, pred, best: the likeliest language; no known gram gives null. Ties go by language code."""
+    """keys, pred, best: the likeliest language; no known gram gives null. Ties go by language code.
+
+    ``words`` (``word_counts`` of any corpus like this one) only makes it faster.
+    """
     langs = sorted(langs)
     wide = wide_profiles(profiles, langs)
-    words = docs.select(*keys, F.explode_outer(words_for_grams(F.col(text))).alias("word"))
-    grams = words.select(*keys, F.explode_outer(word_grams(F.col("word"))).alias("gram"))
-    # Bounded by top x languages rows, whatever the corpus.
+    rows = docs.select(*keys, F.explode_outer(words_for_grams(F.col(text))).alias("word"))
+    if words is None:
+        score = {g: F.col(f"lp_{g}") for g in langs}
+        grams = rows.select(*keys, F.explode_outer(word_grams(F.col("word"))).alias("gram"))
+    else:
+        # At most `top` rows by construction.
+        table = word_scores(words, wide, langs).withColumnRenamed("word", "_word")
+        rows = rows.join(F.broadcast(table), F.col("word") == F.col("_word"), "left")
+        rest = F.when(F.col("_word").isNull(), word_grams(F.col("word")))
+        kept = [f"w_{g}" for g in langs]
+        score = {g: F.coalesce(f"w_{g}", f"lp_{g}") for g in langs}
+        grams = rows.select(*keys, *kept, F.explode_outer(rest).alias("gram"))
+    # At most top x languages rows by construction.
     sums = (
         grams.join(F.broadcast(wide), "gram", "left")
         .groupBy(*keys)
-        .agg(*[F.round(F.sum(f"lp_{g}"), DIGITS).alias(f"s_{g}") for g in langs])
+        .agg(*[F.round(F.sum(score[g]), DIGITS).alias(f"s_{g}") for g in langs])
     )
     best = F.greatest(*[F.col(f"s_{g}") for g in langs]) if len(langs) > 1 else F.col(f"s_{langs[0]}")
     pred = F.coalesce(*[F.when(F.col(f"s_{g}") == best, g) for g in langs])

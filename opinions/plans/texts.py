@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social
-from opinions.operators.langid import keep_language, langid_predict
+from opinions.operators.langid import keep_language, langid_predict, langid_profiles
 from opinions.operators.scope import drop_missing_user, exclude_cross_mention
 from opinions.operators.sentiment import sentiment_scores
 from opinions.rules import RuleSet
@@ -30,7 +30,7 @@ def usable_mentions(raw: DataFrame, rivals: dict[str, str], text: str = "text")
 def scored_mentions(
     raw: DataFrame,
     lexicon: DataFrame,
-    profiles: DataFrame,
+    words: DataFrame,
     langs: Sequence[str],
     rivals: dict[str, str],
     lang: str = "en",
@@ -39,10 +39,10 @@ def scored_mentions(
 ) -> DataFrame:
     """Filter, clean, identify the language, score and label.
 
-    Language and scores are both summed per text next to the scan and meet as narrow rows; the
+    ``words`` are the ``word_counts`` of texts with known languages. Language and scores are both summed per text next to the scan and meet as narrow rows; the
     texts themselves are never shuffled. Join back on ``mention_id`` where the text is wanted.
     """
     kept = usable_mentions(raw, rivals)
     scored = sentiment_scores(kept, lexicon, rules, keys=carry)
-    pred = langid_predict(kept, profiles, langs, keys=("mention_id",))
+    pred = langid_predict(kept, langid_profiles(words), langs, ("mention_id",), words=words)
     return scored.join(keep_language(pred, lang).select("mention_id"), "mention_id", "left_semi")

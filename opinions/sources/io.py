@@ -30,8 +30,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt: str
     )
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def spread(df: DataFrame, parts: int, *keys: str) -> DataFrame:

@@ -133,11 +133,16 @@ def test_language(spark):
         [("en", "the cat and the dog"), ("en", "this is the house"), ("de", "der hund und die katze"), ("de", "das ist das haus")],
         "lang string, text string",
     )
-    profiles = langid.langid_profiles(train, top=50)
+    words = langid.word_counts(train)
+    profiles = langid.langid_profiles(words, top=50)
     docs = spark.createDataFrame([(1, "the mouse"), (2, "die maus und"), (3, "123 !!"), (4, None)], "mention_id long, text string")
     pred = langid.langid_predict(docs, profiles, ["en", "de"])
     assert values(pred, "mention_id", "pred") == [(1, "en"), (2, "de"), (3, None), (4, None)]
     assert values(langid.keep_language(pred, "en"), "mention_id") == [(1,)]
+    # The table of frequent words changes nothing, whatever it holds.
+    some = words.filter("word < 'h'")
+    for known in (words, some):
+        assert values(langid.langid_predict(docs, profiles, ["en", "de"], words=known)) == values(pred)
 
 
 def test_language_brute_force(spark):
@@ -151,7 +156,7 @@ def test_language_brute_force(spark):
             counts[lang].update(w[i : i + n] for n in (1, 2, 3) for i in range(len(w) - n + 1))
     vocab = set().union(*counts.values())
     df = spark.createDataFrame(texts, "lang string, text string")
-    got = {(r["lang"], r["gram"]): r["logp"] for r in langid.langid_profiles(df, top=100).collect()}
+    got = {(r["lang"], r["gram"]): r["logp"] for r in langid.langid_profiles(langid.word_counts(df), top=100).collect()}
     for lang, c in counts.items():
         for g, n in c.items():
             assert math.isclose(got[lang, g], math.log((n + 1) / (sum(c.values()) + len(vocab))))
@@ -160,6 +165,6 @@ def test_language_brute_force(spark):
 def test_language_held_out_accuracy(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("doc_id", "mention_id")
     train, test = docs.filter("mention_id % 5 <> 0"), docs.filter("mention_id % 5 = 0")
-    pred = langid.langid_predict(test, langid.langid_profiles(train), ["de", "en", "es", "fr"])
+    pred = langid.langid_predict(test, langid.langid_profiles(langid.word_counts(train)), ["de", "en", "es", "fr"])
     joined = pred.join(test.select("mention_id", "lang"), "mention_id")
     assert joined.agg(F.avg((F.col("pred") == F.col("lang")).cast("double"))).first()[0] > 0.95
