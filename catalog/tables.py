@@ -88,7 +88,7 @@ def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_authors(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+def with_authors(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
     """Attach the author row; some mentions have no user or no known region."""
     people = authors(spark, sf_dir)
     small = fits_broadcast(read(spark, sf_dir, "customer").select("c_custkey"))
@@ -110,7 +110,7 @@ def raw_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.when(kind.isin("purchase", "signup"), 1).when(kind == "error", -1).otherwise(0).alias("polarity"),
     )
-    return _with_authors(spark, sf_dir, facts)
+    return with_authors(spark, sf_dir, facts)
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +147,10 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with an author: the customer of the same number, modulo 1,500."""
-    facts = texts(spark, sf_dir).withColumn("user_id", F.col("mention_id") % 1500)
-    return _with_authors(spark, sf_dir, facts)
+    """Texts with an author number; some have none. Author columns are attached after scoring, so
+    that they are never joined to the texts themselves."""
+    author = F.when(F.col("mention_id") % 29 != 0, F.col("mention_id") % 1500)
+    return texts(spark, sf_dir).select("mention_id", "subject", author.alias("user_id"), "text")
 
 
 def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,7 +186,11 @@ def langid_filter(spark, d):
 @query
 def scored_mentions(spark, d):
     raw, words = t.text_mentions(spark, d), language_words(spark, d)
-    return plan.scored_mentions(raw, t.lexicon(spark, d), words, t.LANGS, t.RIVALS, rules=t.RULES)
+    carry = ["mention_id", "subject", "user_id"]
+    scored = plan.scored_mentions(
+        raw, t.lexicon(spark, d), words, t.LANGS, t.RIVALS, rules=t.RULES, carry=carry
+    )
+    return t.with_authors(spark, d, scored)
 
 
 @query
