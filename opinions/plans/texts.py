@@ -13,7 +13,7 @@ from opinions.operators.scope import drop_missing_user, exclude_cross_mention
 from opinions.operators.sentiment import sentiment_scores
 from opinions.rules import RuleSet
 
-CARRIED = ("mention_id", "subject", "user_id", "user_join_date", "country", "region")
+CARRIED = ("mention_id", "subject", "user_id", "user_join_date", "country", "region", "ts")
 
 
 def cleaned_mentions(raw: DataFrame, rivals: dict[str, str], text: str = "text") -> DataFrame:
