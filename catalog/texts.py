@@ -106,6 +106,21 @@ def token_context(spark, d):
     return sen.token_context(docs(spark, d), t.RULES, KEY)
 
 
+@query
+def least_bigram(spark, d):
+    context = sen.token_context(docs(spark, d), t.RULES, KEY)
+    return sen.least_bigrams(context, t.RULES).select("mention_id", "pos", "b1", "tok")
+
+
+@query
+def token_ngrams(spark, d):
+    """Two- and three-word phrases that end at a token, with their counts."""
+    near = sen.token_context(docs(spark, d), t.RULES, KEY)
+    two = F.concat_ws(" ", "b1", "tok").alias("two")
+    three = F.when(F.col("b2").isNotNull(), F.concat_ws(" ", "b2", "b1", "tok")).alias("three")
+    return near.filter("b1 IS NOT NULL").groupBy(two, three).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def lexicon_hits(spark, d):
     return hits(spark, d).select("mention_id", "pos", "tok", "valence")

@@ -82,6 +82,13 @@ def token_context(
     return rows.select(*keys, (F.col("at") + 1).alias("pos"), "tok", *near)
 
 
+def least_bigrams(context: DataFrame, rules: RuleSet) -> DataFrame:
+    """Places where "least" follows another word than "at": the pair form of the negation test, which
+    the scorer itself never meets, as it tests one word at a time."""
+    pair = (F.lower("tok") == rules.least_word) & (F.lower("b1") != rules.least_exempt[0])
+    return context.filter(pair)
+
+
 def scored_tokens(
     docs: DataFrame,
     lexicon: DataFrame,

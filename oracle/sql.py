@@ -106,6 +106,11 @@ FINAL: dict[str, str] = {
     "punctuation_emphasis": """
         SELECT mention_id, CAST(exclaims AS INT) AS exclaims, CAST(asks AS INT) AS asks, round(emph, 6) AS emph FROM emphasis""",
     "token_context": "SELECT mention_id, CAST(pos AS INT) AS pos, tok, b1, b2, b3, a1, a2 FROM token_near",
+    "least_bigram": """
+        SELECT mention_id, CAST(pos AS INT) AS pos, b1, tok FROM token_near WHERE lower(tok) = 'at' AND lower(b1) <> 'the'""",
+    "token_ngrams": """
+        SELECT b1 || ' ' || tok AS two, b2 || ' ' || b1 || ' ' || tok AS three, count(*) AS n
+        FROM token_near WHERE b1 IS NOT NULL GROUP BY 1, 2""",
     "lexicon_hits": "SELECT mention_id, CAST(pos AS INT) AS pos, tok, valence FROM hits",
     "first_context_score": f"SELECT mention_id, CAST(pos AS INT) AS pos, CAST(first AS INT) AS first, tok, {_exact('score')} FROM hits",
     "caps_effect": f"SELECT mention_id, CAST(pos AS INT) AS pos, CAST(shout AS INT) AS shout, {_exact('v_caps')} FROM hits",
