@@ -6,9 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog import models, regional, texts
+from oracle import sql
 from check import TABLES, rows_of
 
-ORACLE = entry.oracle_sql()
+ORACLE = sql.queries()
+QUERIES = {**regional.QUERIES, **texts.QUERIES, **models.QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +24,14 @@ def db(sf):
 
 
 def test_every_twin_has_a_query():
-    assert set(ORACLE) <= set(entry.queries())
-    assert set(entry.queries()) - set(ORACLE) == {"rf_predictions", "classifier_accuracy"}
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == {"rf_predictions", "classifier_accuracy"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, sf, name):
-    df = entry.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     got = rows_of(df.columns, df.collect())
     if name in ORACLE:
         result = db.execute(ORACLE[name])
