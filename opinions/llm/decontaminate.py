@@ -14,58 +14,130 @@ SHARE = 20
 #: Largest set of windows that is broadcast; a larger one is joined by shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: What separates words: all of ASCII but digits and letters.
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A document is read in blocks that start at every STEP-th word.
+STEP = 7
 
 
 def words(text: Column) -> Column:
-    """Lower-cased words in order; null has none."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != "")
+    """Words in order, in the case of the text; null has none."""
+    return F.split(F.coalesce(text, F.lit("")), SEPARATORS)
 
 
-def grams(tokens: Column, size: int) -> Column:
-    """All windows of ``size`` words as (at, size, gram)."""
-    last = F.size(tokens) - size
-    every = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct(
-            i.alias("at"), F.lit(size).alias("size"), F.concat_ws(" ", F.slice(tokens, i + 1, size)).alias("gram")
-        ),
-    )
-    return F.when(last >= 0, every).otherwise(F.array().cast("array<struct<at:int,size:int,gram:string>>"))
+def trimmed(tokens: Column) -> Column:
+    """Without the empty strings that separators at either end leave."""
+    ahead = (F.get(tokens, F.lit(0)) == "").cast("int")
+    behind = ((F.size(tokens) > 1) & (F.get(tokens, F.size(tokens) - 1) == "")).cast("int")
+    return F.slice(tokens, ahead + 1, F.size(tokens) - ahead - behind)
 
 
 def item_windows(items: DataFrame, item: str, text: str, window: int = WINDOW) -> DataFrame:
     """Distinct (gram, size, item) of a benchmark. An item of fewer words, but not none, is one window."""
-    split = items.select(F.col(item).alias("item"), words(F.col(text)).alias("w")).filter(F.size("w") > 0)
-    whole = F.array(F.struct(F.lit(0).alias("at"), F.size("w").alias("size"), F.concat_ws(" ", "w").alias("gram")))
-    cut = F.when(F.size("w") < window, whole).otherwise(grams(F.col("w"), window))
-    return split.select("item", F.explode(cut).alias("g")).select("g.gram", "g.size", "item").distinct()
+    split = items.select(F.col(item).alias("item"), words(ascii_lower(F.col(text))).alias("w"))
+    split = split.select("item", trimmed(F.col("w")).alias("w")).filter(F.size("w") > 0)
+    size = F.least(F.size("w"), F.lit(window))
+    start = F.explode(F.sequence(F.lit(1), F.size("w") - size + 1))
+    cut = split.select("item", "w", size.alias("size"), start.alias("at"))
+    return cut.select(F.concat_ws(" ", F.slice("w", F.col("at"), F.col("size"))).alias("gram"), "size", "item").distinct()
+
+
+def shared_words(size: int) -> tuple[int, int]:
+    """First position and number of the words that every window of ``size`` words starting in a block has.
+
+    Windows that start at words 0 to STEP - 1 of a block all hold its words STEP - 1 to size - 1. Short
+    windows have no such words; 0 stands for that.
+    """
+    return STEP - 1, max(0, size - STEP + 1)
+
+
+def screen(windows: DataFrame) -> DataFrame:
+    """Distinct (size, key): what a block has in common with a window that starts in it."""
+    common = F.when(F.col("size") >= STEP, F.col("size") - STEP + 1).otherwise(F.col("size"))
+    offset = F.explode(F.sequence(F.lit(1), F.col("size") - common + 1))
+    cut = windows.select("size", F.split("gram", " ").alias("w"), common.alias("n"), offset.alias("o"))
+    return cut.select("size", F.lower(F.concat_ws(" ", F.slice("w", F.col("o"), F.col("n")))).alias("key")).distinct()
+
+
+def _lane(tokens: Column, k: int) -> Column:
+    return F.filter(tokens, lambda _, i: i % STEP == k)
+
+
+def blocks(docs: DataFrame, key: str, text: str, reach: int) -> DataFrame:
+    """Rows (id, n_words, block, c): words ``c`` from every STEP-th word on, ``reach`` of them, null beyond the end.
+
+    A document without words has one row, with no block.
+    """
+    split = docs.select(F.col(key).alias("id"), words(F.col(text)).alias("w"))
+    split = split.select("id", trimmed(F.col("w")).alias("w"))
+    lanes = [_lane(F.col("w"), k).alias(f"l{k}") for k in range(STEP)]
+    laned = split.select("id", F.size("w").alias("n_words"), *lanes)
+    most = F.size("l0")
+
+    def shifted(i):
+        lane, by = f"l{i % STEP}", i // STEP
+        return F.slice(lane, by + 1, F.greatest(most - by, F.lit(0))) if by else F.col(lane)
+
+    zipped = F.arrays_zip(*[shifted(i).alias(f"c{i}") for i in range(reach)])
+    rows = laned.select("id", "n_words", F.posexplode_outer(zipped).alias("block", "g"))
+    return rows.select("id", "n_words", "block", *[F.col(f"g.c{i}").alias(f"c{i}") for i in range(reach)])
 
 
 def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document key: id, n_words, spans (sorted (at, to) of every hit window), grams (distinct).
 
-    ``windows`` has ``gram`` and ``size``. The join compares the words of a window themselves, so a hash
-    that happens to agree is no hit. The set is broadcast if it is at most BROADCAST_BYTES; only hits
-    and one row per document are shuffled then.
+    ``windows`` has ``gram`` and ``size``. Any window starts in one block of STEP words, and all windows
+    of a block share the words after it; these are looked up, and only blocks that a test window shares
+    spell out their windows. Those are compared as text, so a hash that happens to agree is no hit. Sets of
+    at most BROADCAST_BYTES are broadcast: then only hits and a row per document are shuffled. A larger
+    benchmark is joined by shuffle.
     """
     known = written(windows.select("gram", "size").distinct())
+    keys = written(screen(known))
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most WINDOW numbers
-    weight = known.agg(F.sum(F.octet_length("gram") + 64)).first()[0] or 0
-    keyed = known.select(F.col("gram").alias("_gram"), F.col("size").alias("_size"))
-    if weight <= BROADCAST_BYTES:
-        keyed = F.broadcast(keyed)
-    split = docs.select(F.col(key).alias("id"), words(F.col(text)).alias("w"))
-    own = F.array(F.struct(F.lit(-1).alias("at"), F.size("w").alias("size"), F.lit(None).cast("string").alias("gram")))
-    every = F.concat(own, *[grams(F.col("w"), n) for n in sizes])
-    cut = split.select("id", F.explode(every).alias("g")).select("id", "g.at", "g.size", "g.gram")
-    found = cut.join(keyed, (F.col("gram") == F.col("_gram")) & (F.col("size") == F.col("_size")), "left")
+    exact = known.select(F.col("gram").alias("_gram"), F.col("size").alias("_size"))
+    keys = keys.select(F.col("key").alias("_key"), F.col("size").alias("_of"))
+    weight = keys.agg(F.sum(F.octet_length("_key") + 64)).first()[0] or 0
+    if weight + (known.agg(F.sum(F.octet_length("gram") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        exact, keys = F.broadcast(exact), F.broadcast(keys)
+    reach = STEP - 1 + max(sizes, default=1)
+    rows = blocks(docs, key, text, reach)
+    cells = [F.col(f"c{i}") for i in range(reach)]
+
+    def probe(size, first, n):
+        # The last word of the part is there, or else no window of this size starts early enough.
+        joined = F.when(cells[first + n - 1].isNotNull(), F.lower(F.concat_ws(" ", *cells[first : first + n])))
+        return F.struct(F.lit(size).alias("of"), joined.alias("key"))
+
+    probes = [probe(n, *shared_words(n)) for n in sizes if n >= STEP]
+    probes += [probe(n, o, n) for n in sizes if n < STEP for o in range(STEP)]
+    if len(probes) == 1:
+        probed = rows.select("*", probes[0].alias("probe"), F.lit(True).alias("lead"))
+    else:
+        none = F.struct(F.lit(0).alias("of"), F.lit(None).cast("string").alias("key"))
+        each = F.posexplode(F.array(*(probes or [none]))).alias("nth", "probe")
+        probed = rows.select("*", each).withColumn("lead", F.col("nth") == 0).drop("nth")
+    found = probed.join(
+        keys, (F.col("probe.key") == F.col("_key")) & (F.col("probe.of") == F.col("_of")), "left"
+    ).filter("_key IS NOT NULL OR (lead AND coalesce(block, 0) = 0)")
+    row = F.array(*cells)
+    starts = F.transform(
+        F.array(*[F.lit(o) for o in range(STEP)]),
+        lambda o: F.struct(
+            (F.col("block") * STEP + o).alias("at"),
+            F.col("_of").alias("size"),
+            ascii_lower(F.concat_ws(" ", F.slice(row, o + 1, F.col("_of")))).alias("gram"),
+        ),
+    )
+    spelled = found.select("id", "n_words", F.explode_outer(F.when(F.col("_key").isNotNull(), starts)).alias("g"))
+    spelled = spelled.select("id", "n_words", "g.*")
+    same = (F.col("gram") == F.col("_gram")) & (F.col("size") == F.col("_size"))
+    same = same & (F.col("at") + F.col("size") <= F.col("n_words"))
     span = F.when(F.col("_gram").isNotNull(), F.struct("at", (F.col("at") + F.col("size")).alias("to")))
     return (
-        found.filter("at < 0 OR _gram IS NOT NULL")
+        spelled.join(exact, same, "left")
         .groupBy("id")
         .agg(
-            F.max(F.when(F.col("at") < 0, F.col("size"))).alias("n_words"),
+            F.max("n_words").alias("n_words"),
             F.sort_array(F.collect_set(span)).alias("spans"),
             F.collect_set("_gram").alias("grams"),
         )
