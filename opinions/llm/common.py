@@ -48,18 +48,20 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def with_rank(df: DataFrame, group: Sequence[str], key: str, name: str, parts: int = RANK_PARTS) -> DataFrame:
+def with_rank(
+    df: DataFrame, group: Sequence[str], key: Sequence[str], name: str, parts: int = RANK_PARTS
+) -> DataFrame:
     """Add a gapless rank from 0 within each group, as ``name``.
 
     A window over whole groups would put a hot group in one task. Here every group is cut into parts by a
-    hash of ``key``; rows are ranked within their part, and each part starts where the counts of the
+    hash of the ``key`` columns; rows are ranked within their part, and each part starts where the counts of the
     earlier parts end. Only the counts (at most ``parts`` rows a group) are ordered group by group.
     """
-    part = df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+    part = df.withColumn("_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
     counts = part.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_count"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, "_part", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_start"))
-    local = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(key)) - 1
+    local = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*key)) - 1
     ranked = part.withColumn("_local", local)
     return ranked.join(starts, [*group, "_part"]).withColumn(name, F.col("_start") + F.col("_local")).drop(
         "_part", "_start", "_local"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, shards
+from opinions.llm import chat, decontaminate, exact, packing, shards, simhash
 
 QUERIES = {}
 SHARDS = 40
@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query
 def op2_decontaminate(spark, d):
     found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
@@ -33,6 +39,11 @@ def op2_decontaminate(spark, d):
     )
 
 
+@query
+def op3_simhash(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
 @query
 def op4_chat(spark, d):
     said = "</s>[INST] ok [/INST]"
@@ -70,6 +81,11 @@ def op8_shards(spark, d):
     return shards.sharded(table(spark, d, "documents"), SHARDS)
 
 
+@query
+def op9_best_fit(spark, d):
+    return packing.best_fit(table(spark, d, "documents"), tokenizer())
+
+
 SQL = {
     "op2_decontaminate": r"""
         WITH cut AS (

@@ -62,6 +62,6 @@ def sharded(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text
         jump_shard(F.col(key), shards).alias("shard"),
         jump_shard(F.col(key), shards + 1).alias("grown_shard"),
     )
-    return with_rank(placed, ["shard"], "_key", "slot").select(
+    return with_rank(placed, ["shard"], ["_key"], "slot").select(
         F.col("_key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
