@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, packing, shards, simhash
+from opinions.llm import chat, decontaminate, exact, packing, shards, simhash, suffixes
 
 QUERIES = {}
 SHARDS = 40
@@ -86,6 +86,13 @@ def op9_best_fit(spark, d):
     return packing.best_fit(table(spark, d, "documents"), tokenizer())
 
 
+@query
+def op10_suffix_dedup(spark, d):
+    found = suffixes.without_repeats(table(spark, d, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 SQL = {
     "op2_decontaminate": r"""
         WITH cut AS (
