@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, packing, shards, simhash, suffixes
+from opinions.llm import chat, decontaminate, exact, packing, quality, shards, simhash, suffixes
+from opinions.llm.common import shipped
 
 QUERIES = {}
 SHARDS = 40
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        shipped(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +84,11 @@ def op5_exact_dedup(spark, d):
     return exact.deduplicated(table(spark, d, "documents"))
 
 
+@query
+def op7_quality(spark, d):
+    return quality.classified(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query
 def op8_shards(spark, d):
     return shards.sharded(table(spark, d, "documents"), SHARDS)
