@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, packing, quality, shards, simhash, suffixes
+from opinions.llm import chat, decontaminate, exact, packing, quality, revisits, shards, simhash, suffixes
 from opinions.llm.common import shipped
 
 QUERIES = {}
@@ -84,6 +84,46 @@ def op5_exact_dedup(spark, d):
     return exact.deduplicated(table(spark, d, "documents"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """A crawl of ``pages``: a response for most pages, and two not-modified answers for each, a day and two later."""
+    n = F.col("page_id")
+    seen = F.lit(1_600_000_000) + n * 60
+    stamp = F.date_format(F.timestamp_seconds(seen), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
+    first = F.create_map(
+        F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), size,
+        F.lit("etag"), tag, F.lit("last-modified"), stamp, F.lit("cache-control"), F.lit("max-age=60"),
+    )
+    second = F.create_map(
+        F.lit("etag"), F.when(n % 5 == 0, F.lit('"changed"')).otherwise(F.concat(F.lit("W/"), tag)),
+        F.lit("cache-control"), F.lit("max-age=3600"), F.lit("content-length"), F.lit("0"),
+    )
+    third = F.create_map(
+        F.when(n % 3 == 2, F.lit("expires")).otherwise(F.lit("last-modified")), F.when(n % 3 == 1, F.lit("other")).otherwise(stamp)
+    )
+
+    def record(k, kind, status, headers):
+        return F.struct(
+            (3 * n + k).alias("id"),
+            (seen + 86_400 * k).alias("date"),
+            "url",
+            F.lit(kind).alias("kind"),
+            F.lit(status).alias("status"),
+            headers.alias("headers"),
+        )
+
+    made = F.array(record(0, "response", 200, first), record(1, "revisit", 304, second), record(2, "revisit", 304, third))
+    return pages.select("page_id", F.explode(made).alias("r")).filter("r.kind = 'revisit' OR page_id % 7 <> 0").select("r.*")
+
+
+@query
+def op6_revisits(spark, d):
+    found = revisits.resolved(captures(table(spark, d, "pages").select("page_id", "url", "html")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 @query
 def op7_quality(spark, d):
     return quality.classified(table(spark, d, "documents"), table(spark, d, "labels"))
@@ -151,6 +191,51 @@ SQL = {
                sha256(trained) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
                regexp_full_match(roles, '(system,)?user,assistant(,user,assistant)*') AS valid
         FROM per""",
+    "op6_revisits": r"""
+        WITH u AS (
+            SELECT page_id, url, 1600000000 + page_id * 60 AS seen, '"' || md5(coalesce(html, '')) || '"' AS tag,
+                   strftime(make_timestamp((1600000000 + page_id * 60) * 1000000), '%a, %d %b %Y %H:%M:%S GMT') AS stamp,
+                   octet_length(encode(coalesce(html, ''))) AS size,
+                   regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)),
+                       ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
+                   regexp_replace(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
+                   array_to_string(list_sort(list_filter(
+                       string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+                       lambda p: p <> '' AND NOT starts_with(p, 'utm_')
+                           AND NOT string_split(p, '=')[1] IN ('ref', 'fbclid', 'gclid', 'sessionid'))), '&') AS q
+            FROM pages),
+        r AS (
+            SELECT 3 * page_id + k AS id, seen + 86400 * k AS date, k, page_id, tag, stamp, size,
+                   CASE WHEN host = '' THEN url ELSE host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS url
+            FROM u, (SELECT unnest([0, 1, 2]) AS k) WHERE k > 0 OR page_id % 7 <> 0),
+        s AS (
+            SELECT *, last_value(CASE WHEN k = 0 THEN {'id': id, 'tag': tag, 'stamp': stamp, 'size': size} END IGNORE NULLS)
+                OVER (PARTITION BY url ORDER BY date, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS src
+            FROM r),
+        t AS (
+            SELECT *, CASE
+                WHEN k = 0 THEN 'full'
+                WHEN src IS NULL THEN 'orphan'
+                WHEN k = 1 THEN CASE WHEN page_id % 5 <> 0 AND tag = src.tag THEN 'resolved' ELSE 'changed' END
+                WHEN page_id % 3 = 2 THEN 'unverified'
+                WHEN page_id % 3 = 0 AND stamp = src.stamp THEN 'resolved' ELSE 'changed' END AS state
+            FROM s)
+        SELECT id, date, url, CASE WHEN k = 0 THEN 'response' ELSE 'revisit' END AS kind, state,
+               CASE WHEN state IN ('resolved', 'unverified') THEN src.id END AS source_id,
+               CASE WHEN k = 0 OR state IN ('resolved', 'unverified') THEN 200 ELSE 304 END AS status,
+               CASE WHEN k = 0 THEN concat_ws(chr(10), 'cache-control: max-age=60', 'content-length: ' || size,
+                        'content-type: text/html', 'etag: ' || tag, 'last-modified: ' || stamp)
+                    WHEN state IN ('resolved', 'unverified') THEN concat_ws(chr(10),
+                        'cache-control: ' || CASE WHEN k = 1 THEN 'max-age=3600' ELSE 'max-age=60' END,
+                        'content-length: ' || src.size, 'content-type: text/html',
+                        'etag: ' || CASE WHEN k = 1 THEN 'W/' || tag ELSE src.tag END,
+                        CASE WHEN k = 2 AND page_id % 3 = 2 THEN 'expires: ' || stamp END,
+                        'last-modified: ' || src.stamp)
+                    WHEN k = 1 THEN concat_ws(chr(10), 'cache-control: max-age=3600', 'content-length: 0',
+                        'etag: ' || CASE WHEN page_id % 5 = 0 THEN '"changed"' ELSE 'W/' || tag END)
+                    ELSE CASE WHEN page_id % 3 = 2 THEN 'expires: ' ELSE 'last-modified: ' END
+                        || CASE WHEN page_id % 3 = 1 THEN 'other' ELSE stamp END END AS headers
+        FROM t""",
     "op5_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS size,
