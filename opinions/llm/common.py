@@ -88,3 +88,14 @@ def with_rank(
     return ranked.join(starts, [*group, "_part"]).withColumn(name, F.col("_start") + F.col("_local")).drop(
         "_part", "_start", "_local"
     )
+
+
+def about(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Some ``n`` rows of ``df``, all if it has no more: those whose key's hash is below a bound; the same in every run."""
+    rows, steps = df.count(), 1 << 24
+    return df if rows <= n else df.filter(F.pmod(F.xxhash64(key), F.lit(steps)) < n * steps // rows)
+
+
+def sampled(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows that are least by a hash of their key, or fewer; of a large table only some 8 n are ordered."""
+    return about(df, key, 8 * n).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 24)), key).limit(n)

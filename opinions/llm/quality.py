@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinions.llm.common import sampled
+
 #: Labelled documents that the model learns from, and lines of each, at most.
 SAMPLE = 4000
 SAMPLE_LINES = 64
@@ -241,7 +243,7 @@ def fitted(
     usable = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label")).filter(
         F.col("_label").isin(0, 1) & F.col("_key").isNotNull() & ~held_out(F.col("_key"))
     )
-    some = usable.groupBy("_key").agg(F.min("_label").alias("_label")).orderBy(F.xxhash64("_key"), "_key").limit(sample)
+    some = sampled(usable.groupBy("_key").agg(F.min("_label").alias("_label")), "_key", sample)
     schema = T.StructType(
         [T.StructField("key", T.LongType()), T.StructField("good", T.BooleanType()), T.StructField("own", T.BinaryType())]
     )

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, packing, quality, revisits, shards, simhash, suffixes
+from opinions.llm import chat, decontaminate, exact, packing, pii, quality, revisits, shards, simhash, suffixes
 from opinions.llm.common import shipped
 
 QUERIES = {}
@@ -34,6 +34,31 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _listed(spans):
+    """Spans as kind:start:end by start, then kind."""
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], rank[s["kind"]], s["stop"], s["kind"])))
+    parts = F.transform(order, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string")))
+    return F.array_join(parts, ",")
+
+
+def _number(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+@query
+def op1_pii(spark, d):
+    docs = table(spark, d, "documents")
+    spans = pii.found(docs, pii.fitted(docs))
+    return spans.select(
+        "doc_id",
+        *[_number("base", k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(_listed("base"), 256).alias("base_sha256"),
+        _listed(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 @query
 def op2_decontaminate(spark, d):
     found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
