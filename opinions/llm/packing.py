@@ -19,8 +19,8 @@ from opinions.llm.common import with_rank, written
 CAPACITY = 4096
 #: Id after every document.
 END = 1
-#: Words whose ids a worker remembers; then it starts anew.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers, about 200 bytes each; then it starts anew.
+REMEMBERED = 1_500_000
 #: Code points of text that are encoded together.
 GROUP = 4_000_000
 
@@ -93,6 +93,42 @@ def _known(path: str) -> dict[bytes, bytes]:
     return {}
 
 
+def _split(words: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """Each word's stem and closing points, whose ids are those of the word; the stem in lower case.
+
+    The tokenizer parts points from a letter or digit before them, and it lower-cases; only a special token
+    is spelled in one way.
+    """
+    halves = []
+    for word in words:
+        if word.isalnum():
+            halves.append((word.lower(), b""))
+            continue
+        stem = word.rstrip(b".,")
+        if len(stem) == len(word) or not stem[-1:].isalnum():
+            stem = word
+        halves.append((stem if b"<|" in stem else stem.lower(), word[len(stem) :]))
+    return halves
+
+
+def _learn(words: list[bytes], path: str, known: dict[bytes, bytes]) -> None:
+    """Encode words and remember their ids. Many words go in one text, parted by a bar."""
+    tokenizer = _tokenizer(path)
+    bar = tokenizer.encode("a | a", add_special_tokens=False).ids[1:-1]
+    plain = [w for w in words if b"|" not in w] if len(bar) == 1 else []
+    for i in range(0, len(plain), 2048):
+        part = plain[i : i + 2048]
+        text = b" | ".join(part).decode()
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == bar[0]), len(ids)).tolist()
+        held, start = ids.tobytes(), 0
+        for w, end in zip(part, ends, strict=True):
+            known[w] = held[4 * start : 4 * end]
+            start = end + 1
+    for w in words if len(bar) != 1 else [w for w in words if b"|" in w]:
+        known[w] = np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
     """Ids of every UTF-8 text, as little-endian unsigned 32-bit numbers.
 
@@ -101,14 +137,14 @@ def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
     """
     known = _known(path)
     words = [t.split() for t in texts]
-    fresh = [w for w in set().union(*words) if w not in known]
-    if len(known) + len(fresh) > REMEMBERED:
+    every = set().union(*words)
+    if len(known) + 2 * len(every) > REMEMBERED:
         known.clear()
-        fresh = list(set().union(*words))
-    for i in range(0, len(fresh), 4096):
-        part = fresh[i : i + 4096]
-        for w, e in zip(part, _tokenizer(path).encode_batch([w.decode() for w in part], add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+    fresh = [w for w in every if w not in known]
+    halves = _split(fresh)
+    _learn([w for w in set().union(*halves) if w not in known], path, known)
+    for w, (stem, points) in zip(fresh, halves):
+        known[w] = known[stem] + known[points]
     for w in words:
         yield b"".join(map(known.__getitem__, w))
 
