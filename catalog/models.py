@@ -1,16 +1,18 @@
-"""Classifier queries over the labelled texts."""
+"""Classifier queries over the labelled texts and over the scored corpora."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from catalog import tables as t
+from opinions.functions.values import joint_class
 from opinions.operators import bow
 from opinions.operators import models as m
+from opinions.operators import sentiment as sen
 from opinions.operators.durable import durable
 
 QUERIES = {}
 KEY = ["mention_id"]
-FEW = 20
 
 
 def query(fn):
@@ -18,56 +20,59 @@ def query(fn):
     return fn
 
 
-def terms(spark, d):
-    """Labelled texts as term arrays, computed once for vocabulary, fitting and predicting."""
-    return durable(bow.with_terms(t.labelled(spark, d)).select("mention_id", "label", "words"))
+def bags(spark, d):
+    """Labels, and term counts of the labelled texts, computed once for fitting and predicting."""
+    marks = t.marks(spark, d)
+    return marks, durable(bow.bag_of_words(t.labelled(spark, d)))
 
 
-def featured(spark, d, kind="multinomial"):
-    docs = terms(spark, d)
-    if kind == "gaussian":  # dense statistics: a few features
-        return m.vectorized(docs, vocab=bow.vocabulary(bow.array_frequency(docs), FEW))
-    return m.vectorized(docs)
-
-
-def predicted(spark, d, kind):
-    train, test = m.key_split(featured(spark, d, kind), "mention_id")
-    return m.predictions(m.naive_bayes(train, kind), test, KEY)
+def scored_classes(spark, d):
+    """mention_id, label: the joint class of subject and scored polarity, over both corpora."""
+    docs = t.texts(spark, d).select("mention_id", "subject", "text")
+    scores = sen.sentiment_scores(docs, t.lexicon(spark, d), t.RULES, keys=["mention_id", "subject"])
+    return scores.select("mention_id", joint_class(F.col("subject"), F.col("polarity"), t.SUBJECTS).alias("label"))
 
 
 def forest_predicted(spark, d):
-    train, test = m.key_split(featured(spark, d), "mention_id")
+    docs = durable(bow.with_terms(t.labelled(spark, d)).select("mention_id", "label", "words"))
+    train, test = m.key_split(m.vectorized(docs), "mention_id")
     return m.predictions(m.random_forest(train), test, KEY)
 
 
 @query
 def nb_multinomial(spark, d):
-    return predicted(spark, d, "multinomial")
+    return m.multinomial_bayes(*bags(spark, d))
 
 
 @query
 def nb_gaussian(spark, d):
-    return predicted(spark, d, "gaussian")
+    return m.gaussian_bayes(*bags(spark, d))
 
 
 @query
 def nb_accuracy(spark, d):
+    docs, terms = bags(spark, d)
     return m.accuracy_table(
-        {k: predicted(spark, d, k) for k in ("multinomial", "gaussian")}
+        {"multinomial": m.multinomial_bayes(docs, terms), "gaussian": m.gaussian_bayes(docs, terms)}
     )
 
 
+@query
+def nb_joint_class(spark, d):
+    """The classes that scoring gives the mentions of both subjects, predicted from their words."""
+    return m.multinomial_bayes(durable(scored_classes(spark, d)), durable(bow.bag_of_words(t.texts(spark, d))))
+
+
 @query
 def rf_predictions(spark, d):
-    return forest_predicted(spark, d)
+    """Which held-out texts the forest has predicted; that the class is one it was trained on."""
+    classes = list(m.class_counts(m.key_split(t.marks(spark, d), "mention_id")[0]))
+    return forest_predicted(spark, d).select("mention_id", "label", F.col("prediction").isin(classes).alias("valid"))
 
 
 @query
 def classifier_accuracy(spark, d):
-    train, test = m.key_split(featured(spark, d), "mention_id")
-    return m.accuracy_table(
-        {
-            "naive_bayes": m.predictions(m.naive_bayes(train), test, KEY),
-            "random_forest": m.predictions(m.random_forest(train), test, KEY),
-        }
-    )
+    """Held-out texts per model, and whether the accuracy is a share."""
+    docs, terms = bags(spark, d)
+    table = m.accuracy_table({"naive_bayes": m.multinomial_bayes(docs, terms), "random_forest": forest_predicted(spark, d)})
+    return table.select("model", "n", F.col("accuracy").between(0, 1).alias("valid"))

@@ -109,9 +109,11 @@ def joint_class(spark, d):
 
 @query
 def union_corpora(spark, d):
-    m = t.mentions(spark, d).select("mention_id", "subject", "polarity")
+    """Both corpora whole, by column name; the second one has a column that the first lacks."""
+    m = t.mentions(spark, d).select("mention_id", "subject", "polarity", "ts")
     a, b = (m.filter(F.col("subject") == s) for s in S)
-    return a.unionByName(b.drop("polarity"), allowMissingColumns=True)
+    second = b.select("ts", "polarity", "subject", "mention_id", F.upper("subject").alias("origin"))
+    return a.unionByName(second, allowMissingColumns=True)
 
 
 @query
@@ -140,13 +142,13 @@ def positive_by_region_top10(spark, d):
 @query
 def leader_flag(spark, d):
     both = r.positive_by_region(t.mentions(spark, d), S)
-    a, b = F.col("n_a"), F.col("n_b")
+    sides = [F.col("n_a"), F.col("n_b")]
     return both.select(
         "region",
         "n_a",
         "n_b",
-        v.leader_of(a, b, S, "first").alias("tie_first"),
-        v.leader_of(a, b, S, "second").alias("tie_second"),
+        v.leader_of(sides, S, "first").alias("tie_first"),
+        v.leader_of(sides, S, "last").alias("tie_second"),
     )
 
 

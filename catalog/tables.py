@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinions.operators.durable import durable
 from opinions.operators.joins import fits_broadcast, lookup_join
 from opinions.rules import RuleSet
 from opinions.sources.io import fill_cluster, read_parquet
@@ -90,11 +91,8 @@ def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_authors(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
     """Attach the author row; some mentions have no user or no known region."""
-    people = authors(spark, sf_dir)
-    small = fits_broadcast(read(spark, sf_dir, "customer").select("c_custkey"))
-    out = lookup_join(
-        facts, people, {"user_id": "author_id"}, small=small, salt_by=["mention_id"]
-    )
+    people = durable(authors(spark, sf_dir))
+    out = lookup_join(facts, people, {"user_id": "author_id"}, small=fits_broadcast(people))
     return out.withColumn(
         "user_id", F.when(F.col("mention_id") % 29 != 0, F.col("user_id"))
     ).withColumn("region", F.when(F.col("mention_id") % 31 != 0, F.col("region")))
@@ -149,7 +147,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with an author number; some have none. Author columns are attached after scoring, so
     that they are never joined to the texts themselves."""
-    author = F.when(F.col("mention_id") % 29 != 0, F.col("mention_id") % 1500)
+    author = F.when(F.col("mention_id") % 29 != 0, F.col("mention_id") + 1)
     return texts(spark, sf_dir).select("mention_id", "subject", author.alias("user_id"), "text")
 
 
@@ -213,9 +211,15 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """mention_id, text, label in 0..3."""
-    marks = read(spark, sf_dir, "labels").select(
+def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mention_id, label in 0..3."""
+    return read(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("mention_id"), (F.col("quality") + 2 * F.col("toxic")).alias("label")
     )
-    return texts(spark, sf_dir).select("mention_id", "text").join(marks, "mention_id")
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mention_id, text, label; the narrow labels are broadcast if they are measured to be small."""
+    side = marks(spark, sf_dir)
+    side = F.broadcast(side) if fits_broadcast(side) else side
+    return texts(spark, sf_dir).select("mention_id", "text").join(side, "mention_id")

@@ -31,12 +31,15 @@ def joint_class(subject: Column, polarity: Column, subjects: Sequence[str]) -> C
     return out
 
 
-def leader_of(first: Column, second: Column, names: Sequence[str], tie: str = "first") -> Column:
-    """Name of the larger side; ``tie`` says who wins a draw."""
-    if tie not in ("first", "second"):
-        raise ValueError("tie must be 'first' or 'second'")
-    ahead = first >= second if tie == "first" else first > second
-    return F.when(ahead, names[0]).otherwise(names[1])
+def leader_of(sides: Sequence[Column], names: Sequence[str], tie: str = "first") -> Column:
+    """Name of the largest of two or more sides; of those that draw, the first or the last one is named."""
+    if tie not in ("first", "last"):
+        raise ValueError("tie must be 'first' or 'last'")
+    if len(sides) < 2 or len(sides) != len(names):
+        raise ValueError("a leader needs two or more sides, each with a name")
+    most = F.greatest(*sides)
+    named = list(zip(sides, names)) if tie == "first" else list(zip(sides, names))[::-1]
+    return F.coalesce(*[F.when(side == most, name) for side, name in named])
 
 
 def parse_join_date(c: Column, formats: Sequence[str] = JOIN_DATE_FORMATS) -> Column:

@@ -67,8 +67,3 @@ def array_frequency(docs: DataFrame, words: str = "words") -> DataFrame:
 
 def term_topk(frequencies: DataFrame, k: int = 20) -> DataFrame:
     return frequencies.orderBy(F.desc("freq"), "term").limit(k)
-
-
-def vocabulary(frequencies: DataFrame, size: int = 2**18) -> list[str]:
-    """The ``size`` most frequent terms, ties by term; the list is bounded by ``size``."""
-    return [r["term"] for r in term_topk(frequencies, size).select("term").collect()]

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="opinions-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return "file://" + folder
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for many readers.
 
-    With a shared checkpoint folder the result is written there and survives lost executors. Without
-    one it is cached, and lost parts are computed again.
+    The result is written to the folder in ``spark.checkpoint.dir`` and survives lost executors. A local
+    session without that setting uses a folder of its own, which goes when the process ends; a cluster
+    needs the setting, as its executors share no local folder. Nothing stays in executors' memory.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        return df.persist()
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or _own_folder())
     return df.checkpoint()

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -22,28 +21,15 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: in
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
-def lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: Mapping[str, str],
-    *,
-    small: bool,
-    salt_by: Sequence[str] = (),
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, dim: DataFrame, on: Mapping[str, str], *, small: bool) -> DataFrame:
     """Left-join ``facts`` to a dimension that is unique on its key; the key columns of the
     dimension are dropped. ``on`` maps columns of the facts to columns of the dimension.
 
-    A dimension that passed ``fits_broadcast`` is broadcast. A larger one is joined by shuffle, with
-    every key spread over ``salts`` tasks, so that a key holding a large share of the facts does not
-    land in one task. The salt comes from ``salt_by``, a row key: a rerun task gives the same salt.
+    A dimension that passed ``fits_broadcast`` is broadcast. A larger one is joined by shuffle: each of
+    its rows moves once, and adaptive execution splits the facts of a key that fills a task far above
+    the others (``spark.sql.adaptive.skewJoin``), reading the dimension's part for each split.
     """
     keys = {f"_key{i}": name for i, name in enumerate(on.values())}
     side = dim.withColumnsRenamed({name: k for k, name in keys.items()})
     match = [F.col(f) == F.col(k) for f, k in zip(on, keys)]
-    if small:
-        return facts.join(F.broadcast(side), match, "left").drop(*keys)
-    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    side = side.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"))
-    match.append(F.col("_salt") == F.col("_copy"))
-    return facts.select("*", salt.alias("_salt")).join(side, match, "left").drop(*keys, "_salt", "_copy")
+    return facts.join(F.broadcast(side) if small else side, match, "left").drop(*keys)

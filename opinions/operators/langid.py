@@ -1,19 +1,21 @@
 """Language identification from character n-grams.
 
-Profiles are learned from labelled texts; prediction adds up log-probabilities of the grams that
-any profile holds. The score of a word depends on the word alone, so frequent words are scored once,
-in a table, and only other words are cut into grams. Both tables are bounded by a parameter and can
-be broadcast whatever the size of the texts; sums are made per text in the task that reads the text.
+Profiles are learned from labelled texts and hold every gram; prediction adds up log-probabilities of
+the grams that any profile holds. The score of a word depends on the word alone, so frequent words are
+scored once, in a table bounded by construction, and only other words are cut into grams. Profiles are
+broadcast if they are measured to be small, else joined by shuffle; sums are made per text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social
+from opinions.operators.durable import durable
+from opinions.operators.joins import fits_broadcast, lookup_join
 
 DIGITS = 6
 
@@ -43,48 +45,44 @@ def word_counts(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
     )
 
 
-def langid_profiles(words: DataFrame, top: int = 500) -> DataFrame:
-    """lang, gram, n, total, v, logp from ``word_counts``: the ``top`` most frequent grams per
-    language with add-one log-probability."""
-    counts = (
+def langid_profiles(words: DataFrame) -> DataFrame:
+    """lang, gram, n, total, v, logp from ``word_counts``: every gram of a language with its add-one
+    log-probability. ``total`` counts the language's grams, ``v`` the different grams of all languages."""
+    counts = durable(
         words.select("lang", "c", F.explode(word_grams(F.col("word"))).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.sum("c").alias("n"))
     )
-    rank = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
-    kept = counts.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= top).drop("_rn")
-    # At most `top` rows per language from here on, so windows without a key stay small.
-    once = F.row_number().over(Window.partitionBy("gram").orderBy("lang")) == 1
-    kept = kept.withColumn("_once", once.cast("int")).withColumns(
-        {
-            "total": F.sum("n").over(Window.partitionBy("lang")),
-            "v": F.sum("_once").over(Window.partitionBy()),
-        }
+    v = counts.select("gram").distinct().count()
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # a row per language
+    logp = F.log((F.col("n") + 1) / (F.col("total") + v))
+    return counts.join(F.broadcast(total), "lang").select(
+        "lang", "gram", "n", "total", F.lit(v).cast("long").alias("v"), logp.alias("logp")
     )
-    logp = F.log((F.col("n") + 1) / (F.col("total") + F.col("v")))
-    return kept.select("lang", "gram", "n", "total", "v", logp.alias("logp"))
 
 
 def wide_profiles(profiles: DataFrame, langs: Sequence[str]) -> DataFrame:
     """One row per gram with a log-probability per language; unseen grams get the add-one floor."""
-    floor = F.log(1 / (F.col("total") + F.col("v")))
-    wide = profiles.groupBy("gram").agg(
-        *[F.max(F.when(F.col("lang") == g, F.col("logp"))).alias(f"lp_{g}") for g in langs],
-        *[F.max(F.when(F.col("lang") == g, floor)).alias(f"floor_{g}") for g in langs],
-    )
-    whole = Window.partitionBy()
-    return wide.select(
-        "gram",
-        *[F.coalesce(f"lp_{g}", F.max(f"floor_{g}").over(whole)).alias(f"lp_{g}") for g in langs],
+    floor = F.max(F.log(1 / (F.col("total") + F.col("v"))))
+    floors = {r["lang"]: r["floor"] for r in profiles.groupBy("lang").agg(floor.alias("floor")).collect()}
+    return profiles.groupBy("gram").agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("lang") == g, F.col("logp"))), F.lit(floors.get(g)).cast("double")).alias(f"lp_{g}")
+            for g in langs
+        ]
     )
 
 
-def word_scores(words: DataFrame, wide: DataFrame, langs: Sequence[str], top: int = 20_000) -> DataFrame:
-    """word, w_<lang>: summed log-probabilities of the ``top`` most frequent words."""
-    frequent = words.groupBy("word").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "word").limit(top)
-    grams = frequent.select("word", F.explode(word_grams(F.col("word"))).alias("gram"))
+def word_scores(words: DataFrame, wide: DataFrame, langs: Sequence[str], most: int = 20_000) -> DataFrame:
+    """word, w_<lang>: summed log-probabilities of words that make up one in ``most`` of all or more.
+
+    There are at most ``most`` such words, whatever the vocabulary; nothing is sorted to find them.
+    """
+    total = words.agg(F.sum("c")).first()[0] or 0
+    counts = words.groupBy("word").agg(F.sum("c").alias("c"))
+    grams = counts.filter(F.col("c") * most >= total).select("word", F.explode(word_grams(F.col("word"))).alias("gram"))
     return (
-        grams.join(F.broadcast(wide), "gram", "left")
+        lookup_join(grams, wide, {"gram": "gram"}, small=fits_broadcast(wide))
         .groupBy("word")
         .agg(*[F.sum(f"lp_{g}").alias(f"w_{g}") for g in langs])
     )
@@ -103,22 +101,21 @@ def langid_predict(
     ``words`` (``word_counts`` of any corpus like this one) only makes it faster.
     """
     langs = sorted(langs)
-    wide = wide_profiles(profiles, langs)
+    wide = durable(wide_profiles(profiles, langs))
     rows = docs.select(*keys, F.explode_outer(words_for_grams(F.col(text))).alias("word"))
     if words is None:
         score = {g: F.col(f"lp_{g}") for g in langs}
         grams = rows.select(*keys, F.explode_outer(word_grams(F.col("word"))).alias("gram"))
     else:
-        # At most `top` rows by construction.
+        # At most 20,000 rows by construction.
         table = word_scores(words, wide, langs).withColumnRenamed("word", "_word")
         rows = rows.join(F.broadcast(table), F.col("word") == F.col("_word"), "left")
         rest = F.when(F.col("_word").isNull(), word_grams(F.col("word")))
         kept = [f"w_{g}" for g in langs]
         score = {g: F.coalesce(f"w_{g}", f"lp_{g}") for g in langs}
         grams = rows.select(*keys, *kept, F.explode_outer(rest).alias("gram"))
-    # At most top x languages rows by construction.
     sums = (
-        grams.join(F.broadcast(wide), "gram", "left")
+        lookup_join(grams, wide, {"gram": "gram"}, small=fits_broadcast(wide))
         .groupBy(*keys)
         .agg(*[F.round(F.sum(score[g]), DIGITS).alias(f"s_{g}") for g in langs])
     )

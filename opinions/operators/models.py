@@ -1,31 +1,36 @@
-"""Classifiers on bag-of-words features, with Spark ML."""
+"""Classifiers on bags of words.
+
+Naive Bayes works on long rows (text, term, count): statistics are sums per class and term, a prediction is a
+sum per text and class. No vocabulary or matrix comes to the driver, and no term is left out. The random
+forest is Spark ML's.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinions.functions.values import in_test_split
+from opinions.operators.joins import fits_broadcast
 
 FEATURES = "features"
+#: Share of the largest variance of a term that is added to all variances.
+SMOOTHING = 1e-9
 
 
-def vectorized(
-    docs: DataFrame, words: str = "words", size: int = 2**18, min_docs: int = 1, vocab: Sequence[str] | None = None
-) -> DataFrame:
-    """Add ``features``: term counts over the ``size`` most frequent terms, or over ``vocab``.
+def vectorized(docs: DataFrame, words: str = "words", size: int = 2**18, vocab: Sequence[str] | None = None) -> DataFrame:
+    """Add ``features``: term counts over the ``size`` most frequent terms (Spark's own default), or over ``vocab``.
 
-    The fitted vocabulary is bounded by ``size``; which of several equally frequent terms it ends
-    with is not fixed, so name a short ``vocab`` where that matters.
+    For the random forest, which keeps its features' names and candidate splits on the driver anyway; the
+    bound is a parameter. Which of several equally frequent terms it ends with is not fixed.
     """
     if vocab is not None:
         return CountVectorizerModel.from_vocabulary(list(vocab), words, FEATURES).transform(docs)
-    counter = CountVectorizer(inputCol=words, outputCol=FEATURES, vocabSize=size, minDF=min_docs)
-    return counter.fit(docs).transform(docs)
+    return CountVectorizer(inputCol=words, outputCol=FEATURES, vocabSize=size).fit(docs).transform(docs)
 
 
 def key_split(df: DataFrame, key: str, folds: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -39,8 +44,101 @@ def random_split(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[Dat
     return left, right
 
 
-def naive_bayes(train: DataFrame, kind: str = "multinomial", label: str = "label"):
-    return NaiveBayes(featuresCol=FEATURES, labelCol=label, modelType=kind).fit(train)
+def class_counts(train: DataFrame, label: str = "label") -> dict[int, int]:
+    """Texts per class; a row per class."""
+    rows = train.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r[label]: r["n"] for r in sorted(rows, key=lambda r: r[label])}
+
+
+def _pick(values: dict[int, float], label: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for c, v in values.items() for x in (c, float(v))]), label)
+
+
+def _by_class(test_terms: DataFrame, stats: DataFrame, gain: Column, key: str, classes: Sequence[int]) -> DataFrame:
+    """key, d_<class>: the sum of ``gain`` over a text's terms, for each class."""
+    wide = stats.groupBy("term").agg(
+        F.map_from_entries(F.collect_list(F.struct("label", F.struct(*[c for c in stats.columns if c not in ("term", "label")])))).alias("of")
+    )
+    wide = wide.withColumnRenamed("term", "_term")
+    joined = test_terms.join(F.broadcast(wide) if fits_broadcast(wide) else wide, F.col("term") == F.col("_term"))
+    sums = [F.sum(gain(F.element_at("of", F.lit(c)))).alias(f"d_{c}") for c in classes]
+    return joined.groupBy(key).agg(*sums)
+
+
+def _decided(test: DataFrame, sums: DataFrame, base: dict[int, Column], key: str, label: str) -> DataFrame:
+    """The class with the greatest score; ties go to the smaller class."""
+    scored = test.select(key, label).join(sums, key, "left")
+    scores = [F.struct((base[c] + F.coalesce(F.col(f"d_{c}"), F.lit(0.0))).alias("s"), F.lit(-c).alias("c")) for c in base]
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return scored.select(key, label, (-best["c"]).cast("int").alias("prediction"))
+
+
+def multinomial_bayes(docs: DataFrame, terms: DataFrame, key: str = "mention_id", label: str = "label", folds: int = 5) -> DataFrame:
+    """key, label, prediction for the held-out texts, by multinomial naive Bayes with add-one smoothing.
+
+    ``docs`` has key and label, ``terms`` has key, term and n. Every term of either side counts. A term that a
+    class has never seen has the class's floor, so only seen pairs are stored.
+    """
+    train, test = key_split(docs, key, folds)
+    classes = class_counts(train, label)
+    if not classes:
+        return test.select(key, label, F.lit(None).cast("int").alias("prediction"))
+    labelled = terms.join(train.select(key, F.col(label).alias("label")), key).filter("label IS NOT NULL")
+    counts = labelled.groupBy("label", "term").agg(F.sum("n").alias("n"))
+    v = terms.join(docs.select(key), key, "left_semi").select("term").distinct().count()
+    sums = {r["label"]: r["n"] for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    texts = sum(classes.values())
+    floor = {c: F.log(F.lit(1.0 / (sums.get(c, 0) + v))) for c in classes}
+    known = counts.select("label", "term", F.log(F.col("n") + F.lit(1.0)).alias("lift"))
+    held = terms.join(test.select(key), key, "left_semi")
+    lifted = _by_class(held, known, lambda s: F.col("n") * F.coalesce(s["lift"], F.lit(0.0)), key, list(classes))
+    length = held.groupBy(key).agg(F.sum("n").alias("_length"))
+    lifted = length.join(lifted, key, "left").select(
+        key,
+        *[(F.coalesce(F.col(f"d_{c}"), F.lit(0.0)) + F.col("_length") * floor[c]).alias(f"d_{c}") for c in classes],
+    )
+    prior = {c: F.log(F.lit((n + 1.0) / (texts + len(classes)))) for c, n in classes.items()}
+    return _decided(test, lifted, prior, key, label)
+
+
+def gaussian_bayes(docs: DataFrame, terms: DataFrame, key: str = "mention_id", label: str = "label", folds: int = 5) -> DataFrame:
+    """key, label, prediction for the held-out texts, by Gaussian naive Bayes over the counts of all terms.
+
+    A text has few of the terms. Its score is that of a text without any, a constant of the class, plus a
+    correction for each term it has; absent terms are never written out.
+    """
+    train, test = key_split(docs, key, folds)
+    classes = class_counts(train, label)
+    if not classes:
+        return test.select(key, label, F.lit(None).cast("int").alias("prediction"))
+    texts = sum(classes.values())
+    used = terms.join(docs.select(key, F.col(label).alias("label")), key)
+    n = F.col("n").cast("double")
+    seen = used.filter(F.col("label").isNotNull() & ~in_test_split(F.col(key), folds))
+    seen = seen.groupBy("label", "term").agg(F.sum(n).alias("s"), F.sum(n * n).alias("q"))
+    whole = seen.groupBy("term").agg((F.sum("q") / texts - F.pow(F.sum("s") / texts, 2)).alias("var"))
+    v = used.select("term").distinct().count()
+    least = SMOOTHING * (whole.agg(F.max("var")).first()[0] or 0.0)
+    if least == 0:  # no term varies, so none tells classes apart
+        least = SMOOTHING
+    size = _pick(classes, F.col("label"))
+    mean = F.col("s") / size
+    stats = seen.select("label", "term", mean.alias("mu"), (F.col("q") / size - mean * mean + least).alias("var"))
+    log_var, square = F.log(2 * F.pi() * F.col("var")), F.col("mu") * F.col("mu") / F.col("var")
+    silent = {r["label"]: r for r in stats.groupBy("label").agg(F.sum(log_var + square).alias("x"), F.count(F.lit(1)).alias("k")).collect()}
+    never = F.log(2 * F.pi() * F.lit(least))
+    base = {}
+    for c, size_c in classes.items():
+        x, k = (silent[c]["x"], silent[c]["k"]) if c in silent else (0.0, 0)
+        base[c] = F.log(F.lit(size_c / texts)) - 0.5 * (F.lit(x) + (v - k) * never)
+
+    def gain(s):
+        mu, var = F.coalesce(s["mu"], F.lit(0.0)), F.coalesce(s["var"], F.lit(least))
+        return (2 * n * mu - n * n) / (2 * var)
+
+    held = terms.join(test.select(key), key, "left_semi")
+    # A term that no class has seen still costs every class the same; it is in no row of the statistics.
+    return _decided(test, _by_class(held, stats, gain, key, list(classes)), base, key, label)
 
 
 def random_forest(train: DataFrame, trees: int = 200, seed: int = 42, depth: int = 5, label: str = "label"):

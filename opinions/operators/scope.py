@@ -11,6 +11,7 @@ from opinions.functions.text import mentions_word
 from opinions.functions.values import parse_join_date
 
 POPULATIONS = ("mentions", "users", "established")
+ORDERS = ("dedup_first", "positive_first")
 
 
 def keep_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
@@ -70,6 +71,10 @@ def population(
     """
     if kind not in POPULATIONS:
         raise ValueError(f"population must be one of {POPULATIONS}")
+    if order not in ORDERS:
+        raise ValueError(f"order must be one of {ORDERS}")
+    if kind == "established" and cutoff is None:
+        raise ValueError("established users need a cutoff date")
     if order == "positive_first":
         scoped = positives(scoped)
     if kind == "mentions":

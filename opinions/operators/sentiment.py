@@ -2,15 +2,16 @@
 
 A text is one row, and so is its token array. The array is exploded, tokens that the lexicon does
 not know are dropped by a broadcast join in the same stage, and the few scored tokens read their
-neighbours from the array by position. Their scores are summed per text inside the task that read
-the text, so the only shuffle carries one narrow row per text: no text, no token crosses the network.
+neighbours from the array by position. These hits, with five neighbours each, make the only shuffle: by
+text, where repeated tokens take the neighbours of their first place and scores are summed. No text
+crosses the network, and the cost of a text is linear in its length but for sorting its hits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social, is_upper, scorer_tokens
@@ -62,12 +63,25 @@ def tokenized(docs: DataFrame, rules: RuleSet, keys: Sequence[str], text: str) -
     )
 
 
-def _context(rows: DataFrame) -> DataFrame:
-    """Neighbours of the first place where the same token occurs; positions start at 1."""
-    first = F.array_position("toks", F.col("tok")).cast("int")
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """Neighbours of each token's own place; positions start at 1."""
     shift = {"b1": -2, "b2": -3, "b3": -4, "a1": 0, "a2": 1}
-    near = [F.get("toks", F.col("first") + by).alias(name) for name, by in shift.items()]
-    return rows.select("*", first.alias("first"), *near).drop("toks")
+    near = [F.get("toks", F.col("pos") + by).alias(name) for name, by in shift.items()]
+    return rows.select("*", *near).drop("toks")
+
+
+def _of_first_place(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give every hit the neighbours of the first place where the same token occurs in its text.
+
+    One pass over a text's hits in the order of token and place; the sums per text that follow need no
+    further shuffle.
+    """
+    order = Window.partitionBy(*keys).orderBy("tok", "pos")
+    here = F.struct(F.col("pos").cast("int").alias("first"), *NEIGHBOURS)
+    head = F.when(~F.col("tok").eqNullSafe(F.lag("tok").over(order)) | F.lag("pos").over(order).isNull(), here)
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = hits.withColumn("_head", head).withColumn("_head", F.last("_head", ignorenulls=True).over(running))
+    return placed.drop(*NEIGHBOURS).select("*", "_head.*").drop("_head")
 
 
 def token_context(
@@ -105,7 +119,6 @@ def scored_tokens(
     doc_cols = [*keys, "n", "mixed", "turn", "emph"]
     lex = lexicon.select("token", "valence")
     small = fits_broadcast(lex)
-    salt_by = [*keys, "pos"]
 
     cells = F.concat(F.array(F.lit(None).cast("string")), F.col("toks"))
     rows = tokenized(docs, rules, keys, text).select(
@@ -116,16 +129,16 @@ def scored_tokens(
     rows = rows.select("*", F.lower("tok").alias("low"))
 
     def known(df: DataFrame) -> DataFrame:
-        out = lookup_join(df, lex, {"low": "token"}, small=small, salt_by=salt_by)
+        out = lookup_join(df, lex, {"low": "token"}, small=small)
         return out.filter(F.col("valence").isNotNull() | (F.col("pos") == 0))
 
     # A lexicon too large to broadcast shuffles the tokens, so the array must be gone before.
-    hits = _context(known(rows)) if small else known(_context(rows))
+    hits = _of_first_place(_neighbours(known(rows)) if small else known(_neighbours(rows)), keys)
     hits = hits.select("*", *[F.lower(b).alias(f"low_{b}") for b in ("b1", "b2", "b3")])
     for b in ("b1", "b2", "b3"):
         # The same table under the same names each time: one broadcast serves all joins.
         hits = hits.withColumnRenamed("valence", "_kept")
-        hits = lookup_join(hits, lex, {f"low_{b}": "token"}, small=small, salt_by=salt_by)
+        hits = lookup_join(hits, lex, {f"low_{b}": "token"}, small=small)
         hits = hits.withColumnsRenamed({"valence": f"val_{b}", "_kept": "valence"})
     return _apply_rules(hits, rules)
 

@@ -35,8 +35,7 @@ def positive_by_region(pop: DataFrame, subjects: Sequence[str], in_all: bool = T
 
 
 def with_leader(by_region: DataFrame, subjects: Sequence[str], tie: str = "first") -> DataFrame:
-    a, b = (F.col(f"n_{s}") for s in subjects)
-    return by_region.withColumn("leader", leader_of(a, b, subjects, tie))
+    return by_region.withColumn("leader", leader_of([F.col(f"n_{s}") for s in subjects], subjects, tie))
 
 
 def weights_join(leaders: DataFrame, outcome: DataFrame) -> DataFrame:
@@ -62,13 +61,13 @@ def region_mentions_both(pos: DataFrame, subjects: Sequence[str]) -> DataFrame:
 
 
 def scoreboard(pos: DataFrame, spine: DataFrame, subjects: Sequence[str]) -> DataFrame:
-    """Every region of the spine with both counts, their ratio and the leader (a draw goes to the
-    second subject)."""
+    """Every region of the spine with all counts, the ratio of the first two and the leader (a draw goes to
+    the last subject)."""
     counts = positive_by_region(pos, subjects, in_all=False)
     cols = [f"n_{s}" for s in subjects]
     out = spine.join(counts, "region", "left").na.fill(0, subset=cols)
     out = out.withColumn("ratio", ratio(F.col(cols[0]), F.col(cols[1])))
-    return with_leader(out, subjects, tie="second")
+    return with_leader(out, subjects, tie="last")
 
 
 def with_region_code(df: DataFrame, region_dim: DataFrame) -> DataFrame:

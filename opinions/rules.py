@@ -72,6 +72,14 @@ REGION_CODES = {
 REGION_WITHOUT_ROW = "District of Columbia"
 # Words a stop-word filter must keep, because they carry opinion.
 STOPWORD_EXCEPTIONS = ("n't", "not", "no")
+CAPS_STEP = 0.733
+NEGATION_FACTOR = -0.74
+DISTANCE_FACTORS = (1.0, 0.95, 0.9)
+NEVER_FACTORS = (1.5, 1.25)
+CONTRAST_FACTORS = (0.5, 1.5)
+EXCLAIM_STEP, EXCLAIM_CAP = 0.292, 4
+QUESTION_STEP, QUESTION_CAP = 0.18, 0.96
+SQUASH = 15.0
 # ------------------------------------------------------------------------------------------------
 
 
@@ -91,14 +99,14 @@ class RuleSet:
     never_word: str = "never"
     never_links: tuple[str, ...] = ("so", "this")
     softener: tuple[str, str] = ("kind", "of")
-    caps_step: float = 0.733
-    negation_factor: float = -0.74
+    caps_step: float = CAPS_STEP
+    negation_factor: float = NEGATION_FACTOR
     bigram_step: float = -STEP
-    distance_factors: tuple[float, float, float] = (1.0, 0.95, 0.9)
-    never_factors: tuple[float, float] = (1.5, 1.25)
-    contrast_factors: tuple[float, float] = (0.5, 1.5)
-    exclaim_step: float = 0.292
-    exclaim_cap: int = 4
-    question_step: float = 0.18
-    question_cap: float = 0.96
-    squash: float = 15.0
+    distance_factors: tuple[float, float, float] = DISTANCE_FACTORS
+    never_factors: tuple[float, float] = NEVER_FACTORS
+    contrast_factors: tuple[float, float] = CONTRAST_FACTORS
+    exclaim_step: float = EXCLAIM_STEP
+    exclaim_cap: int = EXCLAIM_CAP
+    question_step: float = QUESTION_STEP
+    question_cap: float = QUESTION_CAP
+    squash: float = SQUASH

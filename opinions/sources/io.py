@@ -2,32 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinions.rules import REGION_CODES, REGION_WITHOUT_ROW
 
+#: Pieces of an input that counts as small.
+SMALL_PIECES = 4
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt: str = "_corrupt") -> DataFrame:
-    """CSV with a header and line breaks inside quoted fields.
 
-    Columns are matched by position. Lines that do not fit keep their text in ``corrupt``. A file
-    with multi-line fields cannot be split, so spread the rows with ``spread`` afterwards.
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    columns: Mapping[str, str] | None = None,
+    corrupt: str = "_corrupt",
+) -> DataFrame:
+    """CSV with a header and line breaks inside quoted fields, read by the names in the header.
+
+    ``columns`` maps columns of ``schema`` to names in the file; others have their own name. Order does not
+    matter, further columns are ignored, absent ones are null, and values that don't fit their type
+    are null. Lines that do not fit the header keep their text in ``corrupt``. Files of one path whose headers
+    differ raise an error. A file with multi-line fields cannot be split, so spread the rows with
+    ``spread`` afterwards.
     """
-    full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    return (
-        spark.read.schema(full)
-        .option("header", True)
+    reader = (
+        spark.read.option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", corrupt)
-        .csv(path)
+        .option("enforceSchema", False)  # compare each file's header with the names
     )
+    names = reader.csv(path).columns
+    strings = T.StructType([T.StructField(n, T.StringType()) for n in (*names, corrupt)])
+    rows = reader.schema(strings).csv(path)
+    source = dict(columns or {})
+
+    def column(field: T.StructField) -> Column:
+        name = source.get(field.name, field.name)
+        found = rows[f"`{name}`"] if name in names else F.lit(None).cast("string")
+        return found.try_cast(field.dataType).alias(field.name)
+
+    return rows.select(*[column(f) for f in schema.fields], corrupt)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -41,9 +62,14 @@ def spread(df: DataFrame, parts: int, *keys: str) -> DataFrame:
 
 
 def fill_cluster(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input of fewer pieces than cores; an input with enough pieces is left alone."""
+    """Spread an input that is too small to be scanned by many tasks; any other is left alone.
+
+    A scan piece holds ``spark.sql.files.maxPartitionBytes`` at most, or one row group, so what is moved is bounded
+    by SMALL_PIECES of them, however many cores there are. A larger input is never shuffled.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return spread(df, cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    pieces = df.rdd.getNumPartitions()
+    return spread(df, cores, *keys) if pieces < min(cores, SMALL_PIECES + 1) else df
 
 
 def write_scored(df: DataFrame, path: str, by: str = "subject", mode: str = "overwrite") -> None:
@@ -60,7 +86,9 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """token, valence from lines ``token TAB valence TAB ...``; the last line of a token counts."""
     lines = spark.read.text(path, wholetext=False).select(
         "value",
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
+        # Pieces of a file in its order, then lines in the order of their piece.
+        F.col("_metadata.file_block_start").alias("piece"),
         F.monotonically_increasing_id().alias("line"),
     )
     cells = F.split(F.trim("value"), "\t")
@@ -68,9 +96,10 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
         F.get(cells, F.lit(0)).alias("token"),
         F.get(cells, F.lit(1)).try_cast("double").alias("valence"),
         "file",
+        "piece",
         "line",
     ).filter("token <> '' AND valence IS NOT NULL")
-    last = Window.partitionBy("token").orderBy(F.desc("file"), F.desc("line"))
+    last = Window.partitionBy("token").orderBy(F.desc("file"), F.desc("piece"), F.desc("line"))
     return parsed.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1").select("token", "valence")
 
 

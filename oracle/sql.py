@@ -9,7 +9,7 @@ from oracle.tables import CTES
 # Read more than once, or too large to inline.
 HELD = {
     "token_rows", "token_near", "first_hits", "step5", "gram_counts", "profiles", "word_counts", "vocab",
-    "stems", "bag", "lbag", "cells", "gauss", "cleaned", "hits", "nb_theta",
+    "stems", "bag", "lbag", "jbag", "jlabelled", "moments", "gauss", "cleaned", "hits", "nb_theta", "jnb_theta",
 }
 
 
@@ -59,8 +59,8 @@ FINAL: dict[str, str] = {
         SELECT mention_id, CASE WHEN polarity = 0 THEN 0 WHEN subject = 'a' AND polarity = -1 THEN 1
           WHEN subject = 'a' THEN 2 WHEN polarity = -1 THEN 3 ELSE 4 END AS class FROM mentions""",
     "union_corpora": """
-        SELECT mention_id, subject, polarity FROM mentions WHERE subject = 'a'
-        UNION ALL SELECT mention_id, subject, NULL FROM mentions WHERE subject = 'b'""",
+        SELECT mention_id, subject, polarity, ts, CASE WHEN subject = 'b' THEN 'B' END AS origin
+        FROM mentions WHERE subject IN ('a', 'b')""",
     "key_split": "SELECT mention_id, CASE WHEN mention_id % 5 = 0 THEN 1 ELSE 0 END AS test FROM mentions",
     "region_code_lookup": """
         SELECT m.region, mention_id, region_code FROM mentions m LEFT JOIN regions r ON r.region = m.region""",
@@ -128,11 +128,11 @@ FINAL: dict[str, str] = {
     "langid_predict": "SELECT mention_id, pred, round(best, 3) AS best FROM lang_pred",
     "langid_filter": "SELECT mention_id, pred FROM lang_pred WHERE pred = 'en'",
     "scored_mentions": """
-        SELECT t.mention_id, t.subject, t.mention_id % 1500 AS user_id, a.user_join_date, a.country,
+        SELECT t.mention_id, t.subject, t.mention_id + 1 AS user_id, a.user_join_date, a.country,
           CASE WHEN t.mention_id % 31 <> 0 THEN a.region END AS region, neg, neu, pos, compound,
           CASE WHEN compound > 0 THEN 1 WHEN compound < 0 THEN -1 ELSE 0 END AS polarity
         FROM texts t
-        LEFT JOIN authors a ON a.user_id = t.mention_id % 1500
+        LEFT JOIN authors a ON a.user_id = t.mention_id + 1
         JOIN scores s ON s.mention_id = t.mention_id
         JOIN lang_pred l ON l.mention_id = t.mention_id AND pred = 'en'
         JOIN cleaned c ON c.mention_id = t.mention_id AND c.text <> ''
@@ -151,6 +151,11 @@ FINAL: dict[str, str] = {
     "bag_of_words": "SELECT mention_id, term, n FROM bag",
     "term_topk": "SELECT term, freq FROM term_freq ORDER BY freq DESC, term LIMIT 20",
     "nb_multinomial": "SELECT mention_id, label, prediction FROM nb_pred",
+    "nb_joint_class": "SELECT mention_id, label, prediction FROM jnb_pred",
+    "rf_predictions": "SELECT mention_id, label, true AS valid FROM labelled WHERE test",
+    "classifier_accuracy": """
+        SELECT model, (SELECT count(*) FROM labelled WHERE test) AS n, true AS valid
+        FROM (VALUES ('naive_bayes'), ('random_forest')) s(model)""",
     "nb_gaussian": "SELECT mention_id, label, prediction FROM gauss_pred",
     "nb_accuracy": """
         SELECT 'multinomial' AS model, round(avg(CAST(prediction = label AS DOUBLE)), 6) AS accuracy, count(*) AS n FROM nb_pred

@@ -289,8 +289,7 @@ SELECT lang, gram, n, ln((n + 1) / (sum(n) OVER (PARTITION BY lang) + v)) AS log
   ln(1 / (sum(n) OVER (PARTITION BY lang) + v)) AS floor
 FROM (
   SELECT *, count(DISTINCT gram) OVER () AS v FROM (
-    SELECT lang, gram, sum(c) AS n FROM gram_counts GROUP BY lang, gram
-    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sum(c) DESC, gram) <= 500))
+    SELECT lang, gram, sum(c) AS n FROM gram_counts GROUP BY lang, gram))
 """
 
 CTES["lang_scores"] = """
@@ -441,50 +440,74 @@ SELECT l.doc_id AS mention_id, quality + 2 * toxic AS label, l.doc_id % 5 = 0 AS
 # The classifiers know the terms of the labelled texts only.
 CTES["lbag"] = "SELECT b.*, label, test FROM bag b JOIN labelled l ON l.mention_id = b.mention_id"
 
-CTES["nb_theta"] = """
+# The joint class of subject and polarity, over all texts.
+CTES["jlabelled"] = """
+SELECT t.mention_id, t.mention_id % 5 = 0 AS test, CASE WHEN compound = 0 THEN 0 ELSE
+  CASE subject WHEN 'a' THEN 1 ELSE 3 END + CASE WHEN compound > 0 THEN 1 ELSE 0 END END AS label
+FROM texts t JOIN scores s ON s.mention_id = t.mention_id
+"""
+CTES["jbag"] = "SELECT b.*, label, test FROM bag b JOIN jlabelled l ON l.mention_id = b.mention_id"
+
+
+def _bayes(p: str) -> None:
+    """Tables of multinomial naive Bayes over ``{p}labelled`` and ``{p}bag`` (``lbag`` for the labels)."""
+    bag = "jbag" if p else "lbag"
+    CTES[f"{p}nb_theta"] = f"""
 SELECT label, term, ln((n + 1) / (sum(n) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label))) AS theta
 FROM (
   SELECT c.label, v.term, coalesce(sum(b.n), 0) AS n
-  FROM (SELECT DISTINCT label FROM labelled WHERE NOT test) c
-  CROSS JOIN (SELECT DISTINCT term FROM lbag) v
-  LEFT JOIN lbag b ON b.label = c.label AND b.term = v.term AND NOT b.test
+  FROM (SELECT DISTINCT label FROM {p}labelled WHERE NOT test) c
+  CROSS JOIN (SELECT DISTINCT term FROM {bag}) v
+  LEFT JOIN {bag} b ON b.label = c.label AND b.term = v.term AND NOT b.test
   GROUP BY c.label, v.term)
 """
-
-CTES["nb_pred"] = """
+    CTES[f"{p}nb_pred"] = f"""
 SELECT mention_id, label, prediction FROM (
   SELECT t.mention_id, t.label, p.label AS prediction, pi + coalesce(s, 0) AS score
-  FROM (SELECT * FROM labelled WHERE test) t
+  FROM (SELECT * FROM {p}labelled WHERE test) t
   CROSS JOIN (
-    SELECT label, ln((count(*) + 1) / ((SELECT count(*) FROM labelled WHERE NOT test) + count(*) OVER ())) AS pi
-    FROM labelled WHERE NOT test GROUP BY label) p
+    SELECT label, ln((count(*) + 1) / ((SELECT count(*) FROM {p}labelled WHERE NOT test) + count(*) OVER ())) AS pi
+    FROM {p}labelled WHERE NOT test GROUP BY label) p
   LEFT JOIN (
     SELECT b.mention_id, h.label, sum(b.n * theta) AS s
-    FROM lbag b JOIN nb_theta h ON h.term = b.term WHERE b.test GROUP BY b.mention_id, h.label) d
+    FROM {bag} b JOIN {p}nb_theta h ON h.term = b.term WHERE b.test GROUP BY b.mention_id, h.label) d
     ON d.mention_id = t.mention_id AND d.label = p.label)
 QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, prediction) = 1
 """
 
-CTES["few_terms"] = "SELECT term FROM lbag GROUP BY term ORDER BY sum(n) DESC, term LIMIT 20"
 
-CTES["cells"] = """
-SELECT l.mention_id, l.label, l.test, f.term, CAST(coalesce(b.n, 0) AS DOUBLE) AS x
-FROM labelled l CROSS JOIN few_terms f LEFT JOIN lbag b ON b.mention_id = l.mention_id AND b.term = f.term
-"""
+_bayes("")
+_bayes("j")
 
+# Gaussian naive Bayes over all terms. A text has few of them: the density at zero is summed once per class,
+# and each term that a text has replaces its share of that sum.
+CTES["moments"] = """
+SELECT b.label, term, sum(n) / any_value(c.k) AS mu, sum(n * n) / any_value(c.k) - (sum(n) / any_value(c.k)) ** 2 AS var
+FROM lbag b JOIN (SELECT label, count(*) AS k FROM labelled WHERE NOT test GROUP BY label) c ON c.label = b.label
+WHERE NOT test GROUP BY b.label, term
+"""
+CTES["eps"] = """
+SELECT 1e-9 * max(q / k - (s / k) ** 2) AS e
+FROM (SELECT term, sum(n) AS s, sum(n * n) AS q FROM lbag WHERE NOT test GROUP BY term),
+  (SELECT count(*) AS k FROM labelled WHERE NOT test)
+"""
 CTES["gauss"] = """
-SELECT label, term, avg(x) AS mu, var_pop(x) + (
-    SELECT 1e-9 * max(s) FROM (SELECT var_pop(x) AS s FROM cells WHERE NOT test GROUP BY term)) AS var
-FROM cells WHERE NOT test GROUP BY label, term
+SELECT c.label, v.term, coalesce(mu, 0) AS mu, coalesce(var, 0) + e AS var
+FROM (SELECT DISTINCT label FROM labelled WHERE NOT test) c CROSS JOIN (SELECT DISTINCT term FROM lbag) v CROSS JOIN eps
+LEFT JOIN moments m ON m.label = c.label AND m.term = v.term
 """
-
 CTES["gauss_pred"] = """
 SELECT mention_id, label, prediction FROM (
-  SELECT c.mention_id, c.label, g.label AS prediction,
-    any_value(pi) + sum(-0.5 * ln(2 * pi() * var) - (x - mu) * (x - mu) / (2 * var)) AS score
-  FROM cells c JOIN gauss g ON g.term = c.term
-  JOIN (SELECT label, ln(count(*) / (SELECT count(*) FROM labelled WHERE NOT test)) AS pi
-        FROM labelled WHERE NOT test GROUP BY label) p ON p.label = g.label
-  WHERE c.test GROUP BY c.mention_id, c.label, g.label)
+  SELECT t.mention_id, t.label, p.label AS prediction, pi + at_zero + coalesce(s, 0) AS score
+  FROM (SELECT * FROM labelled WHERE test) t
+  CROSS JOIN (SELECT label, ln(count(*) / (SELECT count(*) FROM labelled WHERE NOT test)) AS pi
+    FROM labelled WHERE NOT test GROUP BY label) p
+  JOIN (SELECT label, sum(-0.5 * ln(2 * pi() * var) - mu * mu / (2 * var)) AS at_zero FROM gauss GROUP BY label) z
+    ON z.label = p.label
+  LEFT JOIN (
+    SELECT b.mention_id, g.label, sum(mu * mu / (2 * var) - (n - mu) * (n - mu) / (2 * var)) AS s
+    FROM lbag b JOIN gauss g ON g.term = b.term JOIN (SELECT DISTINCT term FROM moments) k ON k.term = b.term
+    WHERE b.test GROUP BY b.mention_id, g.label) d
+    ON d.mention_id = t.mention_id AND d.label = p.label)
 QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, prediction) = 1
 """

@@ -1,6 +1,6 @@
 """A second, sequential scorer, written from the rule table for comparison only.
 
-It walks a token list and keeps one number; nothing is shared with the package but the rule lists.
+The rules are rows of a table that one loop applies; nothing is shared with the package but the rule lists.
 """
 
 from __future__ import annotations
@@ -37,64 +37,89 @@ def shouting(token):
     return "Lu" in kinds and not kinds & {"Ll", "Lt"}
 
 
+class Place:
+    """A token at its first place: ``at(0)`` is the token, ``at(-1)`` the one before it, None beyond the ends."""
+
+    def __init__(self, ts, tok, mixed, lex):
+        self.ts, self.here, self.mixed, self.lex = ts, ts.index(tok), mixed, lex
+
+    def at(self, by):
+        i = self.here + by
+        return self.ts[i] if 0 <= i < len(self.ts) else None
+
+    def low(self, by):
+        return (self.at(by) or "").lower()
+
+    def free(self, by):
+        """There is a token, and the lexicon does not know it."""
+        return self.at(by) is not None and self.low(by) not in self.lex
+
+    def phrase(self, first, last):
+        words = [self.at(i) for i in range(first, last + 1)]
+        return " ".join(words) if all(words) else None
+
+
+def rows(r):
+    """The rule table: (which places a row covers, its condition, its effect on the value), in order.
+
+    Rows of one group name exclude each other: the first that holds is applied.
+    """
+    sign = lambda v: 1 if v > 0 else -1
+    table = [("caps", lambda p: p.mixed and shouting(p.at(0)), lambda v, p: v + sign(v) * r.caps_step)]
+
+    def lift(by, weight):
+        def effect(v, p):
+            step = r.boosters[p.low(by)] * (-1 if v < 0 else 1)
+            loud = r.caps_step * sign(v) if p.mixed and shouting(p.at(by)) else 0
+            return v + (step + loud) * weight
+
+        return effect
+
+    def times(factor):
+        return lambda v, p: v * factor
+
+    def denies(by):
+        return lambda p: p.free(by) and (p.low(by) in r.negators or r.contraction in p.low(by))
+
+    def never(by, *links):
+        return lambda p: p.free(by) and any(all(p.at(i) in words for i, words in need) for need in links)
+
+    so, no_more = r.never_links, (r.never_word,)
+    special = {
+        -2: [(never(-2, [(-2, no_more), (-1, so)]), times(r.never_factors[0]))],
+        -3: [(never(-3, [(-1, so)], [(-3, no_more), (-2, so)]), times(r.never_factors[1]))],
+    }
+    for by, weight in zip((-1, -2, -3), r.distance_factors):
+        table.append((f"boost{by}", lambda p, by=by: p.free(by) and p.low(by) in r.boosters, lift(by, weight)))
+        for condition, effect in [*special.get(by, []), (denies(by), times(r.negation_factor))]:
+            table.append((f"deny{by}", condition, effect))
+    for first, last in ((0, 2), (0, 1), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)):
+        span = (first, last)
+        table.append(
+            ("idiom", lambda p, s=span: p.free(-3) and p.phrase(*s) in r.idioms, lambda v, p, s=span: r.idioms[p.phrase(*s)])
+        )
+    pair = lambda p: p.free(-3) and (p.phrase(-3, -2) in r.boosters or p.phrase(-2, -1) in r.boosters)
+    table.append(("damp", pair, lambda v, p: v + r.bigram_step))
+    least = lambda p: p.free(-1) and p.low(-1) == r.least_word and p.low(-2) not in r.least_exempt
+    table.append(("least", least, times(r.negation_factor)))
+    return table
+
+
 class Plain:
     def __init__(self, lexicon, rules):
-        self.lex, self.r = lexicon, rules
+        self.lex, self.r, self.table = lexicon, rules, rows(rules)
 
-    def denies(self, w):
-        return w.lower() in self.r.negators or self.r.contraction in w.lower()
-
-    def word(self, ts, at, mixed):
-        r, tok = self.r, ts[at]
-        at = ts.index(tok)
-        low = tok.lower()
-        follow = ts[at + 1 : at + 3]
-        if low in r.boosters or (low == r.softener[0] and follow and follow[0].lower() == r.softener[1]):
-            return 0.0
-        if low not in self.lex:
+    def word(self, ts, tok, mixed):
+        place, r = Place(ts, tok, mixed, self.lex), self.r
+        softened = place.low(0) == r.softener[0] and place.low(1) == r.softener[1]
+        if place.low(0) not in self.lex or place.low(0) in r.boosters or softened:
             return 0.0
-        v = self.lex[low]
-        if mixed and shouting(tok):
-            v += math.copysign(r.caps_step, 1 if v > 0 else -1)
-        back = [ts[at - k] if at >= k else None for k in (1, 2, 3)]
-        for k, w in enumerate(back):
-            if w is None or w.lower() in self.lex:
-                continue
-            if w.lower() in r.boosters:
-                push = r.boosters[w.lower()] * (-1 if v < 0 else 1)
-                if mixed and shouting(w):
-                    push += r.caps_step if v > 0 else -r.caps_step
-                v += push * r.distance_factors[k]
-            v *= self.flip(back, k)
-            if k == 2:
-                v = self.phrases(v, back, tok, follow)
-        near = back[0]
-        if near and near.lower() == r.least_word and near.lower() not in self.lex:
-            if back[1] is None or back[1].lower() not in r.least_exempt:
-                v *= r.negation_factor
-        return v
-
-    def flip(self, back, k):
-        r = self.r
-        if k == 1 and back[1] == r.never_word and back[0] in r.never_links:
-            return r.never_factors[0]
-        if k == 2 and (back[0] in r.never_links or (back[2] == r.never_word and back[1] in r.never_links)):
-            return r.never_factors[1]
-        return r.negation_factor if self.denies(back[k]) else 1
-
-    def phrases(self, v, back, tok, follow):
-        b1, b2, b3 = back
-        for words in ((b1, tok), (b2, b1, tok), (b2, b1), (b3, b2, b1), (b3, b2)):
-            if " ".join(words) in self.r.idioms:
-                v = self.r.idioms[" ".join(words)]
-                break
-        for n in (1, 2):
-            ahead = " ".join([tok, *follow[:n]])
-            if len(follow) >= n and ahead in self.r.idioms:
-                v = self.r.idioms[ahead]
-        if f"{b3} {b2}" in self.r.boosters or f"{b2} {b1}" in self.r.boosters:
-            v += self.r.bigram_step
-        return v
+        value, done = self.lex[place.low(0)], set()
+        for group, holds, effect in self.table:
+            if group not in done and holds(place):
+                done.add(group)
+                value = effect(value, place)
+        return value
 
     def scores(self, text):
         """neg, neu, pos, compound."""
@@ -103,7 +128,7 @@ class Plain:
         if not ts:
             return 0.0, 0.0, 0.0, 0.0
         loud = sum(map(shouting, ts))
-        each = [self.word(ts, i, 0 < loud < len(ts)) for i in range(len(ts))]
+        each = [self.word(ts, tok, 0 < loud < len(ts)) for tok in ts]
         lows = [t.lower() for t in ts]
         if r.contrast_word in lows:
             p = lows.index(r.contrast_word)

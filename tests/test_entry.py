@@ -26,7 +26,7 @@ def db(sf):
 def test_every_twin_has_a_query():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"rf_predictions", "classifier_accuracy"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

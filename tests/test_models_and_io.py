@@ -1,9 +1,12 @@
 import math
+import random
+import statistics
 from collections import Counter
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opinions import rules, schema
 from opinions.operators import bow
@@ -32,33 +35,72 @@ def test_split_depends_on_the_key(featured):
     assert left.count() + right.count() == featured.count()
 
 
-def test_multinomial_bayes_closed_form(featured):
-    train, _ = m.key_split(featured, "mention_id")
-    rows = train.select("label", "words").collect()
-    terms = {t for r in featured.select("words").collect() for t in r["words"]}
-    vectors = m.vectorized(train.drop("features"), vocab=sorted(terms))
-    model = m.naive_bayes(vectors)
-    fitted = model.theta.toArray()
-    theta = {(c, t): fitted[c, j] for c in (0, 1) for j, t in enumerate(sorted(terms))}
-    for label in (0, 1):
-        counts = Counter(t for r in rows if r["label"] == label for t in r["words"])
-        for t in terms:
-            want = math.log((counts[t] + 1) / (sum(counts.values()) + len(terms)))
-            assert math.isclose(theta[label, t], want, rel_tol=1e-9)
-    assert "good" in terms
-
-
-def test_models_and_accuracy(featured):
-    train, test = m.key_split(featured, "mention_id")
-    nb = m.predictions(m.naive_bayes(train), test, ["mention_id"])
-    rf = m.predictions(m.random_forest(train, trees=5), test, ["mention_id"])
+def plain_bayes(docs, kind):
+    """Predictions from dense vectors, class by class."""
+    terms = sorted({t for _, words, _ in docs for t in words})
+    train = [d for d in docs if d[0] % 5]
+    classes = sorted({d[2] for d in train})
+    counts = {d[0]: [d[1].count(t) for t in terms] for d in docs}
+    columns = list(zip(*(counts[d[0]] for d in train)))
+    largest = max(statistics.pvariance(c) for c in columns)
+    out = []
+    for key, _, label in docs:
+        if key % 5:
+            continue
+        score = {}
+        for c in classes:
+            own = [counts[d[0]] for d in train if d[2] == c]
+            if kind == "multinomial":
+                total = sum(map(sum, own)) + len(terms)
+                s = math.log((len(own) + 1) / (len(train) + len(classes)))
+                s += sum(n * math.log((sum(col) + 1) / total) for n, col in zip(counts[key], zip(*own)))
+            else:
+                s = math.log(len(own) / len(train))
+                for n, col in zip(counts[key], zip(*own)):
+                    var = statistics.pvariance(col) + 1e-9 * largest
+                    s -= 0.5 * math.log(2 * math.pi * var) + (n - statistics.fmean(col)) ** 2 / (2 * var)
+            score[c] = s
+        out.append((key, label, max(classes, key=lambda c: (score[c], -c))))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["multinomial", "gaussian"])
+def test_bayes_equals_dense_bayes(spark, kind):
+    rng = random.Random(kind)
+    words = [f"w{i}" for i in range(40)]
+    docs = []
+    for i in range(1, 121):
+        label = rng.choice([0, 1, 3])
+        docs.append((i, [rng.choice(words[label * 8 : label * 8 + 16]) for _ in range(rng.randint(0, 12))], label))
+    docs.append((125, ["never", "seen"], 1))
+    df = spark.createDataFrame([(i, label) for i, _, label in docs], "mention_id long, label int")
+    rows = [(i, t, n) for i, words_, _ in docs for t, n in Counter(words_).items()]
+    terms = spark.createDataFrame(rows, "mention_id long, term string, n long")
+    fit = m.multinomial_bayes if kind == "multinomial" else m.gaussian_bayes
+    assert sorted(values(fit(df, terms), "mention_id", "label", "prediction")) == plain_bayes(docs, kind)
+    # Terms far beyond any vocabulary bound change nothing where no held-out text has them.
+    rare = spark.range(2**18 + 10).selectExpr("1L AS mention_id", "concat('rare', id) AS term", "0L AS n")
+    if kind == "gaussian":
+        more = terms.unionByName(rare.limit(2000))
+        assert sorted(values(fit(df, more), "mention_id", "label", "prediction")) == plain_bayes(docs, kind)
+
+
+def test_bayes_without_training_texts(spark):
+    docs = spark.createDataFrame([(5, 1)], "mention_id long, label int")
+    terms = spark.createDataFrame([(5, "a", 1)], "mention_id long, term string, n long")
+    for fit in (m.multinomial_bayes, m.gaussian_bayes):
+        assert values(fit(docs, terms), "mention_id", "prediction") == [(5, None)]
+
+
+def test_forest_and_accuracy(spark):
+    rows = [(i, ["good", "film"] if i % 2 else ["bad", "play"], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "mention_id long, words array<string>, label int")
+    train, test = m.key_split(m.vectorized(df), "mention_id")
+    forest = m.predictions(m.random_forest(train, trees=5), test, ["mention_id"])
     again = m.predictions(m.random_forest(train, trees=5), test, ["mention_id"])
-    assert values(rf) == values(again)
-    table = m.accuracy_table({"nb": nb, "rf": rf})
-    for r in table.collect():
-        assert 0 <= r["accuracy"] <= 1 and r["n"] == 2
-    hits = sum(r["label"] == r["prediction"] for r in nb.collect())
-    assert table.filter("model = 'nb'").first()["accuracy"] == hits / 2
+    assert values(forest) == values(again)
+    assert all(r["label"] == r["prediction"] for r in forest.collect())
+    assert values(m.accuracy_table({"rf": forest}), "model", "accuracy", "n") == [("rf", 1.0, 12)]
 
 
 def test_durable_uses_the_shared_folder(spark, featured):
@@ -81,6 +123,30 @@ def test_csv_with_line_breaks(spark, tmp_path):
     assert io.spread(df, 3, "user_id").rdd.getNumPartitions() == 3
 
 
+def test_csv_is_read_by_name(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('when,text,extra,uid,n\n2020-10-01,"hi, there",x,7,3\nlater,"two\nlines",y,8,many\n', encoding="utf-8")
+    wanted = T.StructType(
+        [T.StructField("user_id", T.StringType()), T.StructField("text", T.StringType()),
+         T.StructField("n", T.IntegerType()), T.StructField("country", T.StringType())]
+    )
+    df = io.read_csv(spark, str(path), wanted, columns={"user_id": "uid"})
+    assert df.columns == ["user_id", "text", "n", "country", "_corrupt"]
+    assert values(df) == [("7", "hi, there", 3, None, None), ("8", "two\nlines", None, None, None)]
+    path.write_text("text,uid\na,1\nb,2,3\n", encoding="utf-8")
+    rows = io.read_csv(spark, str(path), wanted, columns={"user_id": "uid"}).collect()
+    assert [(r["user_id"], r["_corrupt"] is not None) for r in rows] == [("1", False), ("2", True)]
+
+
+def test_only_small_inputs_are_spread(spark, tmp_path):
+    spark.range(100).repartition(2).write.parquet(str(tmp_path / "small"))
+    small = spark.read.parquet(str(tmp_path / "small"))
+    cores = spark.sparkContext.defaultParallelism
+    assert io.fill_cluster(small, "id").rdd.getNumPartitions() == cores
+    many = spark.range(100).repartition(io.SMALL_PIECES + 1)
+    assert io.fill_cluster(many, "id").rdd.getNumPartitions() == io.SMALL_PIECES + 1
+
+
 def test_lexicon_file(spark, tmp_path):
     path = tmp_path / "lexicon.txt"
     path.write_text("good\t1.9\t0.9\t[2, 1]\nbad\t-2.5\t0.6\t[]\ngood\t2.1\t0\t[]\n\nbroken line\n:)\t2.0\t1\t[]\n")

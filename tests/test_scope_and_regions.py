@@ -148,9 +148,27 @@ def test_polarity_needs_every_subject(spark):
 
 def test_ties(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "x int, y int")
-    first = [x[0] for x in df.select(v.leader_of(F.col("x"), F.col("y"), S, "first")).collect()]
-    second = [x[0] for x in df.select(v.leader_of(F.col("x"), F.col("y"), S, "second")).collect()]
-    assert first == ["a", "a", "b"] and second == ["b", "a", "b"]
+    sides = [F.col("x"), F.col("y")]
+    first = [x[0] for x in df.select(v.leader_of(sides, S, "first")).collect()]
+    last = [x[0] for x in df.select(v.leader_of(sides, S, "last")).collect()]
+    assert first == ["a", "a", "b"] and last == ["b", "a", "b"]
+
+
+def test_three_subjects(spark):
+    rows = [(s, "R", 1) for s in "aabbc"] + [("c", "Q", 1), ("b", "Q", 1)]
+    df = spark.createDataFrame(rows, "subject string, region string, polarity int")
+    names = ("a", "b", "c")
+    board = r.scoreboard(df, spark.createDataFrame([("R",), ("Q",), ("P",)], "region string"), names)
+    assert values(board, "region", "n_a", "n_b", "n_c", "leader") == [("P", 0, 0, 0, "c"), ("Q", 0, 1, 1, "c"), ("R", 2, 2, 1, "b")]
+    leaders = r.with_leader(r.positive_by_region(df, names, in_all=False), names)
+    assert values(leaders, "region", "leader") == [("Q", "b"), ("R", "a")]
+
+
+def test_population_guards(scoped):
+    with pytest.raises(ValueError):
+        scope.population(scoped, "established")
+    with pytest.raises(ValueError):
+        scope.population(scoped, "users", order="latest")
 
 
 def test_lookup_join_beyond_the_broadcast_bound(spark):
@@ -159,6 +177,13 @@ def test_lookup_join_beyond_the_broadcast_bound(spark):
     assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, max_rows=39)
     assert not joins.fits_broadcast(dim, max_bytes=100)
     small = joins.lookup_join(facts, dim, {"k": "k"}, small=True)
-    large = joins.lookup_join(facts, dim, {"k": "k"}, small=False, salt_by=["id"], salts=4)
+    large = joins.lookup_join(facts, dim, {"k": "k"}, small=False)
     assert small.columns == large.columns == ["id", "k", "val"]
     assert values(small) == values(large)
+
+
+def test_shuffled_dimension_is_not_copied(spark):
+    facts = spark.range(1000).selectExpr("id", "0L AS k")
+    dim = spark.range(40).selectExpr("id AS k", "concat('v', id) AS val")
+    plan = joins.lookup_join(facts, dim, {"k": "k"}, small=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan

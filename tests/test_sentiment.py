@@ -1,3 +1,4 @@
+import time
 import random
 
 import pytest
@@ -6,7 +7,6 @@ from plain_scorer import Plain, tokens
 from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social, scorer_tokens, strip_edge
-from opinions.operators import joins
 from opinions.operators import sentiment as sen
 from opinions.rules import RuleSet
 
@@ -132,7 +132,6 @@ def test_large_lexicon_path_gives_the_same(spark, lexicon, monkeypatch):
     docs = texts(spark, random_texts(400, 5))
     small = values(sen.sentiment_scores(docs, lexicon))
     monkeypatch.setattr(sen, "fits_broadcast", lambda dim: False)
-    monkeypatch.setattr(joins, "SALTS", 4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert values(sen.sentiment_scores(docs, lexicon)) == small
@@ -154,6 +153,23 @@ def test_score_properties(spark, lexicon):
     assert out.filter(F.abs("compound") >= 1).count() == 0
 
 
+def test_long_texts_cost_in_proportion(spark, lexicon, monkeypatch):
+    """A late lexicon word that fills half of a text: twice the text, about twice the time at most."""
+
+    def seconds(n):
+        text = " ".join([f"w{i}" for i in range(n // 2)] + ["good"] * (n // 2))
+        docs = texts(spark, [text])
+        started = time.perf_counter()
+        assert len(sen.sentiment_scores(docs, lexicon).collect()) == 1
+        return time.perf_counter() - started
+
+    for small in (True, False):
+        monkeypatch.setattr(sen, "fits_broadcast", lambda dim, small=small: small)
+        seconds(1000)
+        shorter = min(seconds(20_000) for _ in range(2))
+        assert min(seconds(40_000) for _ in range(2)) <= 2 * shorter + 0.5
+
+
 def test_one_narrow_shuffle_and_no_python(spark, lexicon, sf):
     from catalog import tables as t
 
@@ -161,5 +177,6 @@ def test_one_narrow_shuffle_and_no_python(spark, lexicon, sf):
     plan = sen.sentiment_scores(docs, t.lexicon(spark, sf), t.RULES)._jdf.queryExecution().executedPlan().toString()
     main = [line for line in plan.splitlines() if "Exchange hashpartitioning(mention_id" in line]
     assert len(main) == 1
-    assert "Python" not in plan and "SortMergeJoin" not in plan and "Window" not in plan
+    assert "toks" not in main[0] and "text" not in main[0]
+    assert "Python" not in plan and "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") == 4

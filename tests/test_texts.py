@@ -119,7 +119,7 @@ def test_bag_counts_and_topk(spark):
     freq = bow.term_frequency(bow.words_of(df, ["mention_id"]))
     assert values(freq, "term", "freq") == [("cat", 3), ("run", 2)]
     assert values(bow.array_frequency(bow.with_terms(df)), "term", "freq") == [("cat", 3), ("run", 2)]
-    assert bow.vocabulary(freq, 1) == ["cat"]
+    assert values(bow.term_topk(freq, 1), "term") == [("cat",)]
 
 
 def test_texts_are_cleaned_once(spark, sf):
@@ -134,7 +134,7 @@ def test_language(spark):
         "lang string, text string",
     )
     words = langid.word_counts(train)
-    profiles = langid.langid_profiles(words, top=50)
+    profiles = langid.langid_profiles(words)
     docs = spark.createDataFrame([(1, "the mouse"), (2, "die maus und"), (3, "123 !!"), (4, None)], "mention_id long, text string")
     pred = langid.langid_predict(docs, profiles, ["en", "de"])
     assert values(pred, "mention_id", "pred") == [(1, "en"), (2, "de"), (3, None), (4, None)]
@@ -156,12 +156,23 @@ def test_language_brute_force(spark):
             counts[lang].update(w[i : i + n] for n in (1, 2, 3) for i in range(len(w) - n + 1))
     vocab = set().union(*counts.values())
     df = spark.createDataFrame(texts, "lang string, text string")
-    got = {(r["lang"], r["gram"]): r["logp"] for r in langid.langid_profiles(langid.word_counts(df), top=100).collect()}
+    got = {(r["lang"], r["gram"]): r["logp"] for r in langid.langid_profiles(langid.word_counts(df)).collect()}
     for lang, c in counts.items():
         for g, n in c.items():
             assert math.isclose(got[lang, g], math.log((n + 1) / (sum(c.values()) + len(vocab))))
 
 
+def test_profiles_hold_every_gram(spark):
+    word = "".join(chr(ord("a") + i % 26) + chr(0x3B1 + i // 26) for i in range(600))
+    df = spark.createDataFrame([("x", word), ("y", "aaa")], "lang string, text string")
+    words = langid.word_counts(df)
+    profiles = langid.langid_profiles(words)
+    kinds = {word[i : i + n] for n in (1, 2, 3) for i in range(len(word) - n + 1)}
+    assert profiles.filter("lang = 'x'").count() == len(kinds) > 500
+    frequent = langid.word_scores(words, langid.wide_profiles(profiles, ["x", "y"]), ["x", "y"], most=1)
+    assert frequent.count() == 0  # no word makes up all of the text
+
+
 def test_language_held_out_accuracy(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("doc_id", "mention_id")
     train, test = docs.filter("mention_id % 5 <> 0"), docs.filter("mention_id % 5 = 0")
