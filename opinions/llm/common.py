@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -18,7 +20,9 @@ RANK_PARTS = 1024
 
 @functools.cache
 def _own_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="opinions-llm-")
+    folder = tempfile.mkdtemp(prefix="opinions-llm-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return "file://" + folder
 
 
 _SHIPPED: set[str] = set()
@@ -60,11 +64,21 @@ def written(df: DataFrame) -> DataFrame:
     it is broadcast only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/opinions-llm/{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/opinions-llm/{spark.sparkContext.applicationId}"
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete all that this application has written with ``written``, once its results are stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

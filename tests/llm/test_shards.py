@@ -68,3 +68,12 @@ def test_samples_are_the_least_by_hash(spark):
     want = [r["k"] for r in hashed.orderBy("h", "k").limit(50).collect()]
     assert [r["k"] for r in common.sampled(df, "k", 50).collect()] == want
     assert common.about(df, "k", 10_000).count() == 5000 and 200 < common.about(df, "k", 400).count() < 700
+
+
+def test_written_tables_can_be_forgotten(spark):
+    kept = common.written(spark.range(10).toDF("k"))
+    assert kept.count() == 10 and "opinions-llm" in kept.inputFiles()[0]
+    common.forget(spark)
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        spark.catalog.clearCache()
+        common.written(kept).count()
