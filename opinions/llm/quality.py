@@ -260,8 +260,9 @@ def fitted(
         F.broadcast(some), F.col("_k") == F.col("_key")
     )
     order = F.xxhash64("_k").alias("key")
-    rows = found.select(order, (F.col("_label") == 1).alias("good"), "_text").mapInArrow(run, schema).collect()
-    rows.sort(key=lambda r: (r["key"], r["own"]))
+    measures = found.select(order, (F.col("_label") == 1).alias("good"), "_text").mapInArrow(run, schema)
+    # One key may have many rows.
+    rows = measures.orderBy("key", "own").limit(sample).collect()
     owns = [np.frombuffer(r["own"], "<f8").reshape(-1, OWN) for r in rows]
     if not owns:
         return Chain.blank()
