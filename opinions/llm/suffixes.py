@@ -293,8 +293,9 @@ def _sorted_buckets(strand: DataFrame, buckets: int) -> DataFrame:
         )
         yield from made.to_batches(max_chunksize=10_000)
 
-    suffix = F.expr("substring(s, into + 1)")
-    dealt = strand.repartitionByRange(buckets, suffix, F.col("s")).sortWithinPartitions("id", "start")
+    # Spark keeps a sample of these keys on the driver, so they are no longer than needed.
+    suffix = F.expr(f"substring(s, into + 1, {LENGTH})")
+    dealt = strand.repartitionByRange(buckets, suffix, F.xxhash64("s")).sortWithinPartitions("id", "start")
     return dealt.select("id", "start", "into", "s").mapInArrow(run, schema)
 
 
