@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import bisect
 import functools
+import re
+import struct
 import zlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from typing import NamedTuple
 
 import numpy as np
@@ -14,15 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinions.llm import common
 from opinions.llm.common import with_rank, written
 
 CAPACITY = 4096
 #: Id after every document.
 END = 1
 #: Words whose ids a worker remembers, about 200 bytes each; then it starts anew.
-REMEMBERED = 1_500_000
-#: Code points of text that are encoded together.
-GROUP = 4_000_000
+REMEMBERED = 1_000_000
+#: Bytes of text that are encoded together.
+GROUP = 1_000_000
 
 
 class Place(NamedTuple):
@@ -90,66 +93,100 @@ def _tokenizer(path: str):
 
 @functools.cache
 def _known(path: str) -> dict[bytes, bytes]:
-    return {}
+    known: dict[bytes, bytes] = {}
+    common.REMEMBERED.append(known)
+    return known
 
 
-def _split(words: list[bytes]) -> list[tuple[bytes, bytes]]:
-    """Each word's stem and closing points, whose ids are those of the word; the stem in lower case.
+#: Words of Latin-1 letters as UTF-8, which a normalizer may put in lower case and no more.
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: What may follow a word's last letter; the tokenizer parts it from the letter and keeps it together.
+MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    The tokenizer parts points from a letter or digit before them, and it lower-cases; only a special token
-    is spelled in one way.
-    """
-    halves = []
-    for word in words:
-        if word.isalnum():
-            halves.append((word.lower(), b""))
-            continue
-        stem = word.rstrip(b".,")
-        if len(stem) == len(word) or not stem[-1:].isalnum():
-            stem = word
-        halves.append((stem if b"<|" in stem else stem.lower(), word[len(stem) :]))
-    return halves
 
+def _byte_letters() -> dict[int, int]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(others)}
 
-def _learn(words: list[bytes], path: str, known: dict[bytes, bytes]) -> None:
-    """Encode words and remember their ids. Many words go in one text, parted by a bar."""
+
+BYTES = _byte_letters()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _model_ids(tokenizer, word: bytes) -> bytes:
+    """Ids of a word of LETTERS, from the model alone."""
+    if word.isascii():
+        text = word.lower().decode()
+    else:
+        text = word.decode().lower().encode().decode("latin-1").translate(BYTES)
+    return _packed([t.id for t in tokenizer.model.tokenize(text)])
+
+
+def _text_ids(tokenizer, text: bytes) -> bytes:
+    return _packed(tokenizer.encode(text.decode(), add_special_tokens=False).ids)
+
+
+@functools.cache
+def _traits(path: str) -> tuple[bool, bool]:
+    """Whether a text's ids are its words' ids, and whether words of letters can be told apart from marks
+    behind them and be encoded by the model alone."""
     tokenizer = _tokenizer(path)
-    bar = tokenizer.encode("a | a", add_special_tokens=False).ids[1:-1]
-    plain = [w for w in words if b"|" not in w] if len(bar) == 1 else []
-    for i in range(0, len(plain), 2048):
-        part = plain[i : i + 2048]
-        text = b" | ".join(part).decode()
-        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == bar[0]), len(ids)).tolist()
-        held, start = ids.tobytes(), 0
-        for w, end in zip(part, ends, strict=True):
-            known[w] = held[4 * start : 4 * end]
-            start = end + 1
-    for w in words if len(bar) != 1 else [w for w in words if b"|" in w]:
-        known[w] = np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    probe = "The Thndou, of.  it's\n\tthe 4.0 \u00c9l\u00e8ve stra\u00dfe!! END.*** ''x'. a-|".encode()
+    words = probe.split()
+    wordwise = _text_ids(tokenizer, probe) == b"".join(_text_ids(tokenizer, w) for w in words)
+    stems = [(w.rstrip(MARKS), w) for w in words if LETTERS.fullmatch(w.rstrip(MARKS))]
+    return wordwise, wordwise and all(
+        _text_ids(tokenizer, w) == _model_ids(tokenizer, stem) + _text_ids(tokenizer, w[len(stem) :]) for stem, w in stems
+    )
+
+
+def _learn(words: list[bytes], path: str, known: dict[bytes, bytes]) -> None:
+    """Add the ids of words. Those of letters, with or without marks behind, need the model only."""
+    tokenizer, (_, short) = _tokenizer(path), _traits(path)
+    stems: dict[bytes, bytes] = {}
+    marks: dict[bytes, bytes] = {b"": b""}
+    for word in words:
+        stem = word.rstrip(MARKS)
+        if not short or not LETTERS.fullmatch(stem):
+            known[word] = _text_ids(tokenizer, word)
+            continue
+        low = stem.lower()
+        ids = stems.get(low) or known.get(low)
+        if ids is None:
+            ids = stems[low] = _model_ids(tokenizer, low)
+        behind = word[len(stem) :]
+        if behind:
+            if behind not in marks:
+                marks[behind] = _text_ids(tokenizer, behind)
+            ids += marks[behind]
+        known[word] = ids
 
 
 def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
     """Ids of every UTF-8 text, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never joins what it separates, so each word is encoded once and
-    remembered; a text is the concatenation of its words' ids.
+    Where a tokenizer drops white space and never joins what it separates, each word is encoded once and
+    remembered, and a text is the concatenation of its words' ids. Any other tokenizer gets whole texts.
     """
+    if not _traits(path)[0]:
+        yield from (_text_ids(_tokenizer(path), t) for t in texts)
+        return
     known = _known(path)
     words = [t.split() for t in texts]
     every = set().union(*words)
-    if len(known) + 2 * len(every) > REMEMBERED:
+    if len(known) + len(every) > REMEMBERED:
         known.clear()
-    fresh = [w for w in every if w not in known]
-    halves = _split(fresh)
-    _learn([w for w in set().union(*halves) if w not in known], path, known)
-    for w, (stem, points) in zip(fresh, halves):
-        known[w] = known[stem] + known[points]
+    _learn([w for w in every if w not in known], path, known)
     for w in words:
         yield b"".join(map(known.__getitem__, w))
 
 
-def grouped(texts: list, weight: int = GROUP) -> Iterator[list]:
+def grouped(texts: Iterable, weight: int = GROUP) -> Iterator[list]:
     """Runs of texts of about ``weight`` bytes; a longer text is a run of its own."""
     run, size = [], 0
     for t in texts:
@@ -188,9 +225,9 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
+            keys, texts = batch.column(0), batch.column(1).cast(pa.binary())
             row = 0
-            for run in grouped(texts):
+            for run in grouped(t.as_py() for t in texts):
                 rows, out = [], ([], [], [], [], [])
                 for ids in encoded(run, tokenizer):
                     ids += closing

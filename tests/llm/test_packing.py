@@ -1,5 +1,6 @@
 """Ids against the plain tokenizer, places against the rules of packing."""
 
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -11,10 +12,15 @@ from opinions.llm import packing
 from opinions.llm.queries import tokenizer
 
 
-def plain_ids(text):
+@functools.cache
+def whole():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(tokenizer()).encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(tokenizer())
+
+
+def plain_ids(text):
+    return whole().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check(rows, got, capacity=packing.CAPACITY):
@@ -92,6 +98,27 @@ def test_sequences_hold_the_ids(spark, texts):
         assert ids[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]].tolist() == want
 
 
+def test_words_equal_the_tokenizer():
+    rng = random.Random(3)
+    letters = "abcxyzABZéÉßÿ÷×ñÑüœŒ0194.,;'’!?-_|<>/\u0301İıſﬁ日\u00a0\u0085\x1c"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    words += ["it's.", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|>.", "x<|startoftext|>,", "3.", "a.b.,", ".,", "é."]
+    texts = [" ".join(words[i : i + 7]) for i in range(0, len(words), 7)]
+    got = packing.encoded([t.encode() for t in texts], tokenizer())
+    for t, x in zip(texts, got, strict=True):
+        assert np.frombuffer(x, "<u4").tolist() == plain_ids(t)[:-1], t
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["A text, with  spaces.\n", "", "é 日本"]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.encoded([t.encode() for t in texts], path)] == want
+
+
 def test_forgetful_workers_encode_the_same(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     texts = ["a b c d e", "f g a", "b b b"]
