@@ -11,6 +11,7 @@ import uuid
 import zipfile
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,6 +80,17 @@ def forget(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: What a Python worker remembers between tasks.
+REMEMBERED: list[dict] = []
+
+
+def tidy() -> None:
+    """Free what other operators' tasks have left in this Python worker, which Spark uses again and again."""
+    for table in REMEMBERED:
+        table.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinions.llm.common import sampled
+from opinions.llm.common import sampled, tidy
 
 #: Labelled documents that the model learns from, and lines of each, at most.
 SAMPLE = 4000
@@ -213,6 +213,7 @@ def score(chain: Chain, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tidy()
         for batch in batches:
             yield pa.array(scores(chain, [t.as_py() or b"" for t in batch.cast(pa.binary())]), pa.float64())
 
@@ -249,6 +250,7 @@ def fitted(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             rows = []
             for t in batch.column(2).cast(pa.binary()):

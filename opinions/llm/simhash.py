@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import pandas_udf
 
-from opinions.llm.common import written
+from opinions.llm.common import tidy, written
 from opinions.llm.components import components
 
 SHINGLE = 3
@@ -47,6 +47,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     schema = T.StructType([T.StructField("id", docs.schema[key].dataType), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             made = np.fromiter((fingerprint(t.as_py() or b"") for t in texts), np.uint64, len(texts))
