@@ -23,7 +23,7 @@ CAPACITY = 4096
 #: Id after every document.
 END = 1
 #: Words whose ids a worker remembers, about 200 bytes each; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Bytes of text that are encoded together.
 GROUP = 1_000_000
 
