@@ -102,8 +102,11 @@ def _place(start: np.ndarray, n: np.ndarray, into: np.ndarray, several: np.ndarr
 START, COUNT = "shiftright(at, 16)", "(shiftright(at, 8) & 255)"
 
 
-def _strand_rows(rows: DataFrame, wanted: tuple[int, ...]) -> DataFrame:
-    """(h, c, id, at, kind) for the strands of the wanted kinds; c hashes a strand's bytes."""
+def _strand_rows(rows: DataFrame) -> DataFrame:
+    """(h, c, id, at, kind) for all strands; c hashes a strand's bytes. Only strands to be looked up have h and c.
+
+    A kind depends on what else is in a batch, so the kinds belong together only if they come from one run.
+    """
     names = ["h", "c", "id", "at", "kind"]
     types = [T.LongType(), T.LongType(), rows.schema["id"].dataType, T.LongType(), T.IntegerType()]
     schema = T.StructType([T.StructField(n, t) for n, t in zip(names, types)])
@@ -133,14 +136,13 @@ def _strand_rows(rows: DataFrame, wanted: tuple[int, ...]) -> DataFrame:
             group = np.cumsum(gram) - 1
             several = (np.bincount(group, weights=fresh) > 1)[group]
             kind = np.where(gram, LOOKUP, np.where(fresh, SORT, REPEAT))
-            some = np.isin(kind, wanted)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(h[some].view(np.int64)),
-                    pa.array(c[some].view(np.int64)),
-                    ids.take(pa.array(row[some])),
-                    pa.array(_place(start, n, into, several.astype(np.int64))[some]),
-                    pa.array(kind[some].astype(np.int32)),
+                    pa.array(h.view(np.int64), mask=~gram),
+                    pa.array(c.view(np.int64), mask=~gram),
+                    ids.take(pa.array(row)),
+                    pa.array(_place(start, n, into, several.astype(np.int64))),
+                    pa.array(kind.astype(np.int32)),
                 ],
                 names=names,
             )
@@ -366,8 +368,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
 
 def _removed(rows: DataFrame, bucket: int) -> DataFrame:
     texts = _packed_texts(rows)
-    settled = written(_settled(_strand_rows(rows, (LOOKUP,)).drop("kind")))
-    inside = written(_strand_rows(rows, (SORT, REPEAT)).select("id", "at", "kind"))
+    cut = written(_strand_rows(rows))
+    settled = written(_settled(cut.filter(F.col("kind") == LOOKUP).drop("kind")))
+    inside = cut.filter(F.col("kind") != LOOKUP).select("id", "at", "kind")
     strand = settled.unionByName(inside)
     to_sort = strand.filter(F.col("kind") == SORT)
     own = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))

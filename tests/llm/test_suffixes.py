@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from opinions.llm import suffixes
@@ -69,6 +70,23 @@ def test_tiny_buckets_compare_across_their_ends(spark, texts):
     assert result(suffixes.without_repeats(docs, bucket=4)) == sorted(plain(rows), key=repr)
 
 
+def test_batches_that_differ_from_scan_to_scan(spark, texts):
+    rows = corpus(5)
+
+    def dealt(batches):
+        batch = pa.Table.from_batches(list(batches)).combine_chunks()
+        order = random.SystemRandom().sample(range(len(batch)), len(batch))
+        yield from batch.take(pa.array(order)).to_batches()
+
+    docs = texts(rows).coalesce(1)
+    docs = docs.mapInArrow(dealt, docs.schema)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 8)
+    try:
+        assert result(suffixes.without_repeats(docs)) == sorted(plain(rows), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_odd_rows(spark, texts):
     a, b = "the same passage " * 10, "".join(chr(ord("a") + i * 7 % 26) for i in range(150))
     rows = [(1, None), (2, ""), (3, "short"), (4, a), (5, b), (6, "x" + b), (7, b[:99]), (8, b[:100]), (9, "long " * 50_000)]
