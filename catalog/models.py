@@ -12,6 +12,8 @@ from opinions.operators import sentiment as sen
 from opinions.operators.durable import durable
 
 QUERIES = {}
+#: Queries that show what the forest predicts, which SQL cannot; they have no twin.
+NO_TWIN = {}
 KEY = ["mention_id"]
 
 
@@ -20,6 +22,11 @@ def query(fn):
     return fn
 
 
+def no_twin(fn):
+    NO_TWIN[fn.__name__] = fn
+    return fn
+
+
 def bags(spark, d):
     """Labels, and term counts of the labelled texts, computed once for fitting and predicting."""
     marks = t.marks(spark, d)
@@ -70,9 +77,18 @@ def rf_predictions(spark, d):
     return forest_predicted(spark, d).select("mention_id", "label", F.col("prediction").isin(classes).alias("valid"))
 
 
+def accuracies(spark, d):
+    docs, terms = bags(spark, d)
+    return m.accuracy_table({"naive_bayes": m.multinomial_bayes(docs, terms), "random_forest": forest_predicted(spark, d)})
+
+
 @query
 def classifier_accuracy(spark, d):
-    """Held-out texts per model, and whether the accuracy is a share."""
-    docs, terms = bags(spark, d)
-    table = m.accuracy_table({"naive_bayes": m.multinomial_bayes(docs, terms), "random_forest": forest_predicted(spark, d)})
-    return table.select("model", "n", F.col("accuracy").between(0, 1).alias("valid"))
+    """Held-out texts per model, and whether the accuracy is a share; ``classifier_comparison`` has the accuracy."""
+    return accuracies(spark, d).select("model", "n", F.col("accuracy").between(0, 1).alias("valid"))
+
+
+@no_twin
+def classifier_comparison(spark, d):
+    """model, accuracy, n: both models on the same held-out texts."""
+    return accuracies(spark, d)
