@@ -46,6 +46,15 @@ def forest_predicted(spark, d):
     return m.predictions(m.random_forest(train), test, KEY)
 
 
+@no_twin
+def rf_joint_class(spark, d):
+    """The classes that scoring gives the mentions of both subjects, predicted from their words by the forest."""
+    words = bow.with_terms(t.texts(spark, d)).select("mention_id", "words")
+    docs = durable(words.join(scored_classes(spark, d), "mention_id"))
+    train, test = m.key_split(m.vectorized(docs), "mention_id")
+    return m.predictions(m.random_forest(train.filter("label IS NOT NULL")), test, KEY)
+
+
 @query
 def nb_multinomial(spark, d):
     return m.multinomial_bayes(*bags(spark, d))

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinions.functions.values import in_test_split
+from opinions.operators.bow import array_frequency
 from opinions.operators.joins import fits_broadcast
 
 FEATURES = "features"
@@ -22,15 +23,20 @@ FEATURES = "features"
 SMOOTHING = 1e-9
 
 
-def vectorized(docs: DataFrame, words: str = "words", size: int = 2**18, vocab: Sequence[str] | None = None) -> DataFrame:
-    """Add ``features``: term counts over the ``size`` most frequent terms (Spark's own default), or over ``vocab``.
+def vectorized(docs: DataFrame, words: str = "words", size: int | None = None, vocab: Sequence[str] | None = None) -> DataFrame:
+    """Add ``features``: term counts over all terms, over the ``size`` most frequent ones, or over ``vocab``.
 
-    For the random forest, which keeps its features' names and candidate splits on the driver anyway; the
-    bound is a parameter. Which of several equally frequent terms it ends with is not fixed.
+    For the random forest, which keeps its features' names and candidate splits on the driver anyway. Terms stand
+    in order of their frequency, equally frequent ones by the term, so every run has the same features.
     """
     if vocab is not None:
         return CountVectorizerModel.from_vocabulary(list(vocab), words, FEATURES).transform(docs)
-    return CountVectorizer(inputCol=words, outputCol=FEATURES, vocabSize=size).fit(docs).transform(docs)
+    terms = array_frequency(docs, words).orderBy(F.desc("freq"), "term").select("term")
+    terms = terms if size is None else terms.limit(size)
+    # The names go from Spark to the model as they are; through Python each would be a call of its own.
+    names = getattr(terms._jdf, "as")(docs.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING()).collect()
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", names)
+    return model.setInputCol(words).setOutputCol(FEATURES).transform(docs)
 
 
 def key_split(df: DataFrame, key: str, folds: int = 5) -> tuple[DataFrame, DataFrame]:

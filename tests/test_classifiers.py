@@ -6,6 +6,7 @@ from conftest import values
 import __spark_entry__ as entry
 from catalog import models
 from check import TABLES
+from opinions.operators import models as m
 from oracle import sql
 
 
@@ -20,3 +21,21 @@ def test_comparison_has_the_accuracy_of_both_models(spark, sf):
     rows = values(models.forest_predicted(spark, sf), "label", "prediction")
     forest = (round(sum(label == guess for label, guess in rows) / len(rows), 6), len(rows))
     assert values(got) == [("naive_bayes", *bayes[0]), ("random_forest", *forest)]
+
+
+def test_forest_sees_every_term(spark):
+    n = 2**18 + 10
+    docs = spark.range(1).selectExpr(f"concat(transform(sequence(1, {n}), i -> concat('t', i)), array('b', 'b', 'a', 'a')) AS words")
+    features = m.vectorized(docs).first()["features"]
+    assert features.size == n + 2 and features.numNonzeros() == n + 2
+    assert features[0] == features[1] == 2
+    # Equally frequent terms go by the term.
+    few = spark.createDataFrame([(["c", "b", "a"],), (["d", "d"],), (["a"],)], ["words"])
+    assert [r["features"].toArray().tolist() for r in m.vectorized(few, size=3).collect()] == [[1, 0, 1], [0, 2, 0], [1, 0, 0]]
+
+
+def test_forest_of_joint_classes(spark, sf):
+    got = entry.queries()["rf_joint_class"](spark, sf)
+    marks = models.QUERIES["nb_joint_class"](spark, sf)
+    assert values(got, "mention_id", "label") == values(marks, "mention_id", "label")
+    assert {r["prediction"] for r in got.collect()} <= {0, 1, 2, 3, 4}
