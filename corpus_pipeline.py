@@ -1,8 +1,8 @@
 """From documents to packed training sequences, one operator a stage.
 
 A stage gets what the one before kept and returns the same columns; the last one returns packed pieces.
-A document is its doc_id: rows that repeat one are judged together, except by exact dedup, which also tells their
-texts apart. Tables of dropped documents hold keys only; each is written, so that Spark broadcasts it if it
+A document is its doc_id and its text: rows that repeat a doc_id, or have none, are judged one by one, and of rows
+that repeat both one stays. Tables of dropped documents hold keys only; each is written, so that Spark broadcasts it if it
 is small and otherwise sorts both sides.
 """
 
@@ -16,10 +16,14 @@ from opinions.llm.common import shipped, written
 from opinions.llm.queries import tokenizer
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(decontaminate.row_identity().alias("doc_id"), "text")
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without those whose doc_id is in ``gone``; a null doc_id is a key like any other."""
-    gone = written(gone.select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """``docs`` without the rows that ``gone`` names in doc_id; a null key is a key like any other."""
+    gone = written(gone.select(F.col("doc_id.key").alias("_gone"), F.col("doc_id.text").alias("_text")).distinct())
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_text"]), "left_anti")
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,23 +33,32 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal texts, the longest as written."""
-    gone = exact.deduplicated(docs).filter("NOT kept")
-    gone = written(gone.select(F.col("doc_id").alias("_gone"), F.xxhash64("text_sha256").alias("_text")).distinct())
+    """Keep one row of each group of equal texts, the longest as written."""
+    groups = exact.deduplicated(docs).filter("group_size > 1")
+    groups = groups.groupBy(F.col("doc_id").alias("_key"), F.xxhash64("text_sha256").alias("_text"))
+    # Rows that repeat key and text are all kept or all dropped.
+    odd = written(groups.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")).filter("NOT _kept OR _n > 1"))
     text = F.xxhash64(F.sha2(exact.normalised(docs["text"]), 256))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (text == gone["_text"]), "left_anti")
+    same = docs["doc_id"].eqNullSafe(odd["_key"]) & (text == odd["_text"])
+    left = docs.join(odd, same, "left_anti")
+    several = odd.filter("_kept")
+    if several.isEmpty():
+        return left
+    best = F.min(F.struct((-F.length(docs["text"])).alias("_size"), *[docs[c] for c in docs.columns])).alias("_row")
+    some = docs.join(several, same).groupBy("_key", "_text").agg(best)
+    return left.unionByName(some.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class, the one with the smallest doc_id."""
-    kept = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _without(docs, simhash.near_duplicates(docs).groupBy("doc_id").agg(kept.alias("kept")).filter("NOT kept"))
+    found = simhash.near_duplicates(_rows(docs))
+    return _without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that repeat the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.contamination(docs, benchmark).filter("contaminated"))
+    return _without(docs, decontaminate.contamination(_rows(docs), benchmark).filter("contaminated"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,7 +83,7 @@ def blocks(docs: DataFrame, key: str, text: str, reach: int) -> DataFrame:
 
 
 def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document key: id, n_words, spans (sorted (at, to) of every hit window), grams (distinct).
+    """One row per document key: id, n_rows, n_words, spans (sorted (at, to) of every hit window), grams (distinct).
 
     ``windows`` has ``gram`` and ``size``. Any window starts in one block of STEP words, and all windows
     of a block share the words after it; these are looked up, and only blocks that a test window shares
@@ -128,8 +128,10 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
             ascii_lower(F.concat_ws(" ", F.slice(row, o + 1, F.col("_of")))).alias("gram"),
         ),
     )
-    spelled = found.select("id", "n_words", F.explode_outer(F.when(F.col("_key").isNotNull(), starts)).alias("g"))
-    spelled = spelled.select("id", "n_words", "g.*")
+    head = F.col("lead") & (F.coalesce("block", F.lit(0)) == 0)  # once for each row of docs
+    spelled = found.select("id", "n_words", head.alias("head"), F.explode_outer(F.when(F.col("_key").isNotNull(), starts)).alias("g"))
+    one = F.when(F.col("head") & (F.coalesce("g.at", F.lit(0)) == 0), 1).otherwise(0).alias("one")
+    spelled = spelled.select("id", "n_words", one, "g.*")
     same = (F.col("gram") == F.col("_gram")) & (F.col("size") == F.col("_size"))
     same = same & (F.col("at") + F.col("size") <= F.col("n_words"))
     span = F.when(F.col("_gram").isNotNull(), F.struct("at", (F.col("at") + F.col("size")).alias("to")))
@@ -137,6 +139,7 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
         spelled.join(exact, same, "left")
         .groupBy("id")
         .agg(
+            F.sum("one").alias("n_rows"),
             F.max("n_words").alias("n_words"),
             F.sort_array(F.collect_set(span)).alias("spans"),
             F.collect_set("_gram").alias("grams"),
@@ -175,6 +178,23 @@ def contamination(
     clean; an empty benchmark hits nothing; items with equal texts all count; rows that repeat a document
     key are taken together, with the largest number of words; other columns are ignored.
     """
+    return _judged(docs, benchmark, key, text, item, item_text, window, share).drop("n_rows")
+
+
+def row_identity(key: str = "doc_id", text: str = "text") -> Column:
+    """What tells a document from others that have its key: the key, null or not, and a hash of the text."""
+    return F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text"))
+
+
+def contamination_of_rows(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``contamination``, but each row is a document of its own, also where rows repeat a key: one row for each."""
+    rows = docs.select(row_identity(key, text).alias("id"), F.col(text).alias("text"))
+    found = _judged(rows, benchmark, "id", "text", "item_id", "text", WINDOW, SHARE)
+    each = found.withColumn("n_rows", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows")))).drop("n_rows")
+    return each.withColumn("id", F.col("id.key")).withColumnRenamed("id", key)
+
+
+def _judged(docs, benchmark, key, text, item, item_text, window, share) -> DataFrame:
     windows = written(item_windows(benchmark, item, item_text, window))
     per_doc = written(hits(docs, windows, key, text))
     marked = per_doc.filter(F.size("grams") > 0).select("id", F.explode("grams").alias("gram"))
@@ -189,6 +209,7 @@ def contamination(
         per_doc.join(named, F.col("id").eqNullSafe(F.col("_id")), "left")
         .select(
             F.col("id").alias(key),
+            "n_rows",
             F.col("n_words").cast("long").alias("n_words"),
             n_hit.alias("n_hit"),
             F.coalesce("items", none).alias("items"),
@@ -196,6 +217,7 @@ def contamination(
         )
         .select(
             key,
+            "n_rows",
             "n_words",
             "n_hit",
             F.size("items").cast("long").alias("n_items"),

@@ -61,7 +61,7 @@ def op1_pii(spark, d):
 
 @query
 def op2_decontaminate(spark, d):
-    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    found = decontaminate.contamination_of_rows(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",
