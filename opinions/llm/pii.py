@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from opinions.llm import tagger
 from opinions.llm.common import about
 
 KINDS = ("email", "ip", "card", "phone")
-#: Characters in a window, and from one window to the next; no span is longer than their difference.
+#: Characters in a window, and from one window to the next. Longer spans are read in windows of twice the size, and so on.
 WINDOW, STRIDE = 96, 48
 #: Windows that the tagger learns from, and windows of one document, at most; documents searched for them, about.
 SAMPLE, PER_DOCUMENT, DOCUMENTS = 800, 6, 8000
@@ -142,22 +143,35 @@ def examples(windows: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]
     return tagger.coded(texts, WINDOW), np.array(tags, np.int64).reshape(-1, WINDOW)
 
 
-def proposals(model: tagger.Tagger, windows: list[tuple[int, int, str, bool, bool]]) -> dict[int, dict[Span, float]]:
+def proposals(
+    model: tagger.Tagger,
+    windows: list[tuple[int, int, str, bool, bool]],
+    width: int = WINDOW,
+    least: int = 0,
+    cut: dict[int, list[Span]] | None = None,
+    whole: dict[int, list[Span]] | None = None,
+) -> dict[int, dict[Span, float]]:
     """Spans by document from (document, start, text, first, last) windows, with the sum of their marginals.
 
-    A span that touches an inner end of its window is left to the next window, which holds all of it.
+    A span that touches an inner end of its window goes to ``cut``, any other to ``whole``; the next window holds all of
+    it, or a wider one. Spans under ``least`` characters are left to narrower windows.
     """
     found: dict[int, dict[Span, float]] = {}
-    for i in range(0, len(windows), TOGETHER):
-        some = windows[i : i + TOGETHER]
-        path, sure = tagger.decoded(model, tagger.coded([w[2] for w in some], WINDOW))
+    together = max(TOGETHER * WINDOW // width, 1)
+    for i in range(0, len(windows), together):
+        some = windows[i : i + together]
+        path, sure = tagger.decoded(model, tagger.coded([w[2] for w in some], width))
         for (doc, at, text, first, last), tags, p in zip(some, path, sure):
             begin = np.flatnonzero(tags % 2 == 1)
             for a in begin.tolist():
                 kind, b = int(tags[a]) // 2, a + 1
                 while b < len(text) and tags[b] == 2 + 2 * kind:
                     b += 1
-                if (a == 0 and not first) or (b >= len(text) and not last):
+                inner = (a == 0 and not first) or (b >= len(text) and not last)
+                seen = cut if inner else whole
+                if seen is not None:
+                    seen.setdefault(doc, []).append((at + a, kind, at + b))
+                if inner or b - a < least:
                     continue
                 score = float(p[a:b].mean())
                 while b > a and text[b - 1] == " ":
@@ -168,6 +182,49 @@ def proposals(model: tagger.Tagger, windows: list[tuple[int, int, str, bool, boo
     return found
 
 
+def _reach(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts in order, and the greatest end up to each."""
+    spans = sorted(spans)
+    ends: list[int] = []
+    for s in spans:
+        ends.append(max(s[2], ends[-1]) if ends else s[2])
+    return [s[0] for s in spans], ends
+
+
+def unsettled(cut: list[Span], whole: list[Span], base: list[Span]) -> list[Span]:
+    """Cut spans that touch none of ``base`` and that no other window has seen whole."""
+    base_starts, base_ends = _reach(base)
+    of_kind = {kind: _reach([s for s in whole if s[1] == kind]) for kind in range(len(KINDS))}
+    out = []
+    for a, kind, b in cut:
+        starts, ends = of_kind[kind]
+        i, j = bisect_left(base_starts, b), bisect_right(starts, a)
+        if not (i and base_ends[i - 1] > a) and not (j and ends[j - 1] >= b):
+            out.append((a, kind, b))
+    return out
+
+
+def all_proposals(model: tagger.Tagger, texts: list[str], base: list[list[Span]]) -> dict[int, dict[Span, float]]:
+    """Proposals of any length by document. Where a span is cut by all windows that see it, windows of twice the size are
+    read, until they hold it or the whole text."""
+    found: dict[int, dict[Span, float]] = {}
+    width, stride, least = WINDOW, STRIDE, 0
+    starts = [(i, at) for i, (t, b) in enumerate(zip(texts, base)) for at in open_windows(t, b)]
+    while starts:
+        windows = [(i, at, texts[i][at : at + width], at == 0, at + width >= len(texts[i])) for i, at in starts]
+        cut: dict[int, list[Span]] = {}
+        whole: dict[int, list[Span]] = {}
+        for i, spans in proposals(model, windows, width, least, cut, whole).items():
+            sums = found.setdefault(i, {})
+            for span, x in spans.items():
+                sums[span] = sums.get(span, 0.0) + x
+        # Spans shorter than a stride lie within some window of that stride.
+        width, stride, least = 2 * width, 2 * stride, stride
+        left = [(i, a // stride) for i in cut for a, _, _ in unsettled(cut[i], whole.get(i, []), base[i])]
+        starts = sorted({(i, max(k - back, 0) * stride) for i, k in left for back in (0, 1)})
+    return found
+
+
 def reconciled(spans: dict[Span, float], base: list[Span]) -> list[Span]:
     """Of overlapping proposals of all windows, the ones with the greatest sums; none touches a span by rule."""
     kept: list[Span] = []
@@ -206,8 +263,8 @@ SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start
 def found(docs: DataFrame, model: tagger.Tagger, key: str = "doc_id", text: str = "text", redact: bool = False) -> DataFrame:
     """Personal data of whole texts: key, base and added (arrays of kind, start, stop in code points), by start.
 
-    ``base`` holds what the rules define. ``added`` holds what the tagger finds besides, in overlapping windows
-    that are decoded one by one and reconciled over the whole document; each passes its kind's check and touches
+    ``base`` holds what the rules define. ``added`` holds what the tagger finds besides, in overlapping windows, wider
+    ones around longer spans, that are decoded one by one and reconciled over the whole document; each passes its kind's check and touches
     no span of ``base``. ``redact`` adds the text with every span replaced by its kind in angle brackets.
 
     Null and empty texts have no spans. Rows that repeat a key are documents of their own, a null key is a
@@ -226,12 +283,7 @@ def found(docs: DataFrame, model: tagger.Tagger, key: str = "doc_id", text: str
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             base = [base_spans(t) for t in texts]
-            windows = [
-                (i, at, t[at : at + WINDOW], at == 0, at + WINDOW >= len(t))
-                for i, (t, b) in enumerate(zip(texts, base))
-                for at in open_windows(t, b)
-            ]
-            more = proposals(model, windows)
+            more = all_proposals(model, texts, base)
             added = [reconciled(more.get(i, {}), b) for i, b in enumerate(base)]
             out = [batch.column(0), pa.array(map(named, base), spans_type), pa.array(map(named, added), spans_type)]
             if redact:

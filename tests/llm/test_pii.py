@@ -143,3 +143,25 @@ def test_query(spark, sf):
         assert set(listed) <= set(row["spans"].split(","))  if listed else True
         starts = [int(s.split(":")[1]) for s in row["spans"].split(",") if s]
         assert starts == sorted(starts) and len(starts) == len(spans) + row["n_added"]
+
+
+@pytest.mark.parametrize("size", [47, 53, 60, 95, 150, 700])
+def test_long_spans_at_all_offsets(monkeypatch, size):
+    """With a tagger that marks every run of small letters as an e-mail address."""
+
+    def decoded(model, windows):
+        tags = np.zeros((len(windows), max(map(len, windows))), np.int64)
+        for row, text in zip(tags, windows):
+            for run in re.finditer("[a-z.@ ]+", text):
+                row[run.start() : run.end()] = [1] + [2] * (run.end() - run.start() - 1)
+        return tags, np.ones(tags.shape)
+
+    monkeypatch.setattr(pii.tagger, "coded", lambda texts, width: texts)
+    monkeypatch.setattr(pii.tagger, "decoded", decoded)
+    span = "firstname.lastname @ dept" + ".institute" * 70
+    span = span[:size - 4].rstrip(".") + ".org"
+    texts = ["X" * k + span + "X" * 1000 for k in range(200, 248)]
+    narrow = [(i, w, t[w : w + 96], w == 0, w + 96 >= len(t)) for i, t in enumerate(texts) for w in pii.open_windows(t, [])]
+    assert (len(pii.proposals(None, narrow)) < 48) == (size > 47)  # a window alone loses some
+    found = pii.all_proposals(None, texts, [[]] * 48)
+    assert [pii.reconciled(found.get(i, {}), []) for i in range(48)] == [[(k, 0, k + len(span))] for k in range(200, 248)]
