@@ -16,6 +16,8 @@ from opinions.llm.common import sampled, tidy
 #: Labelled documents that the model learns from, and lines of each, at most.
 SAMPLE = 4000
 SAMPLE_LINES = 64
+#: Lines that follow one another in a sample of a longer document's lines.
+RUN = 16
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
 #: Bytes of text whose lines are measured together.
@@ -225,6 +227,16 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
 
 
+def places(lines: int, most: int, key: int) -> np.ndarray:
+    """Lines to learn from: all, or of a longer document runs from all over it, one in each of equal parts, placed by its key."""
+    if lines <= most:
+        return np.arange(lines)
+    run = min(RUN, most)
+    parts = np.linspace(0, lines, most // run + 1).astype(np.int64)
+    start = np.random.default_rng(key % 2**64).integers(parts[:-1], parts[1:] - run + 1)
+    return (start[:, None] + np.arange(run)).ravel()
+
+
 def fitted(
     docs: DataFrame,
     labels: DataFrame,
@@ -234,7 +246,8 @@ def fitted(
     sample: int = SAMPLE,
     sample_lines: int = SAMPLE_LINES,
 ) -> Chain:
-    """Learn from at most ``sample`` labelled documents that are not held out, and ``sample_lines`` lines of each.
+    """Learn from at most ``sample`` labelled documents that are not held out, and ``sample_lines`` lines of each,
+    in runs from all over it.
 
     The sample is the least by a hash of the key, so it is the same in every run. Its keys are broadcast, the
     lines are measured where the texts are, and only their features come to the driver. All lines of
@@ -253,9 +266,9 @@ def fitted(
         tidy()
         for batch in batches:
             rows = []
-            for t in batch.column(2).cast(pa.binary()):
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(2).cast(pa.binary())):
                 own, _, _ = measured([t.as_py() or b""])
-                rows.append(own[:sample_lines].astype("<f8").tobytes())
+                rows.append(own[places(len(own), sample_lines, k)].astype("<f8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=schema.names)
 
     found = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_text")).join(

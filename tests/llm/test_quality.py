@@ -84,3 +84,22 @@ def test_held_out_labels_are_never_learned(spark):
     seen = quality.classified(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
     assert (seen.predicted == seen.quality).mean() > 0.95
     assert seen[seen.quality == 1].predicted.mean() > 0.97
+
+
+def test_lines_are_taken_from_all_over_a_document():
+    assert quality.places(64, 64, 5).tolist() == list(range(64))
+    for lines, most in ((65, 64), (406, 64), (100_000, 64), (30, 7), (20, 1)):
+        at = quality.places(lines, most, -5)
+        assert at.tolist() == quality.places(lines, most, -5).tolist()
+        assert 0 <= at.min() and at.max() < lines and (np.diff(at) > 0).all() and most // 2 < len(at) <= most
+    assert len({int(quality.places(1000, 64, k)[-1]) for k in range(50)}) > 10
+    assert all(quality.places(1000, 64, k)[-1] >= 750 for k in range(50))
+
+
+def test_junk_behind_clean_lines_is_learned(spark, texts):
+    clean, junk = "The house by the river was quiet.", "$$## BUY!! %%%% @@@ WIN WIN WIN !!!! ####"
+    rows = [(i, "\n".join([clean] * 64 + [clean if i % 2 else junk] * 300)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    chain = quality.fitted(texts(rows), labels)
+    bad, good = quality.scores(chain, ["\n".join([junk] * 50).encode(), "\n".join([clean] * 50).encode()])
+    assert bad < 0.1 and good > 0.6
