@@ -29,9 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
-
-def values(df, *columns):
-    """Rows as a sorted list of tuples."""
-    rows = df.select(*columns).collect() if columns else df.collect()
-    return sorted((tuple(r) for r in rows), key=repr)

@@ -1,7 +1,7 @@
 """Queries of classifiers without an SQL twin."""
 
 import duckdb
-from conftest import values
+from helpers import values
 
 import __spark_entry__ as entry
 from catalog import models

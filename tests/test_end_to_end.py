@@ -1,6 +1,6 @@
 """From a CSV export to the leader per region, by hand-made rows."""
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from opinions import schema

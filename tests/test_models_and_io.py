@@ -4,7 +4,7 @@ import statistics
 from collections import Counter
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from opinions.functions import values as v

@@ -2,7 +2,7 @@ import time
 import random
 
 import pytest
-from conftest import values
+from helpers import values
 from plain_scorer import Plain, tokens
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ import random
 import re
 import string
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from opinions.functions import text as x
