@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, packing, pii, quality, revisits, shards, simhash, suffixes
+from opinions.llm import chat, decontaminate, exact, packing, pii, quality, revisits, shards, simhash, suffixes, tokens
 from opinions.llm.common import shipped
 
 QUERIES = {}
@@ -34,6 +34,12 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _listed(spans):
     """Spans as kind:start:end by start, then kind."""
     rank = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
@@ -171,6 +177,11 @@ def op10_suffix_dedup(spark, d):
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+@query
+def op11_token_counts(spark, d):
+    return tokens.counted(table(spark, d, "documents"), byte_tokenizer())
+
+
 SQL = {
     "op2_decontaminate": r"""
         WITH cut AS (

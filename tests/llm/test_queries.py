@@ -21,7 +21,7 @@ def db(sf):
 
 def test_one_query_for_each_operator():
     numbered = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbered == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbered == list(range(1, len(numbered) + 1)) and len(numbered) >= 10 and "pipeline" in entry.queries()
     assert set(queries.sql()) <= set(entry.oracle_sql())
 
 
