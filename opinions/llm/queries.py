@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinions.llm import chat, decontaminate, exact, packing, pii, quality, revisits, shards, simhash, suffixes, tokens
+from opinions.llm import chat, decontaminate, exact, packing, phrases, pii, quality, repair, revisits, shards, simhash, suffixes, tokens
 from opinions.llm.common import shipped
 
 QUERIES = {}
@@ -182,6 +182,31 @@ def op11_token_counts(spark, d):
     return tokens.counted(table(spark, d, "documents"), byte_tokenizer())
 
 
+@query
+def op12_collocations(spark, d):
+    return phrases.collocations(table(spark, d, "documents"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults that the key and turn of a row decide; a dropped row has ``there`` false."""
+    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(filled["conv_id"], F.lit(":"), filled["turn"])) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(filled["text"], ".!?", "")).otherwise(filled["text"])
+    row = F.struct(
+        F.when(kind == 4, "user").otherwise(filled["role"]).alias("role"), text.alias("text"), (kind != 0).alias("there")
+    )
+    rows = turns.select("conv_id", "turn", F.explode(F.when(kind == 3, F.array(row, row)).otherwise(F.array(row))).alias("r"))
+    return rows.select("conv_id", "turn", "r.*")
+
+
+@query
+def op13_repair(spark, d):
+    found = repair.repaired(damaged(table(spark, d, "conversations")), present="there")
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    digest = F.sha2(F.array_join(lines, "\n"), 256).alias("repaired_sha256")
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", digest)
+
+
 SQL = {
     "op2_decontaminate": r"""
         WITH cut AS (
@@ -272,6 +297,33 @@ SQL = {
                     ELSE CASE WHEN page_id % 3 = 2 THEN 'expires: ' ELSE 'last-modified: ' END
                         || CASE WHEN page_id % 3 = 1 THEN 'other' ELSE stamp END END AS headers
         FROM t""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        f AS (
+            SELECT lang, m, phrase, count(*) AS f FROM (
+                SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+                FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                      FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m))
+            GROUP BY lang, m, phrase),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 100),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n,
+                   (CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c JOIN totals t ON t.lang = c.lang
+            JOIN f x ON x.lang = c.lang AND x.m = k AND x.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+            JOIN f y ON y.lang = c.lang AND y.m = c.m - k AND y.phrase = array_to_string(list_slice(c.w, k + 1, c.m), ' ')
+            WHERE NOT EXISTS (
+                SELECT 1 FROM candidates q WHERE q.lang = c.lang AND q.m > c.m AND 100 * q.f >= 100 * c.f
+                AND contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' '))
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1)
+        SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM cuts)
+        WHERE rank <= 2000""",
     "op5_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS size,
