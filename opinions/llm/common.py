@@ -9,7 +9,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 #: Parts that a group's rows are ranked in; a group of n rows costs its largest task about n / RANK_PARTS rows.
 RANK_PARTS = 1024
+#: Parts that rows which are alike in every column may spread over.
+ALIKE_PARTS = 64
+#: Bytes of text that are worked on together.
+GROUP = 1_000_000
 
 
 @functools.cache
@@ -96,24 +100,58 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _parted(df: DataFrame, parts: int) -> DataFrame:
+    """Different rows with their number ``_n`` and part ``_part``; rows that are alike stand in ALIKE_PARTS parts at most."""
+    columns = df.columns
+    alike = df.withColumn("_alike", F.spark_partition_id() % ALIKE_PARTS)
+    counted = alike.groupBy(*columns, "_alike").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.withColumn("_part", F.pmod(F.xxhash64(*columns, "_alike"), F.lit(parts)).cast("int"))
+
+
 def with_rank(
     df: DataFrame, group: Sequence[str], key: Sequence[str], name: str, parts: int = RANK_PARTS
 ) -> DataFrame:
     """Add a gapless rank from 0 within each group, as ``name``.
 
     A window over whole groups would put a hot group in one task. Here every group is cut into parts by a
-    hash of the ``key`` columns; rows are ranked within their part, and each part starts where the counts of the
-    earlier parts end. Only the counts (at most ``parts`` rows a group) are ordered group by group.
+    hash of all columns; rows are ranked within their part by ``key``, then by all other columns, and each part starts where
+    the counts of the earlier parts end. Only the counts (at most ``parts`` rows a group) are ordered group by group.
+    Rows that are alike in every column are counted where they are read and get a run of ranks, so a key that many rows
+    share fills no part, and a task that runs again deals the same ranks.
     """
-    part = df.withColumn("_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
-    counts = part.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_count"))
+    columns = df.columns
+    part = _parted(df, parts)
+    counts = part.groupBy(*group, "_part").agg(F.sum("_n").alias("_count"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, "_part", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_start"))
-    local = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*key)) - 1
-    ranked = part.withColumn("_local", local)
-    return ranked.join(starts, [*group, "_part"]).withColumn(name, F.col("_start") + F.col("_local")).drop(
-        "_part", "_start", "_local"
-    )
+    order = [*key, *[c for c in columns if c not in key], "_alike"]
+    local = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = part.withColumn("_local", F.coalesce(F.sum("_n").over(local), F.lit(0)))
+    placed = ranked.join(starts, [*group, "_part"]).withColumn("_first", F.col("_start") + F.col("_local"))
+    return placed.select(*columns, F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)).alias(name))
+
+
+def grouped(texts: Iterable, weight: int = GROUP) -> Iterator[list]:
+    """Runs of texts of about ``weight`` bytes; a longer text is a run of its own."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t or b"")
+        size += len(run[-1])
+        if size >= weight:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTES = _byte_letters()
 
 
 def about(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import bisect
 import functools
+import json
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
 import numpy as np
@@ -17,15 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinions.llm import common
-from opinions.llm.common import with_rank, written
+from opinions.llm.common import BYTES, grouped, with_rank, written
+from opinions.llm.tokens import END as NO_PAIR
+from opinions.llm.tokens import Merges, arranged, merged, ranked
 
 CAPACITY = 4096
 #: Id after every document.
 END = 1
-#: Words whose ids a worker remembers, about 200 bytes each; then it starts anew.
-REMEMBERED = 500_000
-#: Bytes of text that are encoded together.
-GROUP = 1_000_000
+#: Words of each of the two generations whose ids a worker remembers, about 200 bytes each.
+REMEMBERED = 250_000
 
 
 class Place(NamedTuple):
@@ -91,10 +92,28 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class Known(NamedTuple):
+    """Ids of words. A full young generation becomes the old one; what is used again comes back, so frequent words stay."""
+
+    young: dict[bytes, bytes]
+    old: dict[bytes, bytes]
+
+    def new(self, words: set[bytes]) -> list[bytes]:
+        """Those of ``words`` that neither generation holds; the others are in the young one then."""
+        if len(self.young) > REMEMBERED:
+            self.old.clear()
+            self.old.update(self.young)
+            self.young.clear()
+        absent = words - self.young.keys()
+        told = absent & self.old.keys()
+        self.young.update((w, self.old[w]) for w in told)
+        return list(absent - told)
+
+
 @functools.cache
-def _known(path: str) -> dict[bytes, bytes]:
-    known: dict[bytes, bytes] = {}
-    common.REMEMBERED.append(known)
+def _known(path: str) -> Known:
+    known = Known({}, {})
+    common.REMEMBERED.extend(known)
     return known
 
 
@@ -104,16 +123,6 @@ LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _byte_letters() -> dict[int, int]:
-    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
-    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in own]
-    return {b: 256 + i for i, b in enumerate(others)}
-
-
-BYTES = _byte_letters()
-
-
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -145,26 +154,69 @@ def _traits(path: str) -> tuple[bool, bool]:
     )
 
 
-def _learn(words: list[bytes], path: str, known: dict[bytes, bytes]) -> None:
-    """Add the ids of words. Those of letters, with or without marks behind, need the model only."""
+class WordMerges(NamedTuple):
+    """The merges of a vocabulary with word ends: the symbol of each byte inside a word and at its end."""
+
+    inside: np.ndarray
+    closing: np.ndarray
+    table: Merges
+
+
+@functools.cache
+def _word_merges(path: str) -> WordMerges | None:
+    """None for a vocabulary of another kind."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return None
+    vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+    letters = [chr(BYTES.get(b, b)) for b in range(256)]
+    if not all(c in vocab and c + end in vocab for c in letters):
+        return None
+    size = max(vocab.values()) + 1
+    parts = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    table = arranged([(vocab[a], vocab[b], vocab[a.removesuffix(end) + b if end else a + b]) for a, b in parts], size)
+    inside, closing = (np.array([vocab[c + e] for c in letters], np.int32) for e in ("", end))
+    return WordMerges(inside, closing, Merges(size, inside, None, *table, None, None))
+
+
+def _batch_ids(words: list[bytes], merges: WordMerges) -> list[bytes]:
+    """Ids of words of LETTERS, all merged together."""
+    low = [w.lower() if w.isascii() else w.decode().lower().encode() for w in words]
+    lens = np.fromiter(map(len, low), np.int64, len(low))
+    data, ends = np.frombuffer(b"".join(low), np.uint8), np.cumsum(lens) - 1
+    symbols = merges.inside[data]
+    symbols[ends] = merges.closing[data[ends]]
+    m = merges.table
+    rank = np.append(ranked(symbols[:-1], symbols[1:], m.size, m.pairs, m.ranks), NO_PAIR).astype(np.int32)
+    rank[ends] = NO_PAIR
+    left, ids = merged(symbols, lens, rank, m)
+    flat, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(left)).tolist()
+    return [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+
+def _learn(words: list[bytes], path: str, known: Known) -> None:
+    """Add the ids of words. Those of letters, with or without marks behind, need the merges only."""
     tokenizer, (_, short) = _tokenizer(path), _traits(path)
+    merges = _word_merges(path) if short else None
     stems: dict[bytes, bytes] = {}
     marks: dict[bytes, bytes] = {b"": b""}
+    split: list[tuple[bytes, bytes, bytes]] = []
     for word in words:
         stem = word.rstrip(MARKS)
         if not short or not LETTERS.fullmatch(stem):
-            known[word] = _text_ids(tokenizer, word)
+            known.young[word] = _text_ids(tokenizer, word)
             continue
-        low = stem.lower()
-        ids = stems.get(low) or known.get(low)
-        if ids is None:
-            ids = stems[low] = _model_ids(tokenizer, low)
-        behind = word[len(stem) :]
-        if behind:
-            if behind not in marks:
-                marks[behind] = _text_ids(tokenizer, behind)
-            ids += marks[behind]
-        known[word] = ids
+        low, behind = stem.lower(), word[len(stem) :]
+        split.append((word, low, behind))
+        if low not in stems:
+            stems[low] = known.young.get(low) or known.old.get(low) or b""
+        if behind not in marks:
+            marks[behind] = _text_ids(tokenizer, behind)
+    new = [s for s, ids in stems.items() if not ids]
+    if new:
+        stems.update(zip(new, _batch_ids(new, merges) if merges else [_model_ids(tokenizer, s) for s in new]))
+    known.young.update((word, stems[low] + marks[behind]) for word, low, behind in split)
 
 
 def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
@@ -178,25 +230,9 @@ def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
         return
     known = _known(path)
     words = [t.split() for t in texts]
-    every = set().union(*words)
-    if len(known) + len(every) > REMEMBERED:
-        known.clear()
-    _learn([w for w in every if w not in known], path, known)
+    _learn(known.new(set().union(*words)), path, known)
     for w in words:
-        yield b"".join(map(known.__getitem__, w))
-
-
-def grouped(texts: Iterable, weight: int = GROUP) -> Iterator[list]:
-    """Runs of texts of about ``weight`` bytes; a longer text is a run of its own."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t or b"")
-        size += len(run[-1])
-        if size >= weight:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+        yield b"".join(map(known.young.__getitem__, w))
 
 
 def pieces(

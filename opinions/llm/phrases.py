@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinions.llm.common import written
-from opinions.llm.packing import grouped
+from opinions.llm.common import grouped, written
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Prefixes or phrases that tasks look for at once: 24 MB at most.

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinions.llm import common
-from opinions.llm.packing import BYTES, grouped
+from opinions.llm.common import BYTES, grouped
 
 LIMIT = 512
 #: Pre-tokens of each of the two generations that a worker remembers, some 120 bytes each.
@@ -100,8 +100,8 @@ def ranked(left: np.ndarray, right: np.ndarray, size: int, pairs: np.ndarray, ra
     return np.where(pairs[at] == key, ranks[at], NEVER).astype(np.int32)
 
 
-def survivors(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges) -> np.ndarray:
-    """Symbols that are left of each sequence when nothing merges any more.
+def merged(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """How many symbols are left of each sequence when nothing merges any more, and these symbols.
 
     ``symbols`` holds the sequences one after the other, ``lens`` (all above 0) their lengths and ``rank`` the rank of every
     symbol with its successor. A sequence's places of its lowest rank merge together, from the left where they overlap;
@@ -111,6 +111,7 @@ def survivors(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges
     out = lens.astype(np.int64)
     which = np.arange(len(lens))
     lens = lens.astype(np.int64)
+    owner, left = [which[:0]], [symbols[:0]]
     while len(lens):
         starts = np.cumsum(lens) - lens
         low = np.minimum.reduceat(rank, starts)
@@ -118,6 +119,8 @@ def survivors(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges
         if not live.all():
             out[which[~live]] = lens[~live]
             kept = live.repeat(lens)
+            owner.append(which[~live].repeat(lens[~live]))
+            left.append(symbols[~kept])
             symbols, rank, lens, which, low = symbols[kept], rank[kept], lens[live], which[live], low[live]
             if not len(lens):
                 break
@@ -131,9 +134,9 @@ def survivors(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges
         alone = m.single[low]
         if alone.any():
             places = np.flatnonzero(hit)
-            owner = np.searchsorted(starts, places, "right") - 1
-            later = np.r_[False, owner[1:] == owner[:-1]]
-            hit[places[later & alone[owner]]] = False
+            holder = np.searchsorted(starts, places, "right") - 1
+            later = np.r_[False, holder[1:] == holder[:-1]]
+            hit[places[later & alone[holder]]] = False
         places = np.flatnonzero(hit)
         symbols[places] = m.result[rank[places]]
         ends = rank[places + 1] == END
@@ -146,7 +149,12 @@ def survivors(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges
         before = now[now > 0] - 1
         changed = np.r_[now[~ends], before[rank[before] != END]]
         rank[changed] = ranked(symbols[changed], symbols[changed + 1], m.size, m.pairs, m.ranks)
-    return out
+    return out, np.concatenate(left)[np.argsort(np.concatenate(owner), kind="stable")]
+
+
+def survivors(symbols: np.ndarray, lens: np.ndarray, rank: np.ndarray, m: Merges) -> np.ndarray:
+    """Symbols that are left of each sequence."""
+    return merged(symbols, lens, rank, m)[0]
 
 
 def word_counts(words: Sequence[str], m: Merges) -> list[int]:

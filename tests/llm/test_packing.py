@@ -124,3 +124,25 @@ def test_forgetful_workers_encode_the_same(monkeypatch):
     texts = ["a b c d e", "f g a", "b b b"]
     got = [np.frombuffer(x, "<u4").tolist() for t in texts for x in packing.encoded([t.encode()], tokenizer())]
     assert got == [plain_ids(t)[:-1] for t in texts]
+
+
+def test_a_full_cache_keeps_frequent_words(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    known = packing._known(tokenizer())
+    known.young.clear()
+    known.old.clear()
+    asked = []
+    learn = packing._learn
+    monkeypatch.setattr(packing, "_learn", lambda words, *args: asked.extend(words) or learn(words, *args))
+    for n in range(30):
+        text = " ".join(["often", *(f"rare{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}{n:02d}" for i in range(20))])
+        list(packing.encoded([text.encode()], tokenizer()))
+    assert asked.count(b"often") == 1 and len(asked) == 601
+    assert len(known.young) <= 71 and len(known.old) <= 71
+
+
+def test_merged_words_equal_the_model():
+    rng = random.Random(6)
+    words = {"".join(rng.choice("etaoinshrdlucmzéßñ") for _ in range(rng.randint(1, 14))).encode() for _ in range(3000)}
+    words = sorted(words)
+    assert packing._batch_ids(words, packing._word_merges(tokenizer())) == [packing._model_ids(whole(), w) for w in words]
