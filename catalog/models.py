@@ -27,10 +27,14 @@ def no_twin(fn):
     return fn
 
 
+def bag(docs):
+    return bow.bag_of_words(docs, stems=bow.frequent_stems(docs))
+
+
 def bags(spark, d):
-    """Labels, and term counts of the labelled texts, computed once for fitting and predicting."""
-    marks = t.marks(spark, d)
-    return marks, durable(bow.bag_of_words(t.labelled(spark, d)))
+    """Labels, term counts of the labelled texts, and both in the one table that fitting and predicting read."""
+    marks, terms = t.marks(spark, d), bag(t.labelled(spark, d))
+    return marks, terms, m.labelled_terms(marks, terms)
 
 
 def scored_classes(spark, d):
@@ -40,64 +44,80 @@ def scored_classes(spark, d):
     return scores.select("mention_id", joint_class(F.col("subject"), F.col("polarity"), t.SUBJECTS).alias("label"))
 
 
+def forest(docs):
+    """Held-out features and the fitted forest, from mention_id, label and words."""
+    docs = durable(docs.select("mention_id", "label", "words"))
+    train, test = m.key_split(m.hashed(docs, m.hash_width(docs)), "mention_id")
+    return m.random_forest(train.filter("label IS NOT NULL")), test
+
+
 def forest_predicted(spark, d):
-    docs = durable(bow.with_terms(t.labelled(spark, d)).select("mention_id", "label", "words"))
-    train, test = m.key_split(m.vectorized(docs), "mention_id")
-    return m.predictions(m.random_forest(train), test, KEY)
+    model, test = forest(bow.with_terms(t.labelled(spark, d)))
+    return m.predictions(model, test, KEY)
 
 
 @no_twin
 def rf_joint_class(spark, d):
     """The classes that scoring gives the mentions of both subjects, predicted from their words by the forest."""
     words = bow.with_terms(t.texts(spark, d)).select("mention_id", "words")
-    docs = durable(words.join(scored_classes(spark, d), "mention_id"))
-    train, test = m.key_split(m.vectorized(docs), "mention_id")
-    return m.predictions(m.random_forest(train.filter("label IS NOT NULL")), test, KEY)
+    model, test = forest(words.join(scored_classes(spark, d), "mention_id"))
+    return m.predictions(model, test, KEY)
+
+
+@no_twin
+def rf_predictions(spark, d):
+    """What the forest predicts for the held-out texts; a test reads the trees and comes to the same classes."""
+    return forest_predicted(spark, d)
+
+
+@no_twin
+def rf_trees(spark, d):
+    """The fitted forest, a row a node."""
+    model, _ = forest(bow.with_terms(t.labelled(spark, d)))
+    return m.forest_rows(model, spark)
+
+
+@query
+def feature_collisions(spark, d):
+    """How many of the forest's features stand for one, two, ... different terms."""
+    docs = durable(bow.with_terms(t.labelled(spark, d)).select("words"))
+    terms = docs.select(F.explode(F.concat("words", F.array().cast("array<string>"))).alias("term"))
+    return m.collisions(terms, m.hash_width(docs))
 
 
 @query
 def nb_multinomial(spark, d):
-    return m.multinomial_bayes(*bags(spark, d))
+    docs, terms, tagged = bags(spark, d)
+    return m.multinomial_bayes(docs, terms, tagged=tagged)
 
 
 @query
 def nb_gaussian(spark, d):
-    return m.gaussian_bayes(*bags(spark, d))
+    docs, terms, tagged = bags(spark, d)
+    return m.gaussian_bayes(docs, terms, tagged=tagged)
 
 
 @query
 def nb_accuracy(spark, d):
-    docs, terms = bags(spark, d)
+    docs, terms, tagged = bags(spark, d)
     return m.accuracy_table(
-        {"multinomial": m.multinomial_bayes(docs, terms), "gaussian": m.gaussian_bayes(docs, terms)}
+        {
+            "multinomial": m.multinomial_bayes(docs, terms, tagged=tagged),
+            "gaussian": m.gaussian_bayes(docs, terms, tagged=tagged),
+        }
     )
 
 
 @query
 def nb_joint_class(spark, d):
     """The classes that scoring gives the mentions of both subjects, predicted from their words."""
-    return m.multinomial_bayes(durable(scored_classes(spark, d)), durable(bow.bag_of_words(t.texts(spark, d))))
-
-
-@query
-def rf_predictions(spark, d):
-    """Which held-out texts the forest has predicted; that the class is one it was trained on."""
-    classes = list(m.class_counts(m.key_split(t.marks(spark, d), "mention_id")[0]))
-    return forest_predicted(spark, d).select("mention_id", "label", F.col("prediction").isin(classes).alias("valid"))
-
-
-def accuracies(spark, d):
-    docs, terms = bags(spark, d)
-    return m.accuracy_table({"naive_bayes": m.multinomial_bayes(docs, terms), "random_forest": forest_predicted(spark, d)})
-
-
-@query
-def classifier_accuracy(spark, d):
-    """Held-out texts per model, and whether the accuracy is a share; ``classifier_comparison`` has the accuracy."""
-    return accuracies(spark, d).select("model", "n", F.col("accuracy").between(0, 1).alias("valid"))
+    return m.multinomial_bayes(durable(scored_classes(spark, d)), bag(t.texts(spark, d)))
 
 
 @no_twin
 def classifier_comparison(spark, d):
     """model, accuracy, n: both models on the same held-out texts."""
-    return accuracies(spark, d)
+    docs, terms, tagged = bags(spark, d)
+    return m.accuracy_table(
+        {"naive_bayes": m.multinomial_bayes(docs, terms, tagged=tagged), "random_forest": forest_predicted(spark, d)}
+    )

@@ -235,7 +235,8 @@ def stem_vocab(spark, d):
 
 @query
 def bag_of_words(spark, d):
-    return bow.bag_of_words(docs(spark, d))
+    texts = docs(spark, d)
+    return bow.bag_of_words(texts, stems=bow.frequent_stems(texts))
 
 
 @query

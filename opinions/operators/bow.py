@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opinions.functions.porter import stem
 from opinions.functions.text import bow_words, drop_stopwords
+from opinions.operators.durable import durable
 
 
 def english_stopwords() -> list[str]:
@@ -39,15 +40,37 @@ def with_terms(docs: DataFrame, text: str = "text", stopwords: Sequence[str] | N
     return docs.withColumn("words", terms_column(F.col(text), stopwords))
 
 
+def frequent_stems(docs: DataFrame, key: str = "mention_id", text: str = "text", most: int = 20_000, texts: int = 1_000) -> DataFrame:
+    """word, stem of the words that make up one in ``most`` or more of some ``texts`` texts, chosen by the hash of their key.
+
+    At most ``most`` rows, whatever the texts hold. The table only saves work: a word that it lacks is stemmed where it stands.
+    """
+    rows, steps = docs.count(), 1 << 24
+    some = docs if rows <= texts else docs.filter(F.pmod(F.xxhash64(key), F.lit(steps)) < texts * steps // rows)
+    counts = words_of(some, [], text).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(counts)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return durable(counts.filter(F.col("n") * most >= total).select("word", stem(F.col("word")).alias("stem")))
+
+
 def bag_of_words(
     docs: DataFrame,
     keys: Sequence[str] = ("mention_id",),
     text: str = "text",
     stopwords: Sequence[str] | None = None,
+    stems: DataFrame | None = None,
 ) -> DataFrame:
-    """keys, term, n. Counts are combined in the task that reads the text."""
-    terms = docs.select(*keys, F.explode(terms_column(F.col(text), stopwords)).alias("term"))
-    return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+    """keys, term, n. Counts are combined in the task that reads the text.
+
+    ``stems`` (from ``frequent_stems``, at most 20,000 rows) gives the stems of frequent words, others are stemmed in the row;
+    the result is the same without it.
+    """
+    words = words_of(docs, keys, text, stopwords)
+    term = stem(F.col("word"))
+    if stems is not None:
+        words = words.join(F.broadcast(stems.toDF("_word", "_stem")), F.col("word") == F.col("_word"), "left")
+        term = F.when(F.col("_stem").isNull(), term).otherwise(F.col("_stem"))
+    return words.select(*keys, term.alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def term_frequency(words: DataFrame) -> DataFrame:

@@ -152,10 +152,13 @@ FINAL: dict[str, str] = {
     "term_topk": "SELECT term, freq FROM term_freq ORDER BY freq DESC, term LIMIT 20",
     "nb_multinomial": "SELECT mention_id, label, prediction FROM nb_pred",
     "nb_joint_class": "SELECT mention_id, label, prediction FROM jnb_pred",
-    "rf_predictions": "SELECT mention_id, label, true AS valid FROM labelled WHERE test",
-    "classifier_accuracy": """
-        SELECT model, (SELECT count(*) FROM labelled WHERE test) AS n, true AS valid
-        FROM (VALUES ('naive_bayes'), ('random_forest')) s(model)""",
+    "feature_collisions": """
+        SELECT terms_in_bucket, count(*) AS buckets, CAST(sum(terms_in_bucket) AS BIGINT) AS terms FROM (
+          SELECT bucket, count(*) AS terms_in_bucket FROM (
+            SELECT DISTINCT term, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % width AS bucket FROM lbag, (
+              SELECT CAST(least(32768, 2 ** greatest(4, ceil(log2(count(DISTINCT term))))) AS BIGINT) AS width FROM lbag))
+          GROUP BY bucket)
+        GROUP BY terms_in_bucket""",
     "nb_gaussian": "SELECT mention_id, label, prediction FROM gauss_pred",
     "nb_accuracy": """
         SELECT 'multinomial' AS model, round(avg(CAST(prediction = label AS DOUBLE)), 6) AS accuracy, count(*) AS n FROM nb_pred
