@@ -85,7 +85,7 @@ def forget(spark: SparkSession) -> None:
 
 
 #: What a Python worker remembers between tasks.
-REMEMBERED: list[dict] = []
+REMEMBERED: list = []
 
 
 def tidy() -> None:

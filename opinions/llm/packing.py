@@ -25,8 +25,10 @@ from opinions.llm.tokens import Merges, arranged, merged, ranked
 CAPACITY = 4096
 #: Id after every document.
 END = 1
-#: Words of each of the two generations whose ids a worker remembers, about 200 bytes each.
+#: Words of each of the two generations whose ids a worker remembers, about 150 bytes each.
 REMEMBERED = 250_000
+#: Bytes of a long text that are split into words at once.
+PART = 4_000_000
 
 
 class Place(NamedTuple):
@@ -92,31 +94,6 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class Known(NamedTuple):
-    """Ids of words. A full young generation becomes the old one; what is used again comes back, so frequent words stay."""
-
-    young: dict[bytes, bytes]
-    old: dict[bytes, bytes]
-
-    def new(self, words: set[bytes]) -> list[bytes]:
-        """Those of ``words`` that neither generation holds; the others are in the young one then."""
-        if len(self.young) > REMEMBERED:
-            self.old.clear()
-            self.old.update(self.young)
-            self.young.clear()
-        absent = words - self.young.keys()
-        told = absent & self.old.keys()
-        self.young.update((w, self.old[w]) for w in told)
-        return list(absent - told)
-
-
-@functools.cache
-def _known(path: str) -> Known:
-    known = Known({}, {})
-    common.REMEMBERED.extend(known)
-    return known
-
-
 #: Words of Latin-1 letters as UTF-8, which a normalizer may put in lower case and no more.
 LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 #: What may follow a word's last letter; the tokenizer parts it from the letter and keeps it together.
@@ -180,43 +157,151 @@ def _word_merges(path: str) -> WordMerges | None:
     return WordMerges(inside, closing, Merges(size, inside, None, *table, None, None))
 
 
-def _batch_ids(words: list[bytes], merges: WordMerges) -> list[bytes]:
-    """Ids of words of LETTERS, all merged together."""
-    low = [w.lower() if w.isascii() else w.decode().lower().encode() for w in words]
-    lens = np.fromiter(map(len, low), np.int64, len(low))
-    data, ends = np.frombuffer(b"".join(low), np.uint8), np.cumsum(lens) - 1
+def _ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Indices of runs that begin at ``starts``, one after the other."""
+    return np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
+
+
+#: Lower case of bytes: A-Z, and the second byte of a Latin-1 capital.
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(MARKS)] = True
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: Second bytes of letters behind 0xC3.
+_IS_SECOND = np.zeros(256, bool)
+_IS_SECOND[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True
+
+
+def _stems(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all words in lower case, their lengths, and how many bytes of letters stand before marks alone;
+    0 where a word is built otherwise."""
+    lens = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b"".join(words), np.uint8)
+    lead = data == 0xC3
+    second = np.r_[False, lead[:-1]] & _IS_SECOND[data]
+    letter = _IS_LETTER[data] | second | (lead & np.r_[second[1:], False])
+    starts = np.cumsum(lens) - lens
+    sums = np.add.reduceat(letter, starts, dtype=np.int64)
+    marks = np.add.reduceat(_IS_MARK[data], starts, dtype=np.int64)
+    turns = letter[1:] & ~letter[:-1]  # a letter behind another byte
+    turns = np.r_[False, turns]
+    turns[starts] = False
+    plain = (sums + marks == lens) & letter[starts] & (np.add.reduceat(turns, starts, dtype=np.int64) == 0)
+    low = np.where(second & (data <= 0x9E), data + 32, _LOWER[data]).astype(np.uint8)
+    return low, lens, np.where(plain, sums, 0)
+
+
+def _batch_ids(low: np.ndarray, starts: np.ndarray, lens: np.ndarray, merges: WordMerges) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids and ids of words of letters in lower case, all merged together."""
+    data, ends = low[_ragged(starts, lens)], np.cumsum(lens) - 1
     symbols = merges.inside[data]
     symbols[ends] = merges.closing[data[ends]]
     m = merges.table
     rank = np.append(ranked(symbols[:-1], symbols[1:], m.size, m.pairs, m.ranks), NO_PAIR).astype(np.int32)
     rank[ends] = NO_PAIR
-    left, ids = merged(symbols, lens, rank, m)
-    flat, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(left)).tolist()
-    return [flat[a:b] for a, b in zip([0, *stops], stops)]
-
-
-def _learn(words: list[bytes], path: str, known: Known) -> None:
-    """Add the ids of words. Those of letters, with or without marks behind, need the merges only."""
-    tokenizer, (_, short) = _tokenizer(path), _traits(path)
-    merges = _word_merges(path) if short else None
-    stems: dict[bytes, bytes] = {}
-    marks: dict[bytes, bytes] = {b"": b""}
-    split: list[tuple[bytes, bytes, bytes]] = []
-    for word in words:
-        stem = word.rstrip(MARKS)
-        if not short or not LETTERS.fullmatch(stem):
-            known.young[word] = _text_ids(tokenizer, word)
-            continue
-        low, behind = stem.lower(), word[len(stem) :]
-        split.append((word, low, behind))
-        if low not in stems:
-            stems[low] = known.young.get(low) or known.old.get(low) or b""
-        if behind not in marks:
-            marks[behind] = _text_ids(tokenizer, behind)
-    new = [s for s, ids in stems.items() if not ids]
-    if new:
-        stems.update(zip(new, _batch_ids(new, merges) if merges else [_model_ids(tokenizer, s) for s in new]))
-    known.young.update((word, stems[low] + marks[behind]) for word, low, behind in split)
+    return merged(symbols, lens, rank, m)
+
+
+class _Slots(dict):
+    """Slots of words in the order of their first sight; new ones are kept in ``fresh`` until they are learned."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        slot = self[word] = len(self)
+        self.fresh.append(word)
+        return slot
+
+
+class Known:
+    """Ids of words, one after the other in an array. A full generation becomes the old one, from which words that are seen
+    again are copied, so frequent words are encoded once."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.tokenizer = _tokenizer(path)
+        self.merges = _word_merges(path) if _traits(path)[1] else None
+        self.marks: dict[bytes, np.ndarray] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.old = (_Slots(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
+        self.slots, (_, self.starts, self.lens, self.ids) = _Slots(), self.old
+
+    def turn(self) -> None:
+        if len(self.slots) > REMEMBERED:
+            old = (self.slots, self.starts, self.lens, self.ids)
+            self.clear()
+            self.old = old
+
+    def of_text(self, text: bytes) -> np.ndarray:
+        """Slots of a text's words."""
+        found, start = [], 0
+        while len(text) - start > 2 * PART and (end := text.find(b" ", start + PART)) >= 0:
+            words = text[start:end].split()
+            found.append(np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words)))
+            self.learn()
+            start = end
+        words = (text[start:] if start else text).split()
+        found.append(np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words)))
+        return found[0] if len(found) == 1 else np.concatenate(found)
+
+    def learn(self) -> None:
+        """Add the ids of all fresh words."""
+        words, self.slots.fresh = self.slots.fresh, []
+        if not words:
+            return
+        n = len(words)
+        slots, starts, lens, ids = self.old
+        told = np.fromiter((slots.get(w, -1) for w in words), np.int64, n) if slots else np.full(n, -1)
+        first = np.zeros(n, np.int64)  # ids of the word, or of its letters
+        behind = np.zeros(n, np.int64)  # ids of the marks behind its letters
+        kept = np.flatnonzero(told >= 0)
+        first[kept] = lens[told[kept]]
+        rest = np.flatnonzero(told < 0)
+        absent = [words[i] for i in rest.tolist()]
+        letters = np.zeros(len(absent), np.int64)
+        if self.merges and absent:
+            low, sizes, letters = _stems(absent)
+        plain = np.flatnonzero(letters > 0)
+        tails: list[np.ndarray] = []
+        marked = plain[:0]
+        if len(plain):
+            begin = np.cumsum(sizes) - sizes
+            first[rest[plain]], stem_ids = _batch_ids(low, begin[plain], letters[plain], self.merges)
+            marked = plain[letters[plain] < sizes[plain]]
+            for i, k in zip(marked.tolist(), letters[marked].tolist()):
+                mark = absent[i][k:]
+                if mark not in self.marks:
+                    self.marks[mark] = np.frombuffer(_text_ids(self.tokenizer, mark), "<u4")
+                tails.append(self.marks[mark])
+            behind[rest[marked]] = list(map(len, tails))
+        odd = np.flatnonzero(letters == 0)
+        others = [np.frombuffer(_text_ids(self.tokenizer, absent[i]), "<u4") for i in odd.tolist()]
+        first[rest[odd]] = list(map(len, others))
+
+        total = first + behind
+        place = np.cumsum(total) - total
+        new = np.empty(int(total.sum()), "<u4")
+        new[_ragged(place[kept], first[kept])] = ids[_ragged(starts[told[kept]], first[kept])]
+        if len(plain):
+            new[_ragged(place[rest[plain]], first[rest[plain]])] = stem_ids
+        if tails:
+            new[_ragged((place + first)[rest[marked]], behind[rest[marked]])] = np.concatenate(tails)
+        if others:
+            new[_ragged(place[rest[odd]], first[rest[odd]])] = np.concatenate(others)
+        self.starts = np.append(self.starts, len(self.ids) + place)
+        self.lens = np.append(self.lens, total)
+        self.ids = np.append(self.ids, new)
+
+
+@functools.cache
+def _known(path: str) -> Known:
+    known = Known(path)
+    common.REMEMBERED.append(known)
+    return known
 
 
 def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
@@ -229,10 +314,11 @@ def encoded(texts: list[bytes], path: str) -> Iterator[bytes]:
         yield from (_text_ids(_tokenizer(path), t) for t in texts)
         return
     known = _known(path)
-    words = [t.split() for t in texts]
-    _learn(known.new(set().union(*words)), path, known)
-    for w in words:
-        yield b"".join(map(known.young.__getitem__, w))
+    known.turn()
+    slots = [known.of_text(t) for t in texts]
+    known.learn()
+    for s in slots:
+        yield known.ids[_ragged(known.starts[s], known.lens[s])].tobytes()
 
 
 def pieces(

@@ -129,20 +129,33 @@ def test_forgetful_workers_encode_the_same(monkeypatch):
 def test_a_full_cache_keeps_frequent_words(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 50)
     known = packing._known(tokenizer())
-    known.young.clear()
-    known.old.clear()
-    asked = []
-    learn = packing._learn
-    monkeypatch.setattr(packing, "_learn", lambda words, *args: asked.extend(words) or learn(words, *args))
+    known.clear()
+    merged = []
+    batch = packing._batch_ids
+    monkeypatch.setattr(packing, "_batch_ids", lambda low, starts, lens, m: merged.append(len(lens)) or batch(low, starts, lens, m))
     for n in range(30):
-        text = " ".join(["often", *(f"rare{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}{n:02d}" for i in range(20))])
-        list(packing.encoded([text.encode()], tokenizer()))
-    assert asked.count(b"often") == 1 and len(asked) == 601
-    assert len(known.young) <= 71 and len(known.old) <= 71
+        text = " ".join(["often", *("rare" + "".join("abcdefghij"[int(c)] for c in f"{n}{i:02d}") for i in range(20))])
+        assert np.frombuffer(next(packing.encoded([text.encode()], tokenizer())), "<u4").tolist() == plain_ids(text)[:-1]
+        assert len(known.slots) <= 71 and len(known.old[0]) <= 71
+    assert sum(merged) == 601
 
 
 def test_merged_words_equal_the_model():
     rng = random.Random(6)
-    words = {"".join(rng.choice("etaoinshrdlucmzéßñ") for _ in range(rng.randint(1, 14))).encode() for _ in range(3000)}
-    words = sorted(words)
-    assert packing._batch_ids(words, packing._word_merges(tokenizer())) == [packing._model_ids(whole(), w) for w in words]
+    words = sorted({"".join(rng.choice("etaoinshrdlucmzBÉéßñÀ.,!÷") for _ in range(rng.randint(1, 14))).encode() for _ in range(3000)})
+    low, sizes, letters = packing._stems(words)
+    starts = np.cumsum(sizes) - sizes
+    plain = np.flatnonzero(letters)
+    assert len(plain) > 500
+    for i, word in enumerate(words):
+        stem = word.rstrip(packing.MARKS)
+        assert letters[i] == (len(stem) if packing.LETTERS.fullmatch(stem) else 0)
+    left, ids = packing._batch_ids(low, starts[plain], letters[plain], packing._word_merges(tokenizer()))
+    want = [packing._model_ids(whole(), words[i][: letters[i]]) for i in plain]
+    assert ids.astype("<u4").tobytes() == b"".join(want) and left.tolist() == [len(w) // 4 for w in want]
+
+
+def test_long_texts_are_split_at_blanks(monkeypatch):
+    monkeypatch.setattr(packing, "PART", 20)
+    text = "one two, three\nfour  five.six it's " * 9 + "x" * 90
+    assert np.frombuffer(next(packing.encoded([text.encode()], tokenizer())), "<u4").tolist() == plain_ids(text)[:-1]
