@@ -175,6 +175,12 @@ def ratio_correlation(spark, d):
     return out.withColumn("r", F.round("r", 6))
 
 
+@query
+def correlation_matrix(spark, d):
+    out = r.outcome_correlations(board(spark, d, "established"), t.outcome(spark, d))
+    return out.withColumn("r", F.round("r", 6) + 0.0)
+
+
 @query
 def outcome_ratio(spark, d):
     out = r.outcome_ratio(t.outcome(spark, d))

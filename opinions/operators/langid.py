@@ -20,10 +20,13 @@ from opinions.operators.joins import fits_broadcast, lookup_join
 DIGITS = 6
 
 
+def letter_runs(cleaned: Column) -> Column:
+    return F.filter(F.split(F.lower(cleaned), r"[^\p{L}]+"), lambda w: w != "")
+
+
 def words_for_grams(text: Column) -> Column:
     """Lower-case letter runs of the cleaned text."""
-    cleaned = F.lower(clean_social(F.coalesce(text, F.lit(""))))
-    return F.filter(F.split(cleaned, r"[^\p{L}]+"), lambda w: w != "")
+    return letter_runs(clean_social(F.coalesce(text, F.lit(""))))
 
 
 def word_grams(word: Column, sizes: Sequence[int] = (1, 2, 3)) -> Column:
@@ -103,27 +106,36 @@ def langid_predict(
     langs = sorted(langs)
     wide = durable(wide_profiles(profiles, langs))
     rows = docs.select(*keys, F.explode_outer(words_for_grams(F.col(text))).alias("word"))
-    if words is None:
-        score = {g: F.col(f"lp_{g}") for g in langs}
-        grams = rows.select(*keys, F.explode_outer(word_grams(F.col("word"))).alias("gram"))
-    else:
-        # At most 20,000 rows by construction.
-        table = word_scores(words, wide, langs).withColumnRenamed("word", "_word")
-        rows = rows.join(F.broadcast(table), F.col("word") == F.col("_word"), "left")
-        rest = F.when(F.col("_word").isNull(), word_grams(F.col("word")))
-        kept = [f"w_{g}" for g in langs]
-        score = {g: F.coalesce(f"w_{g}", f"lp_{g}") for g in langs}
-        grams = rows.select(*keys, *kept, F.explode_outer(rest).alias("gram"))
-    sums = (
-        lookup_join(grams, wide, {"gram": "gram"}, small=fits_broadcast(wide))
-        .groupBy(*keys)
-        .agg(*[F.round(F.sum(score[g]), DIGITS).alias(f"s_{g}") for g in langs])
-    )
-    best = F.greatest(*[F.col(f"s_{g}") for g in langs]) if len(langs) > 1 else F.col(f"s_{langs[0]}")
-    pred = F.coalesce(*[F.when(F.col(f"s_{g}") == best, g) for g in langs])
+    grams, score = with_scores(rows, wide, None if words is None else word_scores(words, wide, langs), langs)
+    sums = grams.groupBy(*keys).agg(*[F.sum(score[g]).alias(f"s_{g}") for g in langs])
+    pred, best = likeliest(langs)
     return sums.select(*keys, pred.alias("pred"), best.alias("best"))
 
 
+def with_scores(rows: DataFrame, wide: DataFrame, table: DataFrame | None, langs: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows with a column ``word``, one for each gram of words that ``table`` lacks, and the score of a row per language.
+
+    ``table`` (from ``word_scores``, 20,000 rows at most) is broadcast, ``wide`` if it is measured to be small.
+    """
+    others = rows.columns
+    small = fits_broadcast(wide)
+    if table is None:
+        grams = rows.select(*others, F.explode_outer(word_grams(F.col("word"))).alias("gram"))
+        return lookup_join(grams, wide, {"gram": "gram"}, small=small), {g: F.col(f"lp_{g}") for g in langs}
+    rows = rows.join(F.broadcast(table.withColumnRenamed("word", "_word")), F.col("word") == F.col("_word"), "left")
+    rest = F.when(F.col("_word").isNull(), word_grams(F.col("word")))
+    grams = rows.select(*others, *[f"w_{g}" for g in langs], F.explode_outer(rest).alias("gram"))
+    joined = lookup_join(grams, wide, {"gram": "gram"}, small=small)
+    return joined, {g: F.coalesce(f"w_{g}", f"lp_{g}") for g in langs}
+
+
+def likeliest(langs: Sequence[str]) -> tuple[Column, Column]:
+    """The language with the greatest of the sums s_<lang>, and that sum; ties go by language code."""
+    sums = {g: F.round(F.col(f"s_{g}"), DIGITS) for g in sorted(langs)}
+    best = F.greatest(*sums.values()) if len(sums) > 1 else next(iter(sums.values()))
+    return F.coalesce(*[F.when(s == best, g) for g, s in sums.items()]), best
+
+
 def keep_language(predicted: DataFrame, lang: str = "en") -> DataFrame:
     """Texts predicted as ``lang``; a text without a prediction is rejected."""
     return predicted.filter(F.col("pred") == lang)

@@ -9,7 +9,7 @@ crosses the network, and the cost of a text is linear in its length but for sort
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,14 +46,18 @@ def emphasis(cleaned: Column, rules: RuleSet) -> Column:
     )
 
 
-def tokenized(docs: DataFrame, rules: RuleSet, keys: Sequence[str], text: str) -> DataFrame:
-    """keys, toks, n, mixed (some but not all tokens in capitals), turn (contrast word), emph."""
+def tokenized(
+    docs: DataFrame, rules: RuleSet, keys: Sequence[str], text: str, more: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    """keys, toks, n, mixed (some but not all tokens in capitals), turn (contrast word), emph; ``more`` columns are
+    made of the same cleaned text."""
     toks = F.col("toks")
     return (
         docs.select(*keys, clean_social(F.coalesce(F.col(text), F.lit(""))).alias("cleaned"))
         .withColumn("toks", scorer_tokens(F.col("cleaned")))
         .select(
             *keys,
+            *[f(F.col("cleaned")).alias(name) for name, f in (more or {}).items()],
             "toks",
             F.size(toks).alias("n"),
             F.size(F.filter(toks, is_upper)).between(1, F.size(toks) - 1).alias("mixed"),
@@ -63,7 +67,7 @@ def tokenized(docs: DataFrame, rules: RuleSet, keys: Sequence[str], text: str) -
     )
 
 
-def _neighbours(rows: DataFrame) -> DataFrame:
+def neighbours(rows: DataFrame) -> DataFrame:
     """Neighbours of each token's own place; positions start at 1."""
     shift = {"b1": -2, "b2": -3, "b3": -4, "a1": 0, "a2": 1}
     near = [F.get("toks", F.col("pos") + by).alias(name) for name, by in shift.items()]
@@ -133,7 +137,12 @@ def scored_tokens(
         return out.filter(F.col("valence").isNotNull() | (F.col("pos") == 0))
 
     # A lexicon too large to broadcast shuffles the tokens, so the array must be gone before.
-    hits = _of_first_place(_neighbours(known(rows)) if small else known(_neighbours(rows)), keys)
+    return ruled(neighbours(known(rows)) if small else known(neighbours(rows)), lex, rules, keys, small)
+
+
+def ruled(hits: DataFrame, lex: DataFrame, rules: RuleSet, keys: Sequence[str], small: bool) -> DataFrame:
+    """Every intermediate score of hits, which have tok, pos, valence, the neighbours and columns of their text."""
+    hits = _of_first_place(hits, keys)
     hits = hits.select("*", *[F.lower(b).alias(f"low_{b}") for b in ("b1", "b2", "b3")])
     for b in ("b1", "b2", "b3"):
         # The same table under the same names each time: one broadcast serves all joins.
@@ -255,9 +264,12 @@ def sentiment_scores(
     return finish_scores(hits, rules, keys)
 
 
-def finish_scores(hits: DataFrame, rules: RuleSet, keys: Iterable[str]) -> DataFrame:
+def finish_scores(hits: DataFrame, rules: RuleSet, keys: Iterable[str], more: Sequence[Column] = ()) -> DataFrame:
+    """keys, neg, neu, pos, compound, polarity from the hits of texts; ``more`` are further sums per text."""
     w = F.col("weighted")
+    kept = sorted(set(hits.agg(*more).columns)) if more else []
     sums = hits.groupBy(*keys).agg(
+        *more,
         F.max("n").alias("n"),
         F.max("emph").alias("emph"),
         F.coalesce(F.sum(w), F.lit(0.0)).alias("total"),
@@ -287,4 +299,5 @@ def finish_scores(hits: DataFrame, rules: RuleSet, keys: Iterable[str]) -> DataF
         F.when(F.col("n") > 0, part("flat")).otherwise(0.0).alias("neu"),
         F.when(F.col("n") > 0, part("up_all")).otherwise(0.0).alias("pos"),
         F.when(F.col("n") > 0, compound).otherwise(0.0).alias("compound"),
+        *kept,
     ).withColumn("polarity", polarity_of(F.col("compound")))

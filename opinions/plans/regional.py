@@ -119,3 +119,31 @@ def ratio_correlation(board: DataFrame, outcome: DataFrame) -> DataFrame:
     spread = F.stddev_pop("ratio_actual") * F.stddev_pop("ratio_texts")
     r = F.try_divide(F.covar_pop("ratio_actual", "ratio_texts"), spread)
     return both.agg(r.alias("r"), F.count(F.lit(1)).alias("regions"))
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """x, y, r, n for each pair of numeric columns: Pearson's correlation over the rows that have both, and their number.
+
+    All moments of all pairs come from one pass over the rows. ``r`` is null where a column is constant over those rows.
+    """
+    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
+    moments = []
+    for i, (x, y) in enumerate(pairs):
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        a, b = (F.when(both, F.col(c).cast("double")) for c in (x, y))
+        r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+        moments.append(F.struct(r.alias("r"), F.count_if(both).alias("n")).alias(f"p{i}"))
+    cells = [
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"p{i}.r").alias("r"), F.col(f"p{i}.n").alias("n"))
+        for i, (x, y) in enumerate(pairs)
+        for a, b in {(x, y), (y, x)}
+    ]
+    return df.agg(*moments).select(F.inline(F.array(*cells)))
+
+
+def outcome_correlations(board: DataFrame, outcome: DataFrame) -> DataFrame:
+    """``correlation_matrix`` of the regions' counts and ratio with the outcome's ratio and weight."""
+    known = outcome_ratio(outcome).join(outcome.select("region", to_int(F.col("weight")).alias("weight")), "region")
+    counts = [c for c in board.columns if c.startswith("n_")]
+    both = board.select("region", *counts, F.col("ratio").alias("ratio_texts")).join(known, "region")
+    return correlation_matrix(both, [*counts, "ratio_texts", "ratio_actual", "weight"])

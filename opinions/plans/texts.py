@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social
-from opinions.operators.langid import keep_language, langid_predict, langid_profiles
+from opinions.operators.durable import durable
+from opinions.operators.joins import fits_broadcast, lookup_join
+from opinions.operators.langid import langid_profiles, letter_runs, likeliest, wide_profiles, with_scores, word_scores, words_for_grams
 from opinions.operators.scope import drop_missing_user, exclude_cross_mention
-from opinions.operators.sentiment import sentiment_scores
+from opinions.operators.sentiment import finish_scores, neighbours, ruled, sentiment_scores, tokenized
 from opinions.rules import RuleSet
 
 CARRIED = ("mention_id", "subject", "user_id", "user_join_date", "country", "region", "ts")
@@ -36,13 +38,46 @@ def scored_mentions(
     lang: str = "en",
     rules: RuleSet | None = None,
     carry: Sequence[str] = CARRIED,
+    profiles: DataFrame | None = None,
 ) -> DataFrame:
     """Filter, clean, identify the language, score and label.
 
-    ``words`` are the ``word_counts`` of texts with known languages. Language and scores are both summed per text next to the scan and meet as narrow rows; the
-    texts themselves are never shuffled. Join back on ``mention_id`` where the text is wanted.
+    ``words`` are the ``word_counts`` of texts with known languages, ``profiles`` what was learned of them, if it is stored.
+    A text is read and cleaned once: its scorer tokens and its language words are one array, whose elements meet lexicon and
+    profiles as broadcast tables and are summed per text next to the scan. Texts are never shuffled; join back on
+    ``mention_id`` where the text is wanted. A text that cleaning leaves empty has no language and goes.
     """
-    kept = usable_mentions(raw, rivals)
+    rules, langs = rules or RuleSet(), sorted(langs)
+    kept = exclude_cross_mention(drop_missing_user(raw), rivals)
+    wide = durable(wide_profiles(langid_profiles(words) if profiles is None else profiles, langs))
+    table = word_scores(words, wide, langs)
+    lex = lexicon.select("token", "valence")
+    if not (fits_broadcast(lex) and fits_broadcast(wide)):
+        return _scored_apart(kept, lexicon, wide, table, langs, lang, rules, carry)
+    of_text = [*carry, "n", "mixed", "turn", "emph"]
+    none = F.lit(None).cast("string")
+    said = F.transform("toks", lambda t, i: F.struct((i + 1).cast("int").alias("pos"), t.alias("tok"), none.alias("word")))
+    heard = F.transform("words", lambda w: F.struct(F.lit(0).cast("int").alias("pos"), none.alias("tok"), w.alias("word")))
+    rows = tokenized(kept, rules, carry, "text", {"words": letter_runs}).select(
+        *of_text, "toks", F.explode(F.concat(said, heard)).alias("e")
+    )
+    rows = rows.select(*of_text, "toks", "e.pos", "e.tok", "e.word").withColumn("low", F.lower("tok"))
+    rows = lookup_join(rows, lex, {"low": "token"}, small=True).filter((F.col("pos") == 0) | F.col("valence").isNotNull())
+    near = neighbours(rows)
+    scores, score = with_scores(near, wide, table, langs)
+    # A row for each hit, and one for all language words of a text.
+    hits = scores.groupBy(*[c for c in near.columns if c != "word"]).agg(*[F.sum(score[g]).alias(f"s_{g}") for g in langs])
+    sums = [F.max(f"s_{g}").alias(f"s_{g}") for g in langs]
+    found = finish_scores(ruled(hits, lex, rules, carry, True), rules, carry, sums)
+    return found.filter(likeliest(langs)[0] == lang).drop(*[f"s_{g}" for g in langs])
+
+
+def _scored_apart(
+    kept: DataFrame, lexicon: DataFrame, wide: DataFrame, table: DataFrame, langs: Sequence[str], lang: str, rules: RuleSet, carry: Sequence[str]
+) -> DataFrame:
+    """The same where lexicon or profiles are too large to broadcast: two passes whose narrow results are joined."""
     scored = sentiment_scores(kept, lexicon, rules, keys=carry)
-    pred = langid_predict(kept, langid_profiles(words), langs, ("mention_id",), words=words)
-    return scored.join(keep_language(pred, lang).select("mention_id"), "mention_id", "left_semi")
+    rows = kept.select("mention_id", F.explode_outer(words_for_grams(F.col("text"))).alias("word"))
+    grams, score = with_scores(rows, wide, table, langs)
+    sums = grams.groupBy("mention_id").agg(*[F.sum(score[g]).alias(f"s_{g}") for g in langs])
+    return scored.join(sums.filter(likeliest(langs)[0] == lang).select("mention_id"), "mention_id", "left_semi")

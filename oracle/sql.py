@@ -34,6 +34,8 @@ def _exact(name: str) -> str:
     return f"round({name}, 12) + 0.0::DOUBLE AS {name}"
 
 
+_MEASURED = ("n_a", "n_b", "ratio_texts", "ratio_actual", "weight")
+
 FINAL: dict[str, str] = {
     "scan_mentions": "SELECT mention_id, subject, user_id, polarity, country, region, user_join_date FROM raw_mentions",
     "capped_sample": "SELECT mention_id, subject, polarity FROM mentions ORDER BY mention_id LIMIT 1000",
@@ -88,6 +90,11 @@ FINAL: dict[str, str] = {
           SELECT ratio AS y, CASE WHEN TRY_CAST(votes_b AS DOUBLE) <> 0
             THEN TRY_CAST(votes_a AS DOUBLE) / TRY_CAST(votes_b AS DOUBLE) END AS x
           FROM board_established b JOIN outcome o ON o.region = b.region) WHERE x IS NOT NULL AND y IS NOT NULL""",
+    "correlation_matrix": f"""
+        {" UNION ALL ".join(
+            f"SELECT '{x}' AS x, '{y}' AS y, round(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 6) + 0.0::DOUBLE AS r, "
+            f"count(*) AS n FROM measured WHERE {x} IS NOT NULL AND {y} IS NOT NULL"
+            for x in _MEASURED for y in _MEASURED)}""",
     "lexicon_dim": "SELECT token, valence FROM lexicon",
     "exclude_cross_mention": """
         SELECT mention_id, subject FROM texts

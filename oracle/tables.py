@@ -1,4 +1,4 @@
-"""The derived tables of ``catalog.tables`` as SQL, written independently of the Spark code."""
+"""The derived tables of ``catalog.tables`` as SQL. Text patterns and stemming tables are the package's, as these are fixed values."""
 
 WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\t-\r\x{1c}-\x{1f}\x{85}\p{Z}]"
@@ -89,6 +89,12 @@ for _p in ("mentions", "users", "established"):
       FROM regions r LEFT JOIN pos_{_p} p ON p.region = r.region GROUP BY r.region)
     """
 
+CTES["measured"] = """
+SELECT n_a, n_b, ratio AS ratio_texts, TRY_CAST(trim(weight) AS INT) AS weight, CASE WHEN TRY_CAST(votes_b AS DOUBLE) <> 0
+  THEN TRY_CAST(votes_a AS DOUBLE) / TRY_CAST(votes_b AS DOUBLE) END AS ratio_actual
+FROM board_established b JOIN outcome o ON o.region = b.region
+"""
+
 CTES["texts"] = r"""
 SELECT doc_id AS mention_id,
   CASE WHEN CAST(substr(source, 4) AS INT) % 2 = 0 THEN 'a' ELSE 'b' END AS subject,

@@ -1,12 +1,18 @@
 """Queries of classifiers without an SQL twin."""
 
+import hashlib
+from collections import Counter
+
 import duckdb
 from helpers import values
 
 import __spark_entry__ as entry
 from catalog import models
+from catalog import tables as t
 from check import TABLES
+from opinions.operators import bow
 from opinions.operators import models as m
+from opinions.operators.durable import durable
 from oracle import sql
 
 
@@ -23,17 +29,61 @@ def test_comparison_has_the_accuracy_of_both_models(spark, sf):
     assert values(got) == [("naive_bayes", *bayes[0]), ("random_forest", *forest)]
 
 
-def test_forest_sees_every_term(spark):
+def test_features_hold_every_term(spark):
     n = 2**18 + 10
     docs = spark.range(1).selectExpr(f"concat(transform(sequence(1, {n}), i -> concat('t', i)), array('b', 'b', 'a', 'a')) AS words")
-    features = m.vectorized(docs).first()["features"]
+    features = m.vectorized(docs, size=n + 2).first()["features"]
     assert features.size == n + 2 and features.numNonzeros() == n + 2
     assert features[0] == features[1] == 2
+    assert m.hash_width(docs) == m.WIDEST and m.hash_width(docs, widest=2**30) in (2**18, 2**19)  # 2 % off
+    shared = m.hashed(docs, 1024).first()["features"]
+    assert shared.size == 1024 and shared.toArray().sum() == n + 4
     # Equally frequent terms go by the term.
     few = spark.createDataFrame([(["c", "b", "a"],), (["d", "d"],), (["a"],)], ["words"])
     assert [r["features"].toArray().tolist() for r in m.vectorized(few, size=3).collect()] == [[1, 0, 1], [0, 2, 0], [1, 0, 0]]
 
 
+def bucket_of(term, width):
+    return int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % width
+
+
+def test_buckets_and_collisions(spark):
+    terms = [f"t{i}" for i in range(300)] + ["é", "日本"]
+    held = Counter(Counter(bucket_of(t, 64) for t in terms).values())
+    got = m.collisions(spark.createDataFrame([(t,) for t in terms + terms[:9]], "term string"), 64)
+    assert values(got, "terms_in_bucket", "buckets", "terms") == sorted(((k, n, k * n) for k, n in held.items()), key=repr)
+    docs = spark.createDataFrame([(terms[:40] + terms[:5],), ([],)], "words array<string>")
+    first, none = (r["features"].toArray().tolist() for r in m.hashed(docs, 64).collect())
+    counts = Counter(bucket_of(t, 64) for t in terms[:40] + terms[:5])
+    assert first == [counts[i] for i in range(64)] and not any(none)
+    assert m.hash_width(docs.limit(0)) == 16
+
+
+def test_forest_rows_give_the_predictions(spark, sf):
+    """The trees as rows, walked in plain Python over plain counts, against Spark's own predictions of all held-out texts."""
+    docs = durable(bow.with_terms(t.labelled(spark, sf)).select("mention_id", "label", "words"))
+    width = m.hash_width(docs)
+    train, test = m.key_split(m.hashed(docs, width), "mention_id")
+    model = m.random_forest(train)
+    nodes = {(r["tree"], r["node"]): r for r in m.forest_rows(model, spark).collect()}
+    trees = {k[0] for k in nodes}
+    assert len(trees) == 200 and all(len(r["votes"]) == len(nodes[0, 0]["votes"]) for r in nodes.values())
+
+    def walked(words):
+        counts = Counter(bucket_of(w, width) for w in words)
+        sums = [0.0] * len(nodes[0, 0]["votes"])
+        for tree in trees:
+            r = nodes[tree, 0]
+            while r["feature"] is not None:
+                r = nodes[tree, r["left"] if counts[r["feature"]] <= r["threshold"] else r["right"]]
+            sums = [s + v for s, v in zip(sums, r["votes"])]
+        best = max(sums)
+        return next(c for c, s in enumerate(sums) if s > best - 1e-9)
+
+    want = sorted((r["mention_id"], walked(r["words"])) for r in test.collect())
+    assert len(want) > 10 and values(m.predictions(model, test, ["mention_id"]), "mention_id", "prediction") == sorted(want, key=repr)
+
+
 def test_forest_of_joint_classes(spark, sf):
     got = entry.queries()["rf_joint_class"](spark, sf)
     marks = models.QUERIES["nb_joint_class"](spark, sf)

@@ -179,3 +179,17 @@ def test_language_held_out_accuracy(spark, sf):
     pred = langid.langid_predict(test, langid.langid_profiles(langid.word_counts(train)), ["de", "en", "es", "fr"])
     joined = pred.join(test.select("mention_id", "lang"), "mention_id")
     assert joined.agg(F.avg((F.col("pred") == F.col("lang")).cast("double"))).first()[0] > 0.95
+
+
+def test_bag_with_a_stem_table(spark):
+    """The same bag whatever the table holds, and no text in an exchange."""
+    rows = [(1, "Running runners ran; flies denied the caresses"), (2, "running running flies"), (3, None), (4, "the 12 @x")]
+    docs = spark.createDataFrame(rows, "mention_id long, text string")
+    plain = values(bow.bag_of_words(docs))
+    stems = bow.frequent_stems(docs)
+    assert values(stems) and all(values(bow.bag_of_words(docs, stems=s)) == plain for s in (stems, stems.limit(1), stems.limit(0)))
+    assert values(bow.frequent_stems(docs, most=4)) == [("running", "run")]
+    assert values(bow.frequent_stems(docs.limit(0))) == []
+    plan = bow.bag_of_words(docs, stems=stems)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "text" not in exchanges[0]
