@@ -181,6 +181,20 @@ def correlation_matrix(spark, d):
     return out.withColumn("r", F.round("r", 6) + 0.0)
 
 
+NOTATIONS = ("M-d-yyyy", "d-M-yyyy", "yyyy-M-d", "yyyy-M-d H:m:s")
+
+
+@query
+def date_notations(spark, d):
+    return v.date_notations(t.authors(spark, d), "user_join_date", NOTATIONS)
+
+
+@query
+def dates_by_notation(spark, d):
+    found = v.parse_dates(t.authors(spark, d), "user_join_date", "day", NOTATIONS)
+    return found.select(F.col("author_id").alias("user_id"), "user_join_date", "day", F.col("day_unsure").cast("int").alias("unsure"))
+
+
 @query
 def outcome_ratio(spark, d):
     out = r.outcome_ratio(t.outcome(spark, d))

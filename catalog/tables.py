@@ -211,6 +211,20 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phrase_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """phrase, valence, damps from the two- and three-word phrases of ``benchmark``."""
+    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    held = read(spark, sf_dir, "benchmark").select(words.alias("w"))
+
+    def runs(k):
+        some = F.transform("w", lambda _, i: F.slice("w", i + 1, k))
+        return F.transform(F.filter(some, lambda p: F.size(p) == k), lambda p: F.array_join(p, " "))
+
+    phrases = held.select(F.explode(F.concat(runs(2), runs(3))).alias("phrase")).distinct()
+    value = ((F.length("phrase") * 7 + F.ascii("phrase")) % 9 - 4).cast("double")
+    return phrases.select("phrase", value.alias("valence"), (F.length("phrase") % 5 == 0).alias("damps"))
+
+
 def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """mention_id, label in 0..3."""
     return read(spark, sf_dir, "labels").select(

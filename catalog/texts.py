@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from catalog import tables as t
 from opinions.functions import text as x
 from opinions.functions.porter import step_1a
-from opinions.functions.values import polarity_of
+from opinions.functions.values import in_test_split, polarity_of
 from opinions.operators import bow, langid, scope
 from opinions.operators import sentiment as sen
-from opinions.operators.durable import durable
+from opinions.operators.durable import durable, shared_folder
 from opinions.plans import texts as plan
+from opinions.sources import profiles
 
 QUERIES = {}
 KEY = ["mention_id"]
@@ -161,6 +164,14 @@ def contrast_reweight(spark, d):
     return hits(spark, d).select("mention_id", "pos", "turn", exact("score"), exact("weighted"))
 
 
+@query
+def phrase_table(spark, d):
+    """Idioms and dampeners from a table of phrases instead of a list."""
+    tables = sen.rule_tables(spark, t.RULES)._replace(phrases=durable(t.phrase_table(spark, d)))
+    found = sen.scored_tokens(docs(spark, d), t.lexicon(spark, d), t.RULES, KEY, tables=tables)
+    return found.select("mention_id", "pos", exact("idiom"), exact("damp"), exact("v_idiom"))
+
+
 @query
 def sentiment_scores(spark, d):
     return sen.sentiment_scores(docs(spark, d), t.lexicon(spark, d), t.RULES)
@@ -198,6 +209,19 @@ def langid_filter(spark, d):
     return langid.keep_language(predicted(spark, d)).select("mention_id", "pred")
 
 
+@query
+def langid_held_out(spark, d):
+    """Held-out texts by profiles of the others, which are stored and read back."""
+    texts = docs(spark, d)
+    test = in_test_split(F.col("mention_id"))
+    words = durable(langid.word_counts(texts.filter(~test)))
+    path = f"{shared_folder(spark)}/langid-{uuid.uuid4().hex}"
+    profiles.write_profiles(words, langid.langid_profiles(words), path)
+    stored = profiles.read_profiles(spark, path)
+    found = langid.langid_predict(texts.filter(test), stored.profiles, t.LANGS, words=stored.words)
+    return found.withColumn("best", F.round("best", 3))
+
+
 @query
 def scored_mentions(spark, d):
     raw, words = t.text_mentions(spark, d), language_words(spark, d)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 JOIN_DATE_FORMATS = ("M-d-yyyy", "yyyy-M-d", "yyyy-M-d H:m:s")
@@ -48,6 +48,52 @@ def parse_join_date(c: Column, formats: Sequence[str] = JOIN_DATE_FORMATS) -> Co
     return F.coalesce(*[F.try_to_date(text, f) for f in formats])
 
 
+#: Notations that a column of dates may have, the likelier one of two that fit equally often first.
+DATE_NOTATIONS = ("M-d-yyyy", "d-M-yyyy", "yyyy-M-d", "yyyy-d-M", "yyyy-M-d H:m:s", "d-M-yyyy H:m:s", "M-d-yyyy H:m:s", "d MMM yyyy", "MMM d, yyyy")
+
+
+def _dates(c: Column, notations: Sequence[str]) -> list[Column]:
+    text = F.regexp_replace(F.trim(c), "[/.]", "-")
+    return [F.try_to_date(text, f) for f in notations]
+
+
+def date_notations(df: DataFrame, column: str, notations: Sequence[str] = DATE_NOTATIONS) -> DataFrame:
+    """notation, fits, alone, place: how many values each notation reads, how many only it does, and its place.
+
+    One pass over the rows. The notation that reads most has place 1; of equals the one that reads more alone, then the one
+    named earlier.
+    """
+    read = df.select(F.array(*_dates(F.col(column), notations)).alias("d"))
+    only = F.size(F.filter("d", lambda x: x.isNotNull())) == 1
+    counts = [
+        F.struct(
+            F.count_if(F.col("d")[i].isNotNull()).alias("fits"),
+            F.count_if(F.col("d")[i].isNotNull() & only).alias("alone"),
+            F.lit(-i).alias("named"),
+            F.lit(f).alias("notation"),
+        )
+        for i, f in enumerate(notations)
+    ]
+    ordered = read.agg(F.reverse(F.array_sort(F.array(*counts))).alias("o"))
+    return ordered.select(F.posexplode("o").alias("place", "o")).select(
+        "o.notation", "o.fits", "o.alone", (F.col("place") + 1).alias("place")
+    )
+
+
+def parse_dates(df: DataFrame, column: str, name: str, notations: Sequence[str] = DATE_NOTATIONS) -> DataFrame:
+    """Add ``name``, the date by the notation in use, and ``<name>_unsure``, whether another that is in use reads another day.
+
+    A notation is in use if it reads some value that no other does, or reads the most. A value that several read goes by
+    the one with the better place. A row a notation comes to the driver.
+    """
+    ranked = sorted(date_notations(df, column, notations).collect(), key=lambda r: r["place"])
+    used = [r["notation"] for r in ranked if r["alone"] or (r["place"] == 1 and r["fits"])]
+    if not used:
+        return df.select("*", F.lit(None).cast("date").alias(name), F.lit(False).alias(f"{name}_unsure"))
+    dates = F.filter(F.array(*_dates(F.col(column), used)), lambda x: x.isNotNull())
+    return df.select("*", F.get(dates, F.lit(0)).alias(name), (F.size(F.array_distinct(dates)) > 1).alias(f"{name}_unsure"))
+
+
 def to_int(c: Column) -> Column:
     return F.trim(c).try_cast("int")
 

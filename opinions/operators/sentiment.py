@@ -10,8 +10,9 @@ crosses the network, and the cost of a text is linear in its length but for sort
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social, is_upper, scorer_tokens
@@ -25,6 +26,29 @@ SCORES = ("neg", "neu", "pos", "compound")
 SUM_DIGITS = 9
 
 
+class RuleTables(NamedTuple):
+    """The scorer's word lists as tables of any size, in place of the lists of a ``RuleSet``.
+
+    ``words`` is unique on token: token, delta (of a booster, else null), negates. ``phrases`` is unique on phrase: phrase,
+    valence (of an idiom, else null), damps (a booster of two words). A table is broadcast if it is measured to be small.
+    """
+
+    words: DataFrame
+    phrases: DataFrame
+
+
+def rule_tables(spark: SparkSession, rules: RuleSet) -> RuleTables:
+    """The lists of ``rules`` as tables."""
+    single = {w for w in rules.boosters if " " not in w} | set(rules.negators)
+    words = [(w, rules.boosters.get(w), w in rules.negators) for w in sorted(single)]
+    pairs = [w for w in rules.boosters if " " in w]
+    phrases = [(p, rules.idioms.get(p), p in pairs) for p in sorted({*rules.idioms, *pairs})]
+    return RuleTables(
+        spark.createDataFrame(words, "token string, delta double, negates boolean"),
+        spark.createDataFrame(phrases, "phrase string, valence double, damps boolean"),
+    )
+
+
 def _quoted(word: str) -> str:
     return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -114,6 +138,7 @@ def scored_tokens(
     keys: Sequence[str],
     text: str = "text",
     keep_texts: bool = False,
+    tables: RuleTables | None = None,
 ) -> DataFrame:
     """One row per token that the lexicon knows, with every intermediate value of its score.
 
@@ -137,10 +162,12 @@ def scored_tokens(
         return out.filter(F.col("valence").isNotNull() | (F.col("pos") == 0))
 
     # A lexicon too large to broadcast shuffles the tokens, so the array must be gone before.
-    return ruled(neighbours(known(rows)) if small else known(neighbours(rows)), lex, rules, keys, small)
+    return ruled(neighbours(known(rows)) if small else known(neighbours(rows)), lex, rules, keys, small, tables)
 
 
-def ruled(hits: DataFrame, lex: DataFrame, rules: RuleSet, keys: Sequence[str], small: bool) -> DataFrame:
+def ruled(
+    hits: DataFrame, lex: DataFrame, rules: RuleSet, keys: Sequence[str], small: bool, tables: RuleTables | None = None
+) -> DataFrame:
     """Every intermediate score of hits, which have tok, pos, valence, the neighbours and columns of their text."""
     hits = _of_first_place(hits, keys)
     hits = hits.select("*", *[F.lower(b).alias(f"low_{b}") for b in ("b1", "b2", "b3")])
@@ -149,25 +176,81 @@ def ruled(hits: DataFrame, lex: DataFrame, rules: RuleSet, keys: Sequence[str],
         hits = hits.withColumnRenamed("valence", "_kept")
         hits = lookup_join(hits, lex, {f"low_{b}": "token"}, small=small)
         hits = hits.withColumnsRenamed({"valence": f"val_{b}", "_kept": "valence"})
-    return _apply_rules(hits, rules)
+    return _apply_rules(hits, rules, tables)
+
+
+#: The words around a hit that may be a phrase; the first phrase that the table holds counts.
+PHRASES = (("tok", "a1", "a2"), ("tok", "a1"), ("b1", "tok"), ("b2", "b1", "tok"), ("b2", "b1"), ("b3", "b2", "b1"), ("b3", "b2"))
+
+
+def _phrase(*names: str) -> Column:
+    return F.concat(*[c for n in names for c in (F.lit(" "), F.col(n))][1:])
+
+
+class _Lists(NamedTuple):
+    """What the word lists say about a hit: per neighbour the delta of a booster (else null) and whether it negates,
+    whether the hit is a booster itself, and of the phrases around it the idiom's valence and whether one damps."""
 
+    delta: dict[str, Column]
+    negates: dict[str, Column]
+    booster: Column
+    idiom: Column
+    damps: Column
 
-def _apply_rules(hits: DataFrame, rules: RuleSet) -> DataFrame:
+
+def _literal_lists(rules: RuleSet) -> _Lists:
+    boosters, booster_words = word_table(rules.boosters), word_list(rules.boosters)
+    idioms, idiom_phrases = word_table(rules.idioms), word_list(rules.idioms)
+    negators, pairs = word_list(rules.negators), word_list(k for k in rules.boosters if " " in k)
+    # The filter also ends the generated method here: the stages around it stay short enough to be compiled.
+    matching = F.filter(F.array(*[_phrase(*p) for p in PHRASES]), lambda p: F.array_contains(idiom_phrases, p))
+    near = ("b1", "b2", "b3")
+    return _Lists(
+        {b: F.try_element_at(boosters, F.col(f"low_{b}")) for b in near},
+        {b: F.array_contains(negators, F.col(f"low_{b}")) for b in near},
+        F.array_contains(booster_words, F.lower("tok")),
+        F.try_element_at(idioms, F.get(matching, F.lit(0))),
+        F.array_contains(pairs, _phrase("b3", "b2")) | F.array_contains(pairs, _phrase("b2", "b1")),
+    )
+
+
+def _joined_lists(hits: DataFrame, tables: RuleTables) -> tuple[DataFrame, _Lists]:
+    """Hits with what the tables say: words are looked up by themselves, phrases by the words around the hit."""
+    words = tables.words.select("token", "delta", "negates")
+    phrases = tables.phrases.select("phrase", F.col("valence").alias("worth"), "damps")
+    few_words, few_phrases = fits_broadcast(words), fits_broadcast(phrases)
+    hits = hits.withColumn("low_tok", F.lower("tok"))
+    near = ("b1", "b2", "b3")
+    for b in (*near, "tok"):
+        # The same table under the same names each time: one broadcast serves all joins.
+        hits = lookup_join(hits, words, {f"low_{b}": "token"}, small=few_words)
+        hits = hits.withColumnsRenamed({"delta": f"delta_{b}", "negates": f"negates_{b}"})
+    for i, names in enumerate(PHRASES):
+        hits = lookup_join(hits.withColumn("_phrase", _phrase(*names)), phrases, {"_phrase": "phrase"}, small=few_phrases)
+        hits = hits.drop("_phrase").withColumnsRenamed({"worth": f"worth_{i}", "damps": f"damps_{i}"})
+    two = [F.coalesce(f"damps_{PHRASES.index(p)}", F.lit(False)) for p in (("b3", "b2"), ("b2", "b1"))]
+    return hits, _Lists(
+        {b: F.col(f"delta_{b}") for b in near},
+        {b: F.coalesce(f"negates_{b}", F.lit(False)) for b in near},
+        F.col("delta_tok").isNotNull(),
+        F.coalesce(*[F.col(f"worth_{i}") for i in range(len(PHRASES))]),
+        two[0] | two[1],
+    )
+
+
+def _apply_rules(hits: DataFrame, rules: RuleSet, tables: RuleTables | None = None) -> DataFrame:
     """Scores of the hits. Everything that depends on words is settled first, as flags and factors
     per neighbour; the running value then passes through arithmetic only, which keeps the generated
     code small enough for the JVM to compile."""
     col = F.col
     never_2, never_3 = rules.never_factors
-    boosters, booster_words = word_table(rules.boosters), word_list(rules.boosters)
-    idioms, idiom_phrases = word_table(rules.idioms), word_list(rules.idioms)
-    negators, never_links = word_list(rules.negators), word_list(rules.never_links)
-    pairs = word_list(k for k in rules.boosters if " " in k)
+    hits, lists = (hits, _literal_lists(rules)) if tables is None else _joined_lists(hits, tables)
+    never_links = word_list(rules.never_links)
     links = {b: F.coalesce(F.array_contains(never_links, col(b)), F.lit(False)) for b in ("b1", "b2")}
 
     def negated(b: str) -> Column:
-        low = col(f"low_{b}")
         return F.when(
-            F.array_contains(negators, low) | low.contains(rules.contraction), rules.negation_factor
+            lists.negates[b] | col(f"low_{b}").contains(rules.contraction), rules.negation_factor
         ).otherwise(1.0)
 
     flips = {
@@ -180,32 +263,14 @@ def _apply_rules(hits: DataFrame, rules: RuleSet) -> DataFrame:
     words: dict[str, Column] = {"shout": col("mixed") & is_upper(col("tok"))}
     for factor, b in zip(rules.distance_factors, ("b1", "b2", "b3")):
         free = col(b).isNotNull() & col(f"val_{b}").isNull()
-        words[f"lift_{b}"] = F.coalesce(
-            F.when(free, F.try_element_at(boosters, col(f"low_{b}")) * factor), F.lit(0.0)
-        )
-        loud = free & col("mixed") & F.array_contains(booster_words, col(f"low_{b}")) & is_upper(col(b))
+        words[f"lift_{b}"] = F.coalesce(F.when(free, lists.delta[b] * factor), F.lit(0.0))
+        loud = free & col("mixed") & lists.delta[b].isNotNull() & is_upper(col(b))
         words[f"loud_{b}"] = F.when(loud, rules.caps_step * factor).otherwise(0.0)
         words[f"flip_{b}"] = F.when(free, flips[b]).otherwise(1.0)
 
-    def phrase(*names: str) -> Column:
-        return F.concat(*[c for n in names for c in (F.lit(" "), col(n))][1:])
-
     far = col("b3").isNotNull() & col("val_b3").isNull()
-    # First match wins. The filter also ends the generated method here: the stages around it stay
-    # short enough to be compiled.
-    phrases = F.array(
-        phrase("tok", "a1", "a2"),
-        phrase("tok", "a1"),
-        phrase("b1", "tok"),
-        phrase("b2", "b1", "tok"),
-        phrase("b2", "b1"),
-        phrase("b3", "b2", "b1"),
-        phrase("b3", "b2"),
-    )
-    matching = F.filter(phrases, lambda p: F.array_contains(idiom_phrases, p))
-    words["idiom"] = F.when(far, F.try_element_at(idioms, F.get(matching, F.lit(0))))
-    damped = far & (F.array_contains(pairs, phrase("b3", "b2")) | F.array_contains(pairs, phrase("b2", "b1")))
-    words["damp"] = F.when(damped, rules.bigram_step).otherwise(0.0)
+    words["idiom"] = F.when(far, lists.idiom)
+    words["damp"] = F.when(far & lists.damps, rules.bigram_step).otherwise(0.0)
 
     exempt = F.coalesce(
         F.array_contains(word_list(rules.least_exempt), col("low_b2")), F.lit(False)
@@ -215,7 +280,7 @@ def _apply_rules(hits: DataFrame, rules: RuleSet) -> DataFrame:
 
     low = F.lower("tok")
     softened = (low == rules.softener[0]) & (F.lower("a1") == rules.softener[1])
-    silent = F.array_contains(booster_words, low) | F.coalesce(softened, F.lit(False))
+    silent = lists.booster | F.coalesce(softened, F.lit(False))
     turn, pos = col("turn"), col("pos")
     before, after = rules.contrast_factors
     words["flip_turn"] = (
@@ -254,13 +319,15 @@ def sentiment_scores(
     rules: RuleSet | None = None,
     keys: Sequence[str] = ("mention_id",),
     text: str = "text",
+    tables: RuleTables | None = None,
 ) -> DataFrame:
     """keys, neg, neu, pos, compound, polarity.
 
-    ``keys`` must identify a text; name further narrow columns to carry them along without a join.
+    ``keys`` must identify a text; name further narrow columns to carry them along without a join. ``tables`` replace
+    the word lists of ``rules``.
     """
     rules = rules or RuleSet()
-    hits = scored_tokens(docs, lexicon, rules, keys, text, keep_texts=True)
+    hits = scored_tokens(docs, lexicon, rules, keys, text, keep_texts=True, tables=tables)
     return finish_scores(hits, rules, keys)
 
 

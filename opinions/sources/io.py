@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinions.operators.durable import durable
+from opinions.operators.joins import fits_broadcast
 from opinions.rules import REGION_CODES, REGION_WITHOUT_ROW
 
 #: Pieces of an input that counts as small.
@@ -72,8 +74,21 @@ def fill_cluster(df: DataFrame, *keys: str) -> DataFrame:
     return spread(df, cores, *keys) if pieces < min(cores, SMALL_PIECES + 1) else df
 
 
-def write_scored(df: DataFrame, path: str, by: str = "subject", mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy(by).parquet(path)
+def write_scored(df: DataFrame, path: str, by: str = "subject", mode: str = "overwrite", rows_per_file: int = 2_000_000) -> None:
+    """Write rows in a folder for each value of ``by``, in files of about ``rows_per_file`` rows.
+
+    Only folders of values that ``df`` holds are replaced, so writing one subject again leaves the others. A value's rows are dealt
+    to as many tasks as it fills files, by a hash of the row, so a hot value is no task's alone and no value leaves a
+    file per task.
+    """
+    rows = durable(df)
+    counts = rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    files = counts.agg(F.sum("_files")).first()[0] or 1
+    counts = counts.withColumnRenamed(by, "_by")
+    dealt = rows.join(F.broadcast(counts) if fits_broadcast(counts) else counts, F.col(by).eqNullSafe(F.col("_by")))
+    dealt = dealt.withColumn("_file", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "_files"))
+    dealt = dealt.repartition(int(files), by, "_file").drop("_by", "_files", "_file")
+    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:

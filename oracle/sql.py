@@ -9,7 +9,7 @@ from oracle.tables import CTES
 # Read more than once, or too large to inline.
 HELD = {
     "token_rows", "token_near", "first_hits", "step5", "gram_counts", "profiles", "word_counts", "vocab",
-    "stems", "bag", "lbag", "jbag", "jlabelled", "moments", "gauss", "cleaned", "hits", "nb_theta", "jnb_theta",
+    "stems", "bag", "lbag", "jbag", "jlabelled", "moments", "gauss", "cleaned", "bench_phrases", "step3", "hits", "nb_theta", "jnb_theta",
 }
 
 
@@ -74,6 +74,18 @@ FINAL: dict[str, str] = {
         SELECT *, CASE WHEN n_a >= n_b THEN 'a' ELSE 'b' END AS tie_first, CASE WHEN n_a > n_b THEN 'a' ELSE 'b' END AS tie_second
         FROM (SELECT region, count(*) FILTER (subject = 'a') AS n_a, count(*) FILTER (subject = 'b') AS n_b
           FROM mentions WHERE polarity = 1 AND region IS NOT NULL GROUP BY region) WHERE n_a > 0 AND n_b > 0""",
+    "date_notations": """
+        SELECT notation, fits, alone, CAST(row_number() OVER (ORDER BY fits DESC, alone DESC, i) AS INT) AS place FROM (
+          SELECT i, notation, count(*) FILTER (day IS NOT NULL) AS fits, count(*) FILTER (day IS NOT NULL AND several = 1) AS alone
+          FROM dated GROUP BY i, notation)""",
+    "dates_by_notation": """
+        SELECT user_id, any_value(user_join_date) AS user_join_date, first(day ORDER BY fits DESC, alone DESC, i) FILTER (day IS NOT NULL) AS day,
+          CASE WHEN count(DISTINCT day) > 1 THEN 1 ELSE 0 END AS unsure
+        FROM (
+          SELECT *, count(day) OVER (PARTITION BY i) AS fits, count(*) FILTER (day IS NOT NULL AND several = 1) OVER (PARTITION BY i) AS alone
+          FROM dated)
+        WHERE alone > 0 OR fits = (SELECT max(n) FROM (SELECT count(day) AS n FROM dated GROUP BY i))
+        GROUP BY user_id""",
     "cast_weights": """
         SELECT region, weight, TRY_CAST(trim(weight) AS INT) AS as_int,
           round(TRY_CAST(votes_a AS DOUBLE), 2) AS votes FROM outcome""",
@@ -124,6 +136,8 @@ FINAL: dict[str, str] = {
     "booster_effect": f"SELECT mention_id, CAST(pos AS INT) AS pos, {_exact('boost1')}, {_exact('boost2')}, {_exact('boost3')} FROM hits",
     "negation_effect": f"SELECT mention_id, CAST(pos AS INT) AS pos, {_exact('v1')}, {_exact('v2')}, {_exact('v3')} FROM hits",
     "idiom_override": f"SELECT mention_id, CAST(pos AS INT) AS pos, {_exact('idiom')}, {_exact('damp')}, {_exact('v_idiom')} FROM hits",
+    "phrase_table": f"""
+        SELECT mention_id, CAST(pos AS INT) AS pos, {_exact('idiom')}, {_exact('damp')}, {_exact('v_idiom')} FROM phrase_hits""",
     "least_rule": f"SELECT mention_id, CAST(pos AS INT) AS pos, {_exact('v_idiom')}, {_exact('v_least')} FROM hits",
     "contrast_reweight": f"""
         SELECT mention_id, CAST(pos AS INT) AS pos, CAST(turn AS INT) AS turn, {_exact('score')}, {_exact('weighted')} FROM hits""",
@@ -133,6 +147,7 @@ FINAL: dict[str, str] = {
         SELECT mention_id, CASE WHEN compound > 0 THEN 1 WHEN compound < 0 THEN -1 ELSE 0 END AS polarity FROM scores""",
     "langid_profiles": "SELECT lang, gram, CAST(n AS BIGINT) AS n, round(logp, 6) AS logp FROM profiles",
     "langid_predict": "SELECT mention_id, pred, round(best, 3) AS best FROM lang_pred",
+    "langid_held_out": "SELECT mention_id, pred, round(best, 3) AS best FROM held_pred",
     "langid_filter": "SELECT mention_id, pred FROM lang_pred WHERE pred = 'en'",
     "scored_mentions": """
         SELECT t.mention_id, t.subject, t.mention_id + 1 AS user_id, a.user_join_date, a.country,

@@ -38,6 +38,16 @@ FROM mentions
 WHERE country IN ('AMERICA', 'EUROPE', 'ASIA') AND region NOT IN ('NATION_1', 'NATION_7')
 """
 
+# Each date in each notation, and how many of them read it.
+CTES["dated"] = """
+SELECT *, count(day) OVER (PARTITION BY user_id) AS several FROM (
+  SELECT user_id, user_join_date, i, notation, CAST(CASE i
+      WHEN 1 THEN try_strptime(written, '%m-%d-%Y') WHEN 2 THEN try_strptime(written, '%d-%m-%Y')
+      WHEN 3 THEN try_strptime(written, '%Y-%m-%d') ELSE try_strptime(written, '%Y-%m-%d %H:%M:%S') END AS DATE) AS day
+  FROM (SELECT user_id, user_join_date, regexp_replace(trim(user_join_date), '[/.]', '-', 'g') AS written FROM authors),
+    (VALUES (1, 'M-d-yyyy'), (2, 'd-M-yyyy'), (3, 'yyyy-M-d'), (4, 'yyyy-M-d H:m:s')) f(i, notation))
+"""
+
 # First mention of any polarity per user; and last positive mention per user.
 CTES["pop_mentions"] = "SELECT * FROM scoped"
 CTES["pop_users"] = """
@@ -230,6 +240,32 @@ def _idiom(*words: str) -> str:
     return f"(SELECT value FROM idioms WHERE phrase = {chr(32).join(words).replace(' ', chr(32) + '||' + repr(' ') + '||' + chr(32))})"
 
 
+CTES["bench_words"] = """
+SELECT list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS w FROM benchmark
+"""
+CTES["bench_phrases"] = """
+SELECT phrase, CAST((length(phrase) * 7 + ascii(phrase)) % 9 - 4 AS DOUBLE) AS value, length(phrase) % 5 = 0 AS damps
+FROM (
+  SELECT DISTINCT array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT w, k, unnest(range(1, len(w) - k + 2)) AS i FROM bench_words, (VALUES (2), (3)) s(k) WHERE len(w) >= k))
+"""
+CTES["phrase_hits"] = """
+SELECT s.mention_id, t.pos, idiom, damp, coalesce(idiom, v3) + damp AS v_idiom
+FROM (
+  SELECT x.mention_id, x.tok, v3,
+    CASE WHEN free3 THEN coalesce(p1.value, p2.value, p3.value, p4.value, p5.value, p6.value, p7.value) END AS idiom,
+    CASE WHEN free3 AND (coalesce(p7.damps, false) OR coalesce(p5.damps, false)) THEN -0.293::DOUBLE ELSE 0 END AS damp
+  FROM step3 x
+  LEFT JOIN bench_phrases p1 ON p1.phrase = tok || ' ' || a1 || ' ' || a2
+  LEFT JOIN bench_phrases p2 ON p2.phrase = tok || ' ' || a1
+  LEFT JOIN bench_phrases p3 ON p3.phrase = b1 || ' ' || tok
+  LEFT JOIN bench_phrases p4 ON p4.phrase = b2 || ' ' || b1 || ' ' || tok
+  LEFT JOIN bench_phrases p5 ON p5.phrase = b2 || ' ' || b1
+  LEFT JOIN bench_phrases p6 ON p6.phrase = b3 || ' ' || b2 || ' ' || b1
+  LEFT JOIN bench_phrases p7 ON p7.phrase = b3 || ' ' || b2) s
+JOIN token_near t ON t.mention_id = s.mention_id AND t.tok = s.tok
+"""
+
 CTES["step4"] = f"""
 SELECT *, coalesce(idiom, v3) + damp AS v_idiom FROM (
   SELECT *, CASE WHEN free3 THEN coalesce({_idiom('tok', 'a1', 'a2')}, {_idiom('tok', 'a1')},
@@ -298,6 +334,26 @@ FROM (
     SELECT lang, gram, sum(c) AS n FROM gram_counts GROUP BY lang, gram))
 """
 
+# The same from four folds, for the texts of the fifth.
+CTES["held_profiles"] = """
+SELECT lang, gram, n, ln((n + 1) / (sum(n) OVER (PARTITION BY lang) + v)) AS logp,
+  ln(1 / (sum(n) OVER (PARTITION BY lang) + v)) AS floor
+FROM (
+  SELECT *, count(DISTINCT gram) OVER () AS v FROM (
+    SELECT lang, gram, sum(c) AS n FROM gram_counts WHERE mention_id % 5 <> 0 GROUP BY lang, gram))
+"""
+CTES["held_pred"] = """
+SELECT c.mention_id, pred, best FROM cleaned c LEFT JOIN (
+  SELECT mention_id, g.lang AS pred, round(sum(c * coalesce(p.logp, g.floor)), 6) AS best
+  FROM gram_counts d
+  JOIN (SELECT DISTINCT gram FROM held_profiles) k ON k.gram = d.gram
+  CROSS JOIN (SELECT DISTINCT lang, floor FROM held_profiles) g
+  LEFT JOIN held_profiles p ON p.gram = d.gram AND p.lang = g.lang
+  GROUP BY mention_id, g.lang
+  QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY best DESC, g.lang) = 1) l ON l.mention_id = c.mention_id
+WHERE c.mention_id % 5 = 0
+"""
+
 CTES["lang_scores"] = """
 SELECT mention_id, g.lang, round(sum(c * coalesce(p.logp, g.floor)), 6) AS s
 FROM gram_counts d
