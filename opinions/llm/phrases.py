@@ -6,13 +6,15 @@ best. The frontier are words in the order of that bound, rarest first. It is exp
 a time, those that occur too seldom are cut off. Once a language has its full number of surviving scores, words whose bound is
 below the last of them are never expanded, which in large collections are nearly all occurrences.
 
-Words are 64-bit hashes in the scans, tested to be unique among all that matter. Tasks see at most ``BLOCK`` prefixes at
+Texts are split twice, to count words and to write them as hashes of 64 bits, tested to be unique among all that matter; words that
+occur too seldom end a piece there. All later scans read these rows. Tasks see at most ``BLOCK`` prefixes at
 a time, and of all frequent words a bit map of fixed size; what they leave is combined in the task and counted by Spark.
 """
 
 from __future__ import annotations
 
 import itertools
+from array import array
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -32,8 +34,8 @@ BLOCK = 500_000
 BITS = 24
 #: Share of a language's words that the first block of the frontier may cover; the second is all that is not settled then.
 FIRST = 1 / 8
-#: Words that are worked on together, and different words that a task remembers.
-RUN, REMEMBERED = 1_000_000, 300_000
+#: Words that are worked on together, words to a row of the encoded texts, and different words that a task remembers.
+RUN, ROW, REMEMBERED = 1_000_000, 500, 500_000
 #: Bytes of text that are split at once.
 PART = 2_000_000
 
@@ -54,7 +56,7 @@ class Words(dict):
         self.clear()
         self.update({b"": _EMPTY, b"\n": _BREAK})
         self.names: list[bytes] = [b"", b"\n"]
-        self.hashes: list[int] = [0, 0]
+        self.hashes = array("Q", [0, 0])
 
     def __missing__(self, word: bytes) -> int:
         slot = self[word] = len(self.names)
@@ -136,22 +138,58 @@ def word_counts(read: DataFrame, seed: int) -> DataFrame:
     return rows.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[np.ndarray]:
-    """Hashes of the words of many texts, 0 between pieces, in runs of RUN words or more; a text is never cut."""
-    known: dict[str, Words] = {}
+def _pieces(words: np.ndarray) -> np.ndarray:
+    """Words between zeros, without words that stand alone and without zeros in a row; it begins and ends with one."""
+    padded = np.concatenate([[np.uint64(0)], words, [np.uint64(0)]])
+    there = padded != 0
+    joined = there.copy()
+    joined[1:-1] &= there[:-2] | there[2:]
+    kept = joined.copy()
+    kept[0] = True
+    kept[1:] |= joined[:-1]  # the zero behind a piece
+    return np.where(joined, padded, np.uint64(0))[kept]
+
+
+def _rows(words: np.ndarray) -> pa.ListArray:
+    """Pieces in rows of about ROW words; each row ends with the zero behind a piece."""
+    zeros = np.flatnonzero(words == 0)
+    at = np.searchsorted(zeros, np.arange(ROW, len(words), ROW))
+    ends = np.unique(np.append(zeros[at[at < len(zeros)]] + 1, len(words)))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(words.view(np.int64)))
+
+
+def encoded(read: DataFrame, frequent: np.ndarray, seed: int) -> DataFrame:
+    """w: the texts as hashes of their frequent words, in rows of pieces, with 0 between pieces."""
+    sent = read.sparkSession.sparkContext.broadcast(frequent)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Words] = {}
+        for batch in batches:
+            for lang, raw in _runs(batch):
+                words = known.setdefault(lang, Words(lang, seed))
+                here = slots(raw, words)
+                hashes = np.array(words.hashes, np.uint64)
+                hashes[~_holds(sent.value, hashes)] = 0
+                hashes[:2] = 0
+                found = _pieces(hashes[here])
+                if len(found) > 1:
+                    yield pa.RecordBatch.from_arrays([_rows(found)], names=["w"])
+                if sum(map(len, known.values())) > REMEMBERED:
+                    known.clear()
+
+    return read.mapInArrow(encode, "w array<long>")
+
+
+def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Hashes of many rows one after the other, in runs of RUN words or more; a row is never cut."""
     held, size = [np.zeros(1, np.uint64)], 0
     for batch in batches:
-        for lang, raw in _runs(batch):
-            words = known.setdefault(lang, Words(lang, seed))
-            here = slots(raw, words)
-            hashes = np.array(words.hashes, np.uint64)
-            held += [hashes[here], np.zeros(1, np.uint64)]
-            size += len(here)
-            if sum(map(len, known.values())) > REMEMBERED:
-                known.clear()
-            if size >= RUN:
-                yield np.concatenate(held)
-                held, size = [np.zeros(1, np.uint64)], 0
+        words = batch.column(0).flatten().to_numpy().view(np.uint64)
+        held.append(words)
+        size += len(words)
+        if size >= RUN:
+            yield np.concatenate(held)
+            held, size = [np.zeros(1, np.uint64)], 0
     if size:
         yield np.concatenate(held)
 
@@ -254,24 +292,22 @@ def _chunks(table: DataFrame, length: int) -> Iterator[np.ndarray]:
 _PHRASE = ", ".join(f"{h} long" for h in HASHES)
 
 
-def grown(read: DataFrame, prefixes: DataFrame, length: int, frequent: np.ndarray, seed: int, least: int) -> DataFrame | None:
+def grown(texts: DataFrame, prefixes: DataFrame, length: int, least: int) -> DataFrame | None:
     """h1..h5, n: the phrases of one word more than ``prefixes`` that begin with one of them and occur often enough."""
-    spark = read.sparkSession
+    spark = texts.sparkSession
     found = None
     for chunk in _chunks(prefixes, length):
-        sent = spark.sparkContext.broadcast((Sought.of(chunk), frequent))
+        sent = spark.sparkContext.broadcast(Sought.of(chunk))
 
         def grow(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            sought, bits = sent.value
-            for words in _hashed(batches, seed):
-                places = _windows(words, length + 1)
-                places = places[_holds(bits, words[places + length])]
-                places, _ = sought.find(words, places)
+            sought = sent.value
+            for words in _flat(batches):
+                places, _ = sought.find(words, _windows(words, length + 1))
                 if len(places):
                     parts, n = _counted([words[places + j] for j in range(length + 1)])
                     yield pa.RecordBatch.from_arrays([*_columns(parts), pa.array(n)], names=[*HASHES, "n"])
 
-        rows = read.mapInArrow(grow, _PHRASE + ", n long")
+        rows = texts.mapInArrow(grow, _PHRASE + ", n long")
         found = rows if found is None else found.unionByName(rows)
     if found is None:
         return None
@@ -281,9 +317,9 @@ def grown(read: DataFrame, prefixes: DataFrame, length: int, frequent: np.ndarra
 _AROUND = ("left_least", "left_most", "right_least", "right_most")
 
 
-def surrounded(read: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
+def surrounded(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     """h1..h5, n and the least and greatest hash of the words before and behind each of ``phrases`` (0: none)."""
-    spark = read.sparkSession
+    spark = texts.sparkSession
     found = None
     for chunk in _chunks(phrases, LONGEST):
         lengths = (chunk != 0).sum(0)
@@ -295,7 +331,7 @@ def surrounded(read: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
             count = [np.zeros(k, np.int64) for k in sizes]
             low = [np.full((2, k), np.iinfo(np.int64).max) for k in sizes]
             high = [np.full((2, k), np.iinfo(np.int64).min) for k in sizes]
-            for words in _hashed(batches, seed):
+            for words in _flat(batches):
                 for sought, n, least, most in zip(sent.value, count, low, high):
                     length = len(sought.parts)
                     places, which = sought.find(words, _windows(words, length))
@@ -310,7 +346,7 @@ def surrounded(read: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
                 columns = [*_columns([p[seen] for p in sought.parts]), pa.array(n[seen]), *around]
                 yield pa.RecordBatch.from_arrays(columns, names=[*HASHES, "n", *_AROUND])
 
-        rows = read.mapInArrow(look, f"{_PHRASE}, n long, " + ", ".join(f"{a} long" for a in _AROUND))
+        rows = texts.mapInArrow(look, f"{_PHRASE}, n long, " + ", ".join(f"{a} long" for a in _AROUND))
         found = rows if found is None else found.unionByName(rows)
     sides = [(F.min if a.endswith("least") else F.max)(a).alias(a) for a in _AROUND]
     return written(found.groupBy(*HASHES).agg(F.sum("n").alias("n"), *sides))
@@ -406,6 +442,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, lang: str
     held = held.toArrow()  # at most 2^21 rows
     frequent = np.zeros(1 << (BITS - 3), np.uint8)
     frequent[held["byte"].to_numpy()] = held["bits"].to_numpy().astype(np.uint8)
+    texts = written(encoded(read, frequent, seed))
 
     bound = F.floor(F.lit(1000) * F.col("total") / F.col("n"))  # of doubles: one too low at most
     frontier = words.join(totals, "lang").join(_cutoffs(words, totals, FIRST), "lang", "left")
@@ -419,7 +456,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, lang: str
         level = open_words.select(F.col("h").alias("h1"), *[F.lit(0).cast("long").alias(h) for h in HASHES[1:]])
         levels = []
         for length in range(1, LONGEST):
-            level = grown(read, level, length, frequent, seed, least)
+            level = grown(texts, level, length, least)
             if level is None or level.isEmpty():
                 break
             levels.append(level)
@@ -431,7 +468,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, lang: str
         ends = candidates.select(F.explode(_suffixes()).alias("cut")).filter("cut.end[1] <> 0")
         ends = _named(ends.select(F.col("cut.end").alias("end")), "end", HASHES)
         sought = written(candidates.select(*HASHES).unionByName(ends).distinct())
-        around = surrounded(read, sought, seed)
+        around = surrounded(texts, sought)
         found = found.unionByName(written(scored(candidates, around, words, candidates, totals)))
     last = _last_scores(found, top)
     if last:

@@ -89,18 +89,32 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
 
 
 def test_runs_and_parts_do_not_matter(monkeypatch):
-    """Forgetful tasks that split long texts and take a few words at a time see the same pieces."""
+    """Tasks that split long texts and take a few words at a time see the same words and pieces."""
     batch = pa.RecordBatch.from_pydict({"lang": [a or "und" for a, _ in corpus(5)], "text": [t or "" for _, t in corpus(5)]})
 
     def pieces():
-        flat = np.concatenate(list(phrases._hashed(iter([batch]), 0))).tolist()
-        return Counter(tuple(p) for zero, p in itertools.groupby(flat, lambda h: h != 0) if zero)
+        out = Counter()
+        for lang, raw in phrases._runs(batch):
+            words = phrases.Words(lang, 0)
+            here = phrases.slots(raw, words)
+            found = np.array(words.hashes, np.uint64)[here]
+            for row in (found, *(np.array(r, np.int64).view(np.uint64) for r in phrases._rows(phrases._pieces(found)).to_pylist())):
+                kept = row is found
+                assert kept or row[-1] == 0
+                flat = [tuple(p) for zero, p in itertools.groupby(row.tolist(), lambda h: h != 0) if zero]
+                out.update((kept, p) for p in flat if len(p) > 1)
+                out["words"] += kept * sum(map(len, flat))
+        return out
 
     want = pieces()
-    monkeypatch.setattr(phrases, "RUN", 50)
-    monkeypatch.setattr(phrases, "REMEMBERED", 7)
-    monkeypatch.setattr(phrases, "PART", 20)
-    assert pieces() == want and sum(len(p) * n for p, n in want.items()) == sum(len(re.findall(r"[^ \t.,;:!?\n-\r]+", t or "")) for _, t in corpus(5))
+    for name, value in (("RUN", 50), ("ROW", 7), ("PART", 20)):
+        monkeypatch.setattr(phrases, name, value)
+    assert pieces() == want and want["words"] == sum(len(re.findall(r"[^ \t.,;:!?\n-\r]+", t or "")) for _, t in corpus(5))
+    assert {k: n for (kept, k), n in ((k, n) for k, n in want.items() if k != "words") if kept} == {
+        k: n for (kept, k), n in ((k, n) for k, n in want.items() if k != "words") if not kept
+    }
+    long = "a bb ccc, " * 30
+    assert len(phrases.slots(long.encode(), phrases.Words("x", 0))) == 120
 
 
 def test_phrases_that_share_a_number(monkeypatch):
