@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinions import rules, schema
-from opinions.operators import bow
+from opinions.functions.values import date_notations, parse_dates
+from opinions.operators import bow, langid
 from opinions.operators import models as m
 from opinions.operators.durable import durable
 from opinions.operators.sentiment import sentiment_scores
-from opinions.sources import io
+from opinions.sources import io, profiles
 
 DOCS = [
     (1, "good good film", 0), (2, "bad film", 1), (3, "good play", 0), (4, "bad bad play", 1), (5, "good film", 0),
@@ -187,3 +188,56 @@ def test_fixed_lists():
     assert len(set(rules.NEGATORS)) == 59
     assert len(rules.RuleSet().boosters) == 66
     assert len(rules.IDIOMS) == 7 and len(set(rules.EDGE_RUNS)) == 17
+
+
+def test_writing_one_subject_again_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "scored")
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'b' WHEN id % 10 = 1 THEN NULL ELSE 'a' END AS subject")
+    io.write_scored(rows.repartition(16), path, rows_per_file=300)
+    files = {d.name.split("=")[1]: len(list(d.glob("*.parquet"))) for d in (tmp_path / "scored").iterdir() if d.is_dir()}
+    assert files["a"] <= 3 and files["b"] == 1 and files["__HIVE_DEFAULT_PARTITION__"] == 1
+    io.write_scored(spark.createDataFrame([(-1, "a")], "id long, subject string"), path)
+    io.write_scored(spark.createDataFrame([(-1, "a")], "id long, subject string"), path)
+    back = io.read_parquet(spark, path)
+    assert values(back.filter("subject = 'a'"), "id") == [(-1,)]
+    assert back.filter("subject = 'b'").count() == 100 and back.filter("subject IS NULL").count() == 100
+
+
+def test_stored_profiles(spark, tmp_path):
+    texts = spark.createDataFrame([("en", "the house is here"), ("de", "das haus ist hier")], "lang string, text string")
+    words = langid.word_counts(texts)
+    learned = langid.langid_profiles(words)
+    profiles.write_profiles(words, learned, str(tmp_path / "one"))
+    stored = profiles.read_profiles(spark, str(tmp_path / "one"))
+    assert values(stored.words) == values(words, *stored.words.columns) and values(stored.profiles) == values(learned, *stored.profiles.columns)
+    others = spark.createDataFrame([(1, "is the house"), (2, "ist das haus"), (3, "12 ?")], "mention_id long, text string")
+    found = langid.langid_predict(others, stored.profiles, ["de", "en"], words=stored.words)
+    assert values(found, "mention_id", "pred") == [(1, "en"), (2, "de"), (3, None)]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        profiles.write_profiles(words, learned, str(tmp_path / "one"))
+    profiles.write_profiles(words, learned, str(tmp_path / "old"), format=profiles.FORMAT + 1)
+    with pytest.raises(ValueError, match="format"):
+        profiles.read_profiles(spark, str(tmp_path / "old"))
+    learned.limit(3).write.mode("overwrite").parquet(str(tmp_path / "one" / "profiles"))
+    with pytest.raises(ValueError, match="whole"):
+        profiles.read_profiles(spark, str(tmp_path / "one"))
+
+
+def test_date_notation_comes_from_the_data(spark):
+    def table(rows):
+        return spark.createDataFrame([(x,) for x in rows], "d string")
+
+    days = ["13/02/2020", "01.02.2020", " 2-3-2020 ", "x", None, "2020-05-06 01:02:03", "5 Jun 2021"]
+    counts = {r["notation"]: (r["fits"], r["alone"], r["place"]) for r in date_notations(table(days), "d").collect()}
+    assert counts["d-M-yyyy"] == (3, 1, 1) and counts["M-d-yyyy"] == (2, 0, 2) and counts["yyyy-M-d H:m:s"][:2] == (1, 1)
+    got = [(r["d"], str(r["day"]), r["day_unsure"]) for r in parse_dates(table(days), "d", "day").collect()]
+    assert got == [
+        ("13/02/2020", "2020-02-13", False), ("01.02.2020", "2020-02-01", False), (" 2-3-2020 ", "2020-03-02", False),
+        ("x", "None", False), (None, "None", False), ("2020-05-06 01:02:03", "2020-05-06", False), ("5 Jun 2021", "2021-06-05", False),
+    ]
+    # Both orders are in use: the one with more dates goes first, and dates that the other reads otherwise are told.
+    mixed = ["13/02/2020", "14/02/2020", "02/15/2020", "3/4/2020", "5/5/2020"]
+    got = [(str(r["day"]), r["day_unsure"]) for r in parse_dates(table(mixed), "d", "day").collect()]
+    assert got == [("2020-02-13", False), ("2020-02-14", False), ("2020-02-15", False), ("2020-04-03", True), ("2020-05-05", False)]
+    assert parse_dates(table(["x", None]), "d", "day").filter("day IS NULL").count() == 2
+    assert parse_dates(table([]), "d", "day").count() == 0

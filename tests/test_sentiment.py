@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opinions.functions.text import clean_social, scorer_tokens, strip_edge
 from opinions.operators import sentiment as sen
+from opinions.operators.durable import durable
 from opinions.rules import RuleSet
 
 LEXICON = {"good": 2.0, "bad": -2.0, "great": 3.0, "happy": 2.5}
@@ -180,3 +181,44 @@ def test_one_narrow_shuffle_and_no_python(spark, lexicon, sf):
     assert "toks" not in main[0] and "text" not in main[0]
     assert "Python" not in plan and "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") == 4
+
+
+def test_rule_tables_equal_the_lists(spark, lexicon, monkeypatch):
+    rules = RuleSet()
+    docs = texts(spark, random_texts(300, 8))
+    tables = sen.rule_tables(spark, rules)
+    columns = ["mention_id", "pos", "lift_b1", "loud_b2", "flip_b3", "idiom", "damp", "silent", "weighted"]
+
+    def scores(tables=None):
+        return values(sen.scored_tokens(docs, lexicon, rules, ["mention_id"], tables=tables), *columns)
+
+    want = scores()
+    assert scores(tables) == want
+    monkeypatch.setattr(sen, "fits_broadcast", lambda dim: False)
+    assert scores(tables) == want
+
+
+def test_first_of_several_phrases_counts(spark, lexicon):
+    rules = RuleSet()
+    tables = sen.rule_tables(spark, rules)
+    phrases = [("good cheap food", 1.0, False), ("good cheap", 3.0, False), ("so very", None, True), ("big so", -2.0, False)]
+    tables = tables._replace(phrases=spark.createDataFrame(phrases, "phrase string, valence double, damps boolean"))
+    docs = texts(spark, ["one big so very good cheap food", "one big so red good cheap", "big so red good"])
+    rows = sen.scored_tokens(docs, lexicon, rules, ["mention_id"], tables=tables).collect()
+    assert sorted((r["mention_id"], r["idiom"], r["damp"]) for r in rows) == [(0, 1.0, -0.293), (1, 3.0, 0.0), (2, -2.0, 0.0)]
+
+
+def test_many_phrases_score_like_few(spark, lexicon):
+    """100,000 phrases are joined, not searched: about the time of ten."""
+    docs = texts(spark, random_texts(4000, 5))
+    rules = RuleSet()
+    few = sen.rule_tables(spark, rules)
+    more = spark.range(100_000).selectExpr("concat('word', id, ' other') AS phrase", "1.0D AS valence", "false AS damps")
+    many = few._replace(phrases=durable(few.phrases.unionByName(more)))
+    seconds, rows = {}, {}
+    for name, tables in (("few", few), ("many", many), ("few", few), ("many", many)):  # the second round counts
+        started = time.perf_counter()
+        rows[name] = values(sen.sentiment_scores(docs, lexicon, rules, tables=tables))
+        seconds[name] = time.perf_counter() - started
+    assert rows["few"] == rows["many"]
+    assert seconds["many"] < 2 * seconds["few"] + 2
