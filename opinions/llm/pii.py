@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import random
 import re
 from bisect import bisect_left, bisect_right
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -226,12 +228,21 @@ def all_proposals(model: tagger.Tagger, texts: list[str], base: list[list[Span]]
 
 
 def reconciled(spans: dict[Span, float], base: list[Span]) -> list[Span]:
-    """Of overlapping proposals of all windows, the ones with the greatest sums; none touches a span by rule."""
+    """Of overlapping proposals of all windows, the ones with the greatest sums; none touches a span by rule.
+
+    Kept spans don't overlap, so only the neighbours of a proposal's place among them are compared.
+    """
+    starts, ends = _reach(base)
     kept: list[Span] = []
     for span in sorted(spans, key=lambda s: (-spans[s], s)):
-        if all(span[2] <= a or b <= span[0] for a, _, b in (*kept, *base)):
-            kept.append(span)
-    return sorted(kept)
+        i = bisect_left(starts, span[2])
+        if i and ends[i - 1] > span[0]:
+            continue
+        at = bisect_left(kept, span)
+        if (at and kept[at - 1][2] > span[0]) or (at < len(kept) and kept[at][0] < span[2]):
+            continue
+        kept.insert(at, span)
+    return kept
 
 
 def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tagger.Tagger:
@@ -248,7 +259,9 @@ def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tagger.T
         for batch in batches:
             keys, windows = [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at = sorted({m.start() // STRIDE * STRIDE for m in SIGN.finditer(t or "")})[:PER_DOCUMENT]
+                at = {m.start() // STRIDE * STRIDE for m in SIGN.finditer(t or "")}
+                # From all over the text: those whose place has the least hash.
+                at = heapq.nsmallest(PER_DOCUMENT, at, key=lambda i: (xxhash.xxh64_intdigest(f"{k}:{i}"), i))
                 keys += [k] * len(at)
                 windows += [t[i : i + WINDOW] for i in at]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(windows, pa.string())], names=schema.names)

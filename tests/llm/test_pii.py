@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import re
 
 import numpy as np
@@ -165,3 +166,25 @@ def test_long_spans_at_all_offsets(monkeypatch, size):
     assert (len(pii.proposals(None, narrow)) < 48) == (size > 47)  # a window alone loses some
     found = pii.all_proposals(None, texts, [[]] * 48)
     assert [pii.reconciled(found.get(i, {}), []) for i in range(48)] == [[(k, 0, k + len(span))] for k in range(200, 248)]
+
+
+def test_many_spans_are_reconciled_in_little_time():
+    """20,000 spans by rule and as many proposals; and the same spans as comparing each with all."""
+    rng = random.Random(9)
+    base = [(40 * i, 0, 40 * i + 12) for i in range(20_000)]
+    spans = {(a, rng.randrange(4), a + rng.randint(1, 30)): rng.random() for a in rng.sample(range(800_000), 20_000)}
+    started = time.perf_counter()
+    kept = pii.reconciled(spans, base)
+    assert time.perf_counter() - started < 1 and len(kept) > 1000
+
+    def slow(spans, base):
+        out = []
+        for span in sorted(spans, key=lambda s: (-spans[s], s)):
+            if all(span[2] <= a or b <= span[0] for a, _, b in (*out, *base)):
+                out.append(span)
+        return sorted(out)
+
+    for _ in range(50):
+        few = {(a, rng.randrange(4), a + rng.randint(1, 9)): rng.choice([1.0, rng.random()]) for a in rng.choices(range(60), k=25)}
+        rules = sorted((a, rng.randrange(4), a + rng.randint(1, 9)) for a in rng.choices(range(60), k=4))
+        assert pii.reconciled(few, rules) == slow(few, rules)
