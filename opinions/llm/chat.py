@@ -17,7 +17,7 @@ class Template:
 
     A turn becomes ``open + role + middle``, its escaped text, and ``close``. ``escape`` stands before a
     letter for every control string inside a text: "e" for itself, then "a", "b", ... in the order of
-    ``controls``. A control string may begin with a character that it does not hold again, so it can't
+    ``controls``, and "z" for ``middle`` inside a role. A control string may begin with a character that it does not hold again, so it can't
     start inside another one's beginning; then a text never closes its turn.
     """
 
@@ -43,6 +43,8 @@ class Template:
     def __post_init__(self):
         if not all(c and c[0] not in c[1:] and self.escape not in c for c in self.controls):
             raise ValueError("a control string must not hold its first character again, nor the escape")
+        if not self.middle or self.escape in self.middle:
+            raise ValueError("middle ends a role, so it is a string without the escape")
         if len(self.escape) != 1 or not all(any(c in s for c in self.controls) for s in (self.open, self.close)):
             raise ValueError("the escape is one character; open and close each hold a control string")
 
@@ -67,6 +69,15 @@ def unescaped(text: Column, template: Template = DEFAULT) -> Column:
     return F.replace(text, F.lit(template.escape + "e"), F.lit(template.escape))
 
 
+def escaped_role(role: Column, template: Template = DEFAULT) -> Column:
+    """A role without control strings and without ``middle``, which ends it."""
+    return F.replace(escaped(role, template), F.lit(template.middle), F.lit(template.escape + "z"))
+
+
+def unescaped_role(role: Column, template: Template = DEFAULT) -> Column:
+    return unescaped(F.replace(role, F.lit(template.escape + "z"), F.lit(template.middle)), template)
+
+
 def role_state(roles: Column, template: Template = DEFAULT) -> Column:
     """State after all roles; null once an order was broken."""
     moves = F.create_map(*[F.lit(x) for (s, r), to in template.moves.items() for x in (f"{s}\n{r}", to)])
@@ -104,7 +115,7 @@ def formatted(
     conversations = rows.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
     def segments(t):
-        head = F.concat(F.lit(template.open), escaped(t["role"], template), F.lit(template.middle))
+        head = F.concat(F.lit(template.open), escaped_role(t["role"], template), F.lit(template.middle))
         return F.array(
             F.struct(head.alias("text"), F.lit(False).alias("loss")),
             F.struct(escaped(t["text"], template).alias("text"), t["role"].isin(*template.trained).alias("loss")),
@@ -135,7 +146,7 @@ def read_turns(text: Column, template: Template = DEFAULT) -> Column:
         rest = F.substr(body, F.lit(len(template.open) + 1))
         at = F.instr(rest, template.middle)
         return F.struct(
-            unescaped(F.substr(rest, F.lit(1), at - 1), template).alias("role"),
+            unescaped_role(F.substr(rest, F.lit(1), at - 1), template).alias("role"),
             unescaped(F.substr(rest, at + len(template.middle)), template).alias("text"),
         )
 

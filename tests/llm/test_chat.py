@@ -86,3 +86,13 @@ def test_query(spark, sf):
         trained = "".join(text for role, text in turns if role == "assistant")
         want = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(trained), hashlib.sha256(trained.encode()).hexdigest())
         assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == want
+
+
+def test_roles_may_hold_what_ends_them(spark):
+    rng = random.Random(4)
+    parts = ["us", "\n", "er", "\\", "\\z", "z", "\\e", "<|im_end|>\n", "<|im_start|>", ": ", ":"]
+    rows = [(c, 0, "".join(rng.choice(parts) for _ in range(rng.randint(0, 5))), "x\ny: z") for c in range(200)]
+    rows.append((200, 0, "us\ner", "x"))
+    for template in (chat.DEFAULT, chat.Template(middle=": ")):
+        got = rows_of(spark, rows, template)
+        assert {c: [tuple(x) for x in r["read"]] for c, r in got.items()} == {c: [(role, text)] for c, _, role, text in rows}
