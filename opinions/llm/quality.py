@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,9 @@ NAMED = ("length", "repeated_words", "odd_word_ends", "word_length", "closed", "
 FLAGS = ("many_upper", "many_repeated", "many_odd_ends", "many_symbols")
 OWN = SPACE + 1 + len(NAMED) + len(FLAGS)
 FEATURES = 1 + 3 * OWN
+SEEN = SPACE + 1 + NAMED.index("seen_before")
+#: Lines of a text that are measured together at most.
+LONG = 20_000
 
 
 def measured(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,6 +214,63 @@ def scores(chain: Chain, texts: list[bytes]) -> np.ndarray:
     return np.clip(np.concatenate(out), 0, 1) if out else np.zeros(0)
 
 
+def long_score(chain: Chain, text: bytes) -> float:
+    """``scores`` of one text with very many lines: features are made for LONG lines at a time, and what stays of a line are a few
+    numbers. Lines seen before are known by a hash."""
+    end = np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text))
+    n = len(end)
+    odds, weight = np.full(n, chain.weights[0]), np.empty(n)
+    own_w, before_w, after_w = chain.weights[1:].reshape(3, OWN)
+    seen: set[int] = set()
+    for a in range(0, n, LONG):
+        b = min(a + LONG, n)
+        first = int(end[a - 1]) + 1 if a else 0
+        own, size, _ = measured([text[first : end[b - 1]]])
+        at = first
+        for i, stop in enumerate(end[a:b].tolist()):
+            if stop > at:
+                known = xxhash.xxh64_intdigest(text[at:stop])
+                own[i, SEEN] = known in seen
+                seen.add(known)
+            at = stop + 1
+        odds[a:b] += own @ own_w
+        odds[a + 1 : b + 1] += (own @ before_w)[: n - a - 1]
+        odds[max(a - 1, 0) : b - 1] += (own @ after_w)[0 if a else 1 :]
+        weight[a:b] = size + 1.0
+    with np.errstate(over="ignore"):
+        good = 1 / (1 + np.exp(-odds))
+    (m00, m01), (m10, m11) = np.exp(chain.pairs).tolist()
+    ahead, out = np.empty(n), np.empty(n)
+    s0, s1 = np.exp(chain.start).tolist()
+    for t in range(n):
+        g = float(good[t])
+        s0, s1 = s0 * (1 - g + 1e-12), s1 * (g + 1e-12)
+        f = s1 / (s0 + s1)
+        ahead[t] = f
+        s0, s1 = (1 - f) * m00 + f * m10, (1 - f) * m01 + f * m11
+    b0 = b1 = 1.0
+    for t in range(n - 1, -1, -1):
+        f, g = float(ahead[t]), float(good[t])
+        out[t] = f * b1 / ((1 - f) * b0 + f * b1)
+        c0, c1 = (1 - g + 1e-12) * b0, (g + 1e-12) * b1
+        b0, b1 = m00 * c0 + m01 * c1, m10 * c0 + m11 * c1
+        b0, b1 = b0 / (b0 + b1), b1 / (b0 + b1)
+    return float(np.clip((out * weight).sum() / weight.sum(), 0, 1))
+
+
+def mixed_scores(chain: Chain, texts: Iterator[bytes]) -> np.ndarray:
+    """Quality of each text, those with more than LONG lines one by one."""
+    out: list[float] = []
+    run: list[bytes] = []
+    for t in texts:
+        if t.count(b"\n") < LONG:
+            run.append(t)
+            continue
+        out += [*scores(chain, run), long_score(chain, t)]
+        run = []
+    return np.array([*out, *scores(chain, run)])
+
+
 def score(chain: Chain, text: Column) -> Column:
     """Quality between 0 and 1 of a text column; null is scored as the empty text."""
 
@@ -217,7 +278,7 @@ def score(chain: Chain, text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tidy()
         for batch in batches:
-            yield pa.array(scores(chain, [t.as_py() or b"" for t in batch.cast(pa.binary())]), pa.float64())
+            yield pa.array(mixed_scores(chain, (t.as_py() or b"" for t in batch.cast(pa.binary()))), pa.float64())
 
     return run(text.cast("string"))
 
@@ -237,6 +298,23 @@ def places(lines: int, most: int, key: int) -> np.ndarray:
     return (start[:, None] + np.arange(run)).ravel()
 
 
+def lines_to_learn(text: bytes, most: int, key: int) -> np.ndarray:
+    """Own features of ``places`` of a text; a text of very many lines is measured LONG lines at a time."""
+    n = text.count(b"\n") + 1
+    at = places(n, most, key)
+    if n <= LONG:
+        return measured([text])[0][at]
+    end = np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text))
+    out = []
+    for a in range(0, n, LONG):
+        b = min(a + LONG, n)
+        some = at[(at >= a) & (at < b)]
+        if len(some):  # of lines seen before, only those nearby are known here
+            own, _, _ = measured([text[int(end[a - 1]) + 1 if a else 0 : end[b - 1]]])
+            out.append(own[some - a])
+    return np.concatenate(out)
+
+
 def fitted(
     docs: DataFrame,
     labels: DataFrame,
@@ -267,8 +345,7 @@ def fitted(
         for batch in batches:
             rows = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(2).cast(pa.binary())):
-                own, _, _ = measured([t.as_py() or b""])
-                rows.append(own[places(len(own), sample_lines, k)].astype("<f8").tobytes())
+                rows.append(lines_to_learn(t.as_py() or b"", sample_lines, k).astype("<f8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=schema.names)
 
     found = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_text")).join(

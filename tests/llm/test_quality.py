@@ -1,6 +1,9 @@
 """Marginals against all labelings, features against plain Python, and accuracy on held-out labels."""
 
 import itertools
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -103,3 +106,43 @@ def test_junk_behind_clean_lines_is_learned(spark, texts):
     chain = quality.fitted(texts(rows), labels)
     bad, good = quality.scores(chain, ["\n".join([junk] * 50).encode(), "\n".join([clean] * 50).encode()])
     assert bad < 0.1 and good > 0.6
+
+
+def random_chain(seed):
+    rng = np.random.default_rng(seed)
+    return quality.Chain(rng.normal(size=quality.FEATURES), rng.normal(size=2), rng.normal(size=(2, 2)))
+
+
+@pytest.mark.parametrize("lines", [1, 2, 3, 4, 5, 6, 7, 50])
+def test_runs_of_lines_score_like_the_whole_text(monkeypatch, lines):
+    """Three lines at a time, with lines that repeat across runs, empty ones, and an end of line at the end."""
+    rng = np.random.default_rng(lines)
+    words = ["", "A good line.", "x!! x!! x!!", "12 34", "\u00e9t\u00e9 ##", "a" * 200]
+    texts = ["\n".join(rng.choice(words, lines)).encode() for _ in range(20)]
+    chain = random_chain(lines)
+    want = quality.scores(chain, texts)
+    own = [quality.lines_to_learn(t, 4, 9) for t in texts]
+    monkeypatch.setattr(quality, "LONG", 3)
+    assert np.allclose([quality.long_score(chain, t) for t in texts], want, atol=1e-9)
+    assert np.allclose(quality.mixed_scores(chain, iter([b"", *texts, b"one"])), [*quality.scores(chain, [b""]), *want, *quality.scores(chain, [b"one"])], atol=1e-9)
+    for t, x in zip(texts, own):
+        some = np.delete(quality.lines_to_learn(t, 4, 9), quality.SEEN, 1)
+        assert np.array_equal(some, np.delete(x, quality.SEEN, 1))
+
+
+def test_a_million_lines_take_little_memory():
+    code = """
+import resource, sys
+import numpy as np
+from opinions.llm import quality
+rng = np.random.default_rng(0)
+chain = quality.Chain(rng.normal(size=quality.FEATURES), rng.normal(size=2), rng.normal(size=(2, 2)))
+text = b"\\n".join(b"line %d" % (i % 700_000) for i in range(1_000_000))
+quality.mixed_scores(chain, iter([b"a text\\n" * 25_000]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+score = quality.mixed_scores(chain, iter([text]))[0]
+print(score, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    score, grown = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert 0 <= float(score) <= 1 and int(grown) < 300
