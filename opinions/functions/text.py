@@ -14,11 +14,20 @@ from pyspark.sql import functions as F
 
 from opinions.rules import EDGE_RUNS, STOPWORD_EXCEPTIONS
 
+# --- Fixed values: the patterns of both cleaning families ----------------------------------------
 WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\t-\r\x{1c}-\x{1f}\x{85}\p{Z}]"
 NOT_SPACE = r"[^\t-\r\x{1c}-\x{1f}\x{85}\p{Z}]"
 PUNCT = r"[!-/:-@\[-`{-~]"
 NOT_PUNCT = r"[^!-/:-@\[-`{-~]"
+REPOST = f"RT @{WORD}*:"
+NAME_OR_AT = f"@{WORD}*"
+NAME = f"@{WORD}+"
+SHORT_URL = "https?://[A-Za-z0-9./]*"
+URL = f"http[^\n]?://{NOT_SPACE}+{SPACE}?"
+DIGITS = r"\p{Nd}+"
+UPPER, LOWER = r"\p{Lu}", r"[\p{Ll}\p{Lt}]"
+# -------------------------------------------------------------------------------------------------
 
 _RUNS = "|".join(
     "".join("\\" + ch for ch in run) for run in sorted(EDGE_RUNS, key=len, reverse=True)
@@ -27,20 +36,20 @@ EDGE_PATTERN = f"^(?:(?:{_RUNS})({NOT_PUNCT}{{2,}}+)|({NOT_PUNCT}{{2,}}+)(?:{_RU
 
 
 def strip_repost(c: Column) -> Column:
-    return F.regexp_replace(c, f"RT @{WORD}*:", "")
+    return F.regexp_replace(c, REPOST, "")
 
 
 def strip_mentions(c: Column, bare_at: bool = True) -> Column:
     """Remove @names; with ``bare_at`` a lone @ goes too."""
-    return F.regexp_replace(c, f"@{WORD}{'*' if bare_at else '+'}", "")
+    return F.regexp_replace(c, NAME_OR_AT if bare_at else NAME, "")
 
 
 def strip_short_urls(c: Column) -> Column:
-    return F.regexp_replace(c, "https?://[A-Za-z0-9./]*", "")
+    return F.regexp_replace(c, SHORT_URL, "")
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, f"http[^\n]?://{NOT_SPACE}+{SPACE}?", "")
+    return F.regexp_replace(c, URL, "")
 
 
 def strip_newlines(c: Column) -> Column:
@@ -60,7 +69,7 @@ def strip_underscores(c: Column) -> Column:
 
 
 def strip_digits(c: Column) -> Column:
-    return F.regexp_replace(c, r"\p{Nd}+", "")
+    return F.regexp_replace(c, DIGITS, "")
 
 
 def clean_social(c: Column) -> Column:
@@ -107,7 +116,7 @@ def scorer_tokens(cleaned: Column) -> Column:
 
 def is_upper(tok: Column) -> Column:
     """Some upper-case letter and no lower-case one."""
-    return tok.rlike(r"\p{Lu}") & ~tok.rlike(r"[\p{Ll}\p{Lt}]")
+    return tok.rlike(UPPER) & ~tok.rlike(LOWER)
 
 
 def mentions_word(c: Column, word: str) -> Column:
