@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,14 +23,15 @@ def read_csv(
     schema: T.StructType,
     columns: Mapping[str, str] | None = None,
     corrupt: str = "_corrupt",
+    split: bool = False,
 ) -> DataFrame:
     """CSV with a header and line breaks inside quoted fields, read by the names in the header.
 
     ``columns`` maps columns of ``schema`` to names in the file; others have their own name. Order does not
     matter, further columns are ignored, absent ones are null, and values that don't fit their type
     are null. Lines that do not fit the header keep their text in ``corrupt``. Files of one path whose headers
-    differ raise an error. A file with multi-line fields cannot be split, so spread the rows with
-    ``spread`` afterwards.
+    differ raise an error. Spark reads a file with multi-line fields in one task; with ``split`` many tasks read it
+    (``csv_records``), to the same rows.
     """
     reader = (
         spark.read.option("header", True)
@@ -42,7 +44,12 @@ def read_csv(
     )
     names = reader.csv(path).columns
     strings = T.StructType([T.StructField(n, T.StringType()) for n in (*names, corrupt)])
-    rows = reader.schema(strings).csv(path)
+    if split:
+        ddl = ", ".join(f"`{n}` string" for n in strings.fieldNames())
+        parsed = F.from_csv("record", ddl, _CSV | {"columnNameOfCorruptRecord": corrupt})
+        rows = csv_records(spark, path, names).select(parsed.alias("r")).select("r.*")
+    else:
+        rows = reader.schema(strings).csv(path)
     source = dict(columns or {})
 
     def column(field: T.StructField) -> Column:
@@ -53,6 +60,70 @@ def read_csv(
     return rows.select(*[column(f) for f in schema.fields], corrupt)
 
 
+_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+
+
+def csv_records(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """record: the CSV records of the files at ``path`` without their headers, read in pieces of files.
+
+    A line break is inside a field if the quotes before it are odd in number. A first scan counts each piece's quotes, which
+    tells whether a piece begins inside a field: a row a piece comes to the driver. The second cuts each piece into
+    records; only records that lie across pieces are put together by a shuffle.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("piece"), "value"
+    )
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    inside: set[tuple[str, int]] = set()
+    last, state = None, 0
+    for r in lines.groupBy("file", "piece").agg((F.sum(odd) % 2).alias("odd")).orderBy("file", "piece").collect():
+        state = state if r["file"] == last else 0
+        if state:
+            inside.add((r["file"], r["piece"]))
+        last, state = r["file"], (state + r["odd"]) % 2
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, begun = None, [], 0  # the piece, lines of the record at hand, and whether it began in this piece
+        names = ["file", "piece", "kind", "record"]
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=_CUT)
+
+        for batch in batches:
+            rows = []
+            for file, piece, value in zip(*(c.to_pylist() for c in batch.columns)):
+                if (file, piece) != here:
+                    if held:
+                        rows.append((*here, 2 if begun else 1, "\n".join(held)))
+                    here, held, begun = (file, piece), [], (file, piece) not in inside
+                    open_quote, top = not begun, piece == 0
+                held.append(value)
+                open_quote ^= value.count('"') % 2
+                if not open_quote:
+                    rows.append((file, piece, 4 if top else 3 if begun else 0, "\n".join(held)))
+                    held, begun, top = [], True, False
+            yield batch_of(rows)
+        if held:
+            yield batch_of([(*here, 2 if begun else 1, "\n".join(held))])
+
+    # Kinds: 0 ends a record of earlier pieces, 1 goes on with it, 2 begins one, 3 is a whole one, 4 a file's header.
+    found = lines.mapInArrow(cut, "file string, piece long, kind int, record string")
+    order = Window.partitionBy("file").orderBy("piece", "kind")
+    parts = found.filter("kind < 3").withColumn("_n", F.count_if(F.col("kind") == 2).over(order))
+    held = parts.groupBy("file", "_n").agg(F.sort_array(F.collect_list(F.struct("piece", "kind", "record"))).alias("p"))
+    across = held.select(F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record"))
+    line = F.regexp_replace("record", "\r$", "")
+    cells = F.from_csv(line, ", ".join(f"c{i} string" for i in range(len(names))), _CSV)
+    same = F.array(*[cells[f"c{i}"] for i in range(len(names))]) == F.array(*[F.lit(n) for n in names])
+    wrong = F.raise_error(F.concat(F.lit("the header is not that of the other files: "), F.col("file"))).cast("boolean")
+    data = F.when(F.col("kind") < 4, True).when(same, False).otherwise(wrong)
+    whole = found.filter("kind > 2").filter(data).select("record")
+    return whole.unionByName(across).select(line.alias("record")).filter("record <> ''")
+
+
+_CUT = pa.schema([("file", pa.string()), ("piece", pa.int64()), ("kind", pa.int32()), ("record", pa.string())])
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

@@ -241,3 +241,33 @@ def test_date_notation_comes_from_the_data(spark):
     assert got == [("2020-02-13", False), ("2020-02-14", False), ("2020-02-15", False), ("2020-04-03", True), ("2020-05-05", False)]
     assert parse_dates(table(["x", None]), "d", "day").filter("day IS NULL").count() == 2
     assert parse_dates(table([]), "d", "day").count() == 0
+
+
+def test_csv_in_pieces(spark, tmp_path):
+    """Records with line breaks across pieces of a few hundred bytes, in several files, against Spark's own reader."""
+    rng = random.Random(12)
+    parts = ["plain", 'say "hi"', "two\nlines", "a,b", "", "x\r\ny", "é😀", "\n\n", "word " * 20, '"']
+    schema_ = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("more", T.StringType())])
+    (tmp_path / "in").mkdir()
+    for f in range(3):
+        rows = [["id", "text", "more"]]
+        rows += [[str(i), "".join(rng.choice(parts) for _ in range(rng.randint(0, 5))), rng.choice(parts)] for i in range(150)]
+        rows[20][1] = "long\n" * 400  # lies across several pieces
+        lines = [",".join('"' + x.replace('"', '""') + '"' if set(x) & set('",\n\r') else x for x in r) for r in rows]
+        (tmp_path / "in" / f"{f}.csv").write_text("\n".join(lines) + ("\n" if f else ""), encoding="utf-8", newline="")
+    path = str(tmp_path / "in")
+    want = values(io.read_csv(spark, path, schema_))
+    assert len(want) == 450
+    assert values(io.read_csv(spark, path, schema_, split=True)) == want
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        pieces = spark.read.text(path).rdd.getNumPartitions()
+        got = values(io.read_csv(spark, path, schema_, split=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert pieces > 50 and got == want
+    (tmp_path / "in" / "9.csv").write_text("id,other,more\n1,2,3\n")
+    with pytest.raises(Exception, match="header"):
+        io.read_csv(spark, path, schema_, split=True).collect()
