@@ -445,7 +445,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, lang: str
     texts = written(encoded(read, frequent, seed))
 
     bound = F.floor(F.lit(1000) * F.col("total") / F.col("n"))  # of doubles: one too low at most
-    frontier = words.join(totals, "lang").join(_cutoffs(words, totals, FIRST), "lang", "left")
+    frontier = words.join(totals, "lang").join(written(_cutoffs(words, totals, FIRST)), "lang", "left")
     frontier = written(frontier.select("h", "n", "lang", bound.alias("bound"), (F.col("n") <= F.coalesce("cutoff", F.lit(0))).alias("first")))
     for first in (True, False):
         last = _last_scores(found, top)
