@@ -47,10 +47,9 @@ def frequent_stems(docs: DataFrame, key: str = "mention_id", text: str = "text",
     """
     rows, steps = docs.count(), 1 << 24
     some = docs if rows <= texts else docs.filter(F.pmod(F.xxhash64(key), F.lit(steps)) < texts * steps // rows)
-    counts = words_of(some, [], text).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = durable(counts)
+    counts = durable(words_of(some, [], text).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return durable(counts.filter(F.col("n") * most >= total).select("word", stem(F.col("word")).alias("stem")))
+    return counts.filter(F.col("n") * most >= total).select("word", stem(F.col("word")).alias("stem"))
 
 
 def bag_of_words(

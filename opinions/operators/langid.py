@@ -124,7 +124,8 @@ def with_scores(rows: DataFrame, wide: DataFrame, table: DataFrame | None, langs
         return lookup_join(grams, wide, {"gram": "gram"}, small=small), {g: F.col(f"lp_{g}") for g in langs}
     rows = rows.join(F.broadcast(table.withColumnRenamed("word", "_word")), F.col("word") == F.col("_word"), "left")
     rest = F.when(F.col("_word").isNull(), word_grams(F.col("word")))
-    grams = rows.select(*others, *[f"w_{g}" for g in langs], F.explode_outer(rest).alias("gram"))
+    grams = rows.select(*others, *[f"w_{g}" for g in langs], rest.alias("rest"))
+    grams = grams.select(*others, *[f"w_{g}" for g in langs], F.explode_outer("rest").alias("gram"))
     joined = lookup_join(grams, wide, {"gram": "gram"}, small=small)
     return joined, {g: F.coalesce(f"w_{g}", f"lp_{g}") for g in langs}
 

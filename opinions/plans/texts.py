@@ -58,9 +58,10 @@ def scored_mentions(
     none = F.lit(None).cast("string")
     said = F.transform("toks", lambda t, i: F.struct((i + 1).cast("int").alias("pos"), t.alias("tok"), none.alias("word")))
     heard = F.transform("words", lambda w: F.struct(F.lit(0).cast("int").alias("pos"), none.alias("tok"), w.alias("word")))
-    rows = tokenized(kept, rules, carry, "text", {"words": letter_runs}).select(
-        *of_text, "toks", F.explode(F.concat(said, heard)).alias("e")
-    )
+    cells = tokenized(kept, rules, carry, "text", {"words": letter_runs}).select(*of_text, "toks", F.concat(said, heard).alias("cells"))
+    # The cells are made before they are exploded, so that the explosion is generated code, which hands the token array on
+    # instead of copying it for every element; concat keeps Spark from testing the cells for emptiness, and so making them twice.
+    rows = cells.select(*of_text, "toks", F.explode(F.concat("cells", F.array().cast(cells.schema["cells"].dataType))).alias("e"))
     rows = rows.select(*of_text, "toks", "e.pos", "e.tok", "e.word").withColumn("low", F.lower("tok"))
     rows = lookup_join(rows, lex, {"low": "token"}, small=True).filter((F.col("pos") == 0) | F.col("valence").isNotNull())
     near = neighbours(rows)
