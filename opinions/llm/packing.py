@@ -26,7 +26,7 @@ CAPACITY = 4096
 #: Id after every document.
 END = 1
 #: Words of each of the two generations whose ids a worker remembers, about 150 bytes each.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: Bytes of a long text that are split into words at once.
 PART = 4_000_000
 
