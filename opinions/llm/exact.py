@@ -11,9 +11,14 @@ from opinions.llm.common import written
 
 #: White space that does not count: space, tab, line feed, vertical tab, form feed, carriage return.
 IGNORED = " \t\n\x0b\x0c\r"
-#: A chunk ends at the end of a sentence once it is LEAST characters long, and at MOST at the latest.
+#: A chunk ends at the end of a sentence once it is LEAST characters long.
 LEAST, MOST = 512, 8192
-CHUNK = rf"(?s).{{{LEAST},{MOST - 1}}}?(?:[.!?]|\z)|.{{1,{MOST}}}"
+ENDS = ".!?\u2026\u3002\uff01\uff1f\u061f\u0964"
+SENTENCES = rf"(?s).{{{LEAST},}}?(?:[{ENDS}]|\z)|.+"
+#: Where none ends within MOST characters, it ends after one of about MARKS windows of WINDOW characters, which their hash
+#: chooses, and after MOST characters only where that finds none. The mark is white space, which no normalised text has.
+WINDOW, MARKS, MARK = 8, 1024, "\n"
+MARKED = rf"(?s)[^{MARK}](?:.{{{LEAST - 1},{MOST - 1}}}?(?:{MARK}|\z)|.{{0,{MOST - 1}}}{MARK}?)"
 
 
 def normalised(text: Column) -> Column:
@@ -24,9 +29,32 @@ def normalised(text: Column) -> Column:
     return kept
 
 
+def marked(run: Column) -> Column:
+    """``run`` with a MARK after every window of WINDOW characters that its hash chooses, wherever the window stands."""
+
+    def mark(letters: Column) -> Column:
+        def ended(letter: Column, i: Column) -> Column:
+            window = F.xxhash64(*[F.get(letters, i - k) for k in range(WINDOW)])
+            return F.when(F.pmod(window, F.lit(MARKS)) == 0, F.concat(letter, F.lit(MARK))).otherwise(letter)
+
+        return F.array_join(F.transform(letters, ended), "")
+
+    return F.transform(F.array(F.split(run, "")), mark)[0]  # the letters are bound once
+
+
 def chunks(text: Column) -> Column:
-    """Content-defined chunks of a normalised text, in order; their concatenation is the text."""
-    return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
+    """Content-defined chunks of a normalised text, in order; their concatenation is the text.
+
+    Sentences decide first. A run of more than MOST characters without the end of one (a list, code, encoded data) is cut
+    by its own characters; so an insertion changes the chunks around it and hardly any later ones.
+    """
+
+    def cut(run: Column) -> Column:
+        pieces = F.regexp_extract_all(marked(run), F.lit(MARKED), F.lit(0))
+        recut = F.transform(pieces, lambda c: F.replace(c, F.lit(MARK), F.lit("")))
+        return F.when(F.length(run) <= MOST, F.array(run)).otherwise(recut)
+
+    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SENTENCES), F.lit(0)), cut))
 
 
 def identifier(chunk: Column) -> Column:
@@ -67,12 +95,11 @@ def deduplicated(
         F.coalesce(F.length(text), F.lit(0)).alias("size"),
         normalised(F.col(text)).alias("norm"),
     )
+    listed = clean.select("id", "size", F.sha2("norm", 256).alias("sha"), chunks(F.col("norm")).alias("recipe"))
+    lists = written(listed.withColumn("recipe", F.transform("recipe", identify)))
     cut = clean.select(F.explode(chunks(F.col("norm"))).alias("chunk"))
-    verified = written(ambiguous(cut.select(identify(F.col("chunk")).alias("h"), "chunk"))).isEmpty()
-    recipe = chunks(F.col("norm"))
-    if verified:
-        recipe = F.transform(recipe, identify)
-    lists = clean.select("id", "size", F.sha2("norm", 256).alias("sha"), recipe.alias("recipe"))
+    if not written(ambiguous(cut.select(identify(F.col("chunk")).alias("h"), "chunk"))).isEmpty():
+        lists = listed
     first = F.min(F.struct((-F.col("size")).alias("size"), F.col("id")))
     groups = written(
         lists.groupBy("recipe")

@@ -62,15 +62,34 @@ def test_empty(spark, texts):
 @pytest.mark.parametrize("length", [0, 1, 511, 512, 513, 8191, 8192, 8193, 30_000])
 def test_chunks_make_up_the_text(spark, length):
     text = "".join("abcdefg."[i % 8] if i % 3000 < 1500 else "x" for i in range(length))
-    df = spark.createDataFrame([(text,)], "t string").select(exact.chunks(F.col("t")).alias("c"))
-    parts = df.first()["c"]
-    assert "".join(parts) == text and all(len(p) <= exact.MOST for p in parts)
+    parts = cut(spark, text)[0]
+    assert "".join(parts) == text and all(0 < len(p) <= exact.MOST for p in parts)
     assert all(len(p) >= exact.LEAST for p in parts[:-1])
 
 
+def cut(spark, *texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r["c"] for r in df.select("i", exact.chunks(F.col("t")).alias("c")).orderBy("i").collect()]
+
+
 def test_chunks_depend_on_content(spark):
     rng = random.Random(2)
     text = "".join(rng.choice("abcdefgh. ") for _ in range(60_000)).replace(" ", "")
-    df = spark.createDataFrame([(text,), ("changed start." + text,)], "t string")
-    first, second = (set(r["c"]) for r in df.select(exact.chunks(F.col("t")).alias("c")).collect())
+    first, second = map(set, cut(spark, text, "changed start." + text))
     assert len(first & second) > 0.5 * len(first)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghij,;(){}", "0123456789abcdef", "\u4e00\u4e8c\u4e09\u56db\u4e94\U0001f600\U0001f601"])
+def test_chunks_without_sentences_depend_on_content(spark, letters):
+    rng = random.Random(3)
+    text = "".join(rng.choice(letters) for _ in range(100_000))
+    parts, moved, inner = cut(spark, text, "new" + text, text[:50_000] + "z" + text[50_000:])
+    assert "".join(parts) == text and "".join(moved) == "new" + text
+    assert 20 < len(parts) < 200 and all(len(p) <= exact.MOST for p in parts)
+    assert len(set(parts) & set(moved)) > 0.8 * len(parts) and len(set(parts) & set(inner)) > 0.8 * len(parts)
+
+
+def test_chunks_of_repeated_characters(spark):
+    texts = ["x" * 100_000, "xy" * 50_000, "a." + "\U0001f600" * 20_000]
+    for text, parts in zip(texts, cut(spark, *texts)):
+        assert "".join(parts) == text and all(0 < len(p) <= exact.MOST for p in parts)
