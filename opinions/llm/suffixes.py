@@ -8,10 +8,11 @@ whose gram occurs again. All passages with one anchor form a strand of up to LEN
    are settled there; one row for each gram and batch is shuffled by the gram's hash, so a gram that
    a third of all documents hold costs its task a row for each batch only.
 2. Grams seen once are dropped. Where all strands of a gram are alike, all but the first are repeats. The
-   rest are sorted: splitters sampled by Spark range-partition them by the suffix at the anchor, each bucket
-   sorts its passages by multikey quicksort, and the first of equal passages stays.
-3. A bucket's end may lie between strands that share a passage. Passages whose bytes from the anchor on begin
-   the bucket's least or greatest suffix are compared once more, across the buckets.
+   rest are sorted: splitters sampled by Spark range-partition them by the suffix at the anchor. Within a bucket Spark
+   brings the strands into the order of their suffixes; run by run, their passages are sorted by multikey quicksort,
+   and the first of equal passages stays.
+3. A run's end may lie between strands that share a passage. Passages whose bytes from the anchor on begin
+   the run's least or greatest suffix are compared once more, across runs and buckets.
 4. The repeats of a document are joined to its text, and the bytes that they cover are removed.
 """
 
@@ -38,8 +39,10 @@ GRAM = 32
 REACH = LENGTH - GRAM + 1
 #: Bytes of a document that are hashed at a time.
 PIECE = 1 << 20
-#: Strands that a bucket sorts, about.
-BUCKET = 30_000
+#: Strands whose passages are sorted together, about.
+RUN = 30_000
+#: Strands of a bucket, about: some 130 MB that Spark sorts, with spilling, and hands on in runs.
+BUCKET = 1_000_000
 #: How far a sort has compared, in steps of eight bytes; the last step overlaps the one before.
 STEPS = (*range(0, LENGTH - 7, 8), LENGTH - 8)
 
@@ -83,14 +86,14 @@ def strands(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def _order(keys: list) -> np.ndarray:
-    """Rank of each key; null first, structs by their fields."""
+    """Rank of each key, the same for equal keys; null first, structs by their fields."""
 
     def sortable(k):
         return tuple(map(sortable, k.values())) if isinstance(k, dict) else (k is not None, k)
 
-    ranks = np.empty(len(keys), np.int64)
-    ranks[sorted(range(len(keys)), key=lambda i: sortable(keys[i]))] = np.arange(len(keys))
-    return ranks
+    keys = [sortable(k) for k in keys]
+    rank = {k: i for i, k in enumerate(sorted(set(keys)))}
+    return np.fromiter((rank[k] for k in keys), np.int64, len(keys))
 
 
 def _place(start: np.ndarray, n: np.ndarray, into: np.ndarray, several: np.ndarray) -> np.ndarray:
@@ -102,6 +105,10 @@ def _place(start: np.ndarray, n: np.ndarray, into: np.ndarray, several: np.ndarr
 START, COUNT = "shiftright(at, 16)", "(shiftright(at, 8) & 255)"
 
 
+def _bytes_at(held: list[bytes], row: np.ndarray, start: np.ndarray, n: np.ndarray, i: int) -> bytes:
+    return held[row[i]][start[i] : start[i] + n[i] + LENGTH - 1]
+
+
 def _strand_rows(rows: DataFrame) -> DataFrame:
     """(h, c, id, at, kind) for all strands; c hashes a strand's bytes. Only strands to be looked up have h and c.
 
@@ -115,9 +122,8 @@ def _strand_rows(rows: DataFrame) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
             rank = _order(ids.to_pylist())
-            parts = []
-            for row, text in enumerate(texts):
-                text = text.as_py()
+            parts, held = [], texts.to_pylist()
+            for row, text in enumerate(held):
                 if len(text) < LENGTH:
                     continue
                 start, n, anchor, h = strands(np.frombuffer(text, np.uint8))
@@ -133,6 +139,8 @@ def _strand_rows(rows: DataFrame) -> DataFrame:
             h, c, row, start, n, into = (x[order] for x in (h, c, row, start, n, into))
             gram = np.concatenate(([True], h[1:] != h[:-1]))
             fresh = gram | np.concatenate(([True], c[1:] != c[:-1]))
+            for i in np.flatnonzero(~fresh).tolist():
+                fresh[i] = _bytes_at(held, row, start, n, i) != _bytes_at(held, row, start, n, i - 1)
             group = np.cumsum(gram) - 1
             several = (np.bincount(group, weights=fresh) > 1)[group]
             kind = np.where(gram, LOOKUP, np.where(fresh, SORT, REPEAT))
@@ -237,9 +245,9 @@ def multikey_sorted(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nd
     return left, group
 
 
-def bucket_repeats(held: list[bytes], start: np.ndarray, into: np.ndarray):
-    """Repeats in a bucket whose strands are in order: (row, from, to) of all but the first of equal passages,
-    and (row, from, passage) of first ones that other buckets may hold too."""
+def run_repeats(held: list[bytes], start: np.ndarray, into: np.ndarray):
+    """Repeats in a run whose strands are in order: (row, from, to) of all but the first of equal passages,
+    and (row, from, passage) of first ones that other runs may hold too."""
     n = np.array([len(s) - LENGTH + 1 for s in held])
     data = np.frombuffer(b"".join(held) + bytes(8), np.uint8)
     base = np.cumsum([0] + [len(s) for s in held[:-1]])
@@ -267,8 +275,22 @@ def bucket_repeats(held: list[bytes], start: np.ndarray, into: np.ndarray):
     return ranges, edges
 
 
-def _sorted_buckets(strand: DataFrame, buckets: int) -> DataFrame:
-    """(id, start, stop, edge): ranges of repeats, and passages at a bucket's ends as ``edge``."""
+def _runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows of all batches in tables of ``size`` rows, the last one shorter."""
+    waiting, rows = [], 0
+    for batch in batches:
+        while rows + batch.num_rows >= size:
+            yield pa.Table.from_batches([*waiting, batch.slice(0, size - rows)])
+            batch, waiting, rows = batch.slice(size - rows), [], 0
+        if batch.num_rows:
+            waiting.append(batch)
+            rows += batch.num_rows
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _sorted_buckets(strand: DataFrame, buckets: int, run_size: int) -> DataFrame:
+    """(id, start, stop, edge): ranges of repeats, and passages at a run's ends as ``edge``."""
     schema = T.StructType(
         [
             strand.schema["id"],
@@ -279,25 +301,25 @@ def _sorted_buckets(strand: DataFrame, buckets: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        table = pa.Table.from_batches(batches)
-        ids = table.column("id").combine_chunks()
-        start = table.column("start").to_numpy()
-        (row, lo, hi), edges = bucket_repeats(table.column("s").to_pylist(), start, table.column("into").to_numpy())
-        rows = np.concatenate((row, np.array([e[0] for e in edges], np.int64))).astype(np.int64)
-        starts = np.concatenate((lo, np.array([e[1] for e in edges], np.int64))).astype(np.int64)
-        stops = np.concatenate((hi, np.array([e[1] + LENGTH for e in edges], np.int64))).astype(np.int64)
-        passages = pa.array([None] * len(row) + [e[2] for e in edges], pa.binary())
-        made = pa.Table.from_arrays(
-            [ids.take(pa.array(rows)), pa.array(starts), pa.array(stops), passages], names=["id", "start", "stop", "edge"]
-        )
-        yield from made.to_batches(max_chunksize=10_000)
+        for table in _runs(batches, run_size):
+            rank = _order(table.column("id").to_pylist())
+            table = table.take(pa.array(np.lexsort((table.column("start").to_numpy(), rank))))
+            ids = table.column("id").combine_chunks()
+            start = table.column("start").to_numpy()
+            (row, lo, hi), edges = run_repeats(table.column("s").to_pylist(), start, table.column("into").to_numpy())
+            rows = np.concatenate((row, np.array([e[0] for e in edges], np.int64))).astype(np.int64)
+            starts = np.concatenate((lo, np.array([e[1] for e in edges], np.int64))).astype(np.int64)
+            stops = np.concatenate((hi, np.array([e[1] + LENGTH for e in edges], np.int64))).astype(np.int64)
+            passages = pa.array([None] * len(row) + [e[2] for e in edges], pa.binary())
+            made = pa.Table.from_arrays(
+                [ids.take(pa.array(rows)), pa.array(starts), pa.array(stops), passages],
+                names=["id", "start", "stop", "edge"],
+            )
+            yield from made.to_batches(max_chunksize=10_000)
 
     # Spark keeps a sample of these keys on the driver, so they are no longer than needed.
-    suffix = F.expr(f"substring(s, into + 1, {LENGTH})")
-    dealt = strand.repartitionByRange(buckets, suffix, F.xxhash64("s")).sortWithinPartitions("id", "start")
+    keyed = strand.withColumns({"suffix": F.expr(f"substring(s, into + 1, {LENGTH})"), "other": F.xxhash64("s")})
+    dealt = keyed.repartitionByRange(buckets, "suffix", "other").sortWithinPartitions("suffix", "other", "id", "start")
     return dealt.select("id", "start", "into", "s").mapInArrow(run, schema)
 
 
@@ -342,7 +364,9 @@ def _cut(texts: DataFrame, ranges: DataFrame) -> DataFrame:
     return joined.select("id", "packed", "ranges").mapInArrow(run, schema)
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, run: int = RUN
+) -> DataFrame:
     """Remove every byte covered by LENGTH bytes that also start earlier in the corpus.
 
     Earlier means in a document with a smaller key, or before in the same document. Passages are judged on
@@ -351,22 +375,22 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     A null text counts as empty; texts under LENGTH bytes have no passage and stay whole. A null key comes
     first. Rows that repeat a key with another text are documents of their own, in the order of a
     hash of their texts; rows that repeat key and text are one document, reported once for each row. Other
-    columns are ignored; an empty table gives no rows. Strands of equal bytes are recognised in a batch by a
-    hash of 64 bits besides that of their gram.
+    columns are ignored; an empty table gives no rows. Strands of a batch are repeats only if their bytes are equal; across
+    batches they count as equal by 128 bits: the hash of their gram and that of all their bytes.
     """
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     odd = not rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR id IS NULL").isEmpty()
     if odd:
         every = rows.select(F.struct("id", F.xxhash64("text").alias("t")).alias("id"), "text")
-        result = _removed(every.dropDuplicates(["id"]), bucket).withColumnRenamed("id", "_id")
+        result = _removed(every.dropDuplicates(["id"]), bucket, run).withColumnRenamed("id", "_id")
         result = every.select("id").join(result, F.col("id") == F.col("_id")).drop("_id")
         result = result.withColumn("id", F.col("id.id"))
     else:
-        result = _removed(rows, bucket)
+        result = _removed(rows, bucket, run)
     return result.withColumnRenamed("id", key)
 
 
-def _removed(rows: DataFrame, bucket: int) -> DataFrame:
+def _removed(rows: DataFrame, bucket: int, run: int) -> DataFrame:
     texts = _packed_texts(rows)
     cut = written(_strand_rows(rows))
     settled = written(_settled(cut.filter(F.col("kind") == LOOKUP).drop("kind")))
@@ -375,7 +399,7 @@ def _removed(rows: DataFrame, bucket: int) -> DataFrame:
     to_sort = strand.filter(F.col("kind") == SORT)
     own = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(own, math.ceil(to_sort.count() / bucket))
-    marks = written(_sorted_buckets(_with_bytes(texts, to_sort), buckets))
+    marks = written(_sorted_buckets(_with_bytes(texts, to_sort), buckets, run))
     edges = marks.filter("edge IS NOT NULL")
     first = edges.groupBy("edge").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
     shared = written(first.filter("n > 1").drop("n"))

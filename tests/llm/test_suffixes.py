@@ -64,10 +64,47 @@ def test_repeated_passages(spark, texts, seed):
     assert result(suffixes.without_repeats(docs)) == sorted(plain(rows), key=repr)
 
 
-def test_tiny_buckets_compare_across_their_ends(spark, texts):
+@pytest.mark.parametrize("bucket, run", [(4, 30_000), (1_000_000, 3), (50, 7), (1_000_000, 1)])
+def test_tiny_buckets_and_runs_compare_across_their_ends(spark, texts, bucket, run):
     rows = corpus(9)
     docs = texts(rows).repartition(7)
-    assert result(suffixes.without_repeats(docs, bucket=4)) == sorted(plain(rows), key=repr)
+    assert result(suffixes.without_repeats(docs, bucket=bucket, run=run)) == sorted(plain(rows), key=repr)
+
+
+def test_runs_cut_batches_anywhere():
+    batches = [pa.RecordBatch.from_pydict({"a": list(range(i, i + n))}) for i, n in ((0, 5), (5, 0), (5, 7), (12, 1))]
+    assert [t.column("a").to_pylist() for t in suffixes._runs(iter(batches), 3)] == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9, 10, 11], [12]]
+    assert [t.num_rows for t in suffixes._runs(iter(batches), 100)] == [13] and list(suffixes._runs(iter(()), 3)) == []
+
+
+def test_equal_hashes_of_other_bytes_are_no_repeat(spark, texts, monkeypatch):
+    rows = corpus(6)
+    monkeypatch.setattr(suffixes.xxhash, "xxh3_64_intdigest", lambda b: 0)
+    docs = texts(rows).coalesce(1)
+    got = [r for b in map_strands(docs) for r in b.to_pylist()]
+    text = {i: t.encode() for i, t in rows}
+    held = {}
+    for r in got:
+        start, n = r["at"] >> 16, r["at"] >> 8 & 255
+        held.setdefault(r["kind"], []).append(text[r["id"]][start : start + n + 99])
+    assert held[suffixes.REPEAT] and set(held[suffixes.REPEAT]) <= set(held[suffixes.LOOKUP]) | set(held[suffixes.SORT])
+
+
+def map_strands(docs):
+    """The strands of one batch, cut in this process so that a patched hash counts."""
+    caught = []
+
+    class Rows:
+        schema = docs.selectExpr("doc_id AS id", "text").schema
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            caught.extend(run(iter(docs.selectExpr("doc_id AS id", "text").toArrow().combine_chunks().to_batches())))
+
+    suffixes._strand_rows(Rows())
+    return caught
 
 
 def test_batches_that_differ_from_scan_to_scan(spark, texts):
