@@ -64,6 +64,37 @@ def test_no_response_and_empty(spark):
     assert revisits.resolved(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_null_dates_and_ids_and_very_long_urls(spark, parts):
+    day = dt.datetime(2024, 1, 1)
+    long = "c.example/" + "x" * 100_000
+    rows = []
+    for url in ("a.example/p", long, "", None):
+        for i, date in ((1, None), (None, day), (None, None), (2, day)):
+            for kind, status, tag in (("response", 200, '"1"'), ("revisit", 304, 'W/"1"')):
+                at = date if kind == "response" or date is None else date + dt.timedelta(days=1)
+                rows.append((None if i is None else 10 * i + (kind == "revisit"), at, url, kind, status, {"etag": tag}, None, None))
+    # responses of one URL carry the same validator, so that ties of null dates and null ids leave only their ids open
+    got = rows_of(revisits.resolved(spark.createDataFrame(rows, SCHEMA), parts=parts))
+    assert len(got) == len(rows)
+    for i, date, url, kind, state, source, status, headers in got:
+        late = date is not None and date > day
+        assert state == "full" if kind == "response" else state in ("resolved", "orphan")
+        assert state != "orphan" or url is None or not late
+        if late and url is not None:
+            assert (state, source, status) == ("resolved", 20, 200)
+        if state == "orphan":
+            assert source is None and status == 304
+
+
+def test_repeated_rows_and_ids(spark):
+    day = dt.datetime(2024, 1, 1)
+    full = (7, day, "u", "response", 200, {"etag": "a", "x": "1"}, None, None)
+    again = (7, day + dt.timedelta(days=1), "u", "revisit", 304, {"etag": "a", "x": "2"}, None, None)
+    rows = [full, full, again, again, again]
+    assert rows_of(revisits.resolved(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
+
+
 def test_canonical_urls(spark):
     same = ["http://www.Example.com:80/a/?b=2&a=1#x", "https://example.com/a?a=1&b=2&utm_source=z", "HTTP://example.com/a/?ref=q&b=2&a=1"]
     other = ["https://example.com/A?a=1&b=2", "not a url", "", None, "https://m.example.com/a"]
