@@ -2,10 +2,12 @@ import itertools
 import random
 import re
 import string
+import unittest.mock
 
 from helpers import values
 from pyspark.sql import functions as F
 
+from opinions.functions import porter
 from opinions.functions import text as x
 from opinions.functions.porter import stem
 from opinions.operators import bow, langid
@@ -181,6 +183,35 @@ def test_language_held_out_accuracy(spark, sf):
     assert joined.agg(F.avg((F.col("pred") == F.col("lang")).cast("double"))).first()[0] > 0.95
 
 
+def test_words_without_a_suffix_are_their_stems(spark):
+    """The short way of ``stem`` says nothing else than the whole algorithm, which a stem table of one row leaves to it."""
+    ends = [*porter.ENDINGS, "ies", "ied", "eed", "sses", "ational", "x", "n", "l", "th", "é", "yy"]
+    words = sorted({a + b for a in ("", "b", "ab", "cond", "hopp", "y", "tionou", "ß") for b in ends} | set(porter.IRREGULAR))
+    df = spark.createDataFrame([(w,) for w in words] + [(None,)], "word string")
+    short = values(df.select("word", stem(F.col("word")).alias("stem")))
+    with unittest.mock.patch.object(porter, "ends_in_suffix", lambda w: F.lit(True)):
+        assert values(df.select("word", stem(F.col("word")).alias("stem"))) == short
+    skipped = df.filter(~porter.ends_in_suffix(F.col("word")))
+    assert 20 < skipped.count() < len(words) and not set(values(skipped)) & {(w,) for w in porter.IRREGULAR}
+
+
+def test_words_are_exploded_by_generated_code(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("doc_id", "mention_id")
+    plans = (bow.bag_of_words(docs), langid.word_counts(docs))
+    for plan in (p._jdf.queryExecution().executedPlan().toString() for p in plans):
+        # A function of elements would make Spark evaluate the explosion, and all above it, without generated code.
+        assert plan.count("Generate explode") == 1 and "lambda" not in plan.split("Generate explode")[1]
+
+
+def test_word_scores_hold_the_most_frequent_words(spark):
+    words = spark.createDataFrame([("x", f"w{i}" + "abcdefghij"[i % 10], 1 + (i % 4 == 0) * i) for i in range(400)], "lang string, word string, c long")
+    wide = langid.wide_profiles(langid.langid_profiles(words), ["x"])
+    for most, n in ((400, 400), (399, 99), (99, 99), (0, 0)):  # 99 words are frequent, the others alike
+        assert langid.word_scores(words, wide, ["x"], most=most).count() == n
+    some = [r["word"] for r in langid.word_scores(words, wide, ["x"], most=30).collect()]
+    assert 20 < len(some) <= 30 and set(some) == {r["word"] for r in words.orderBy(F.desc("c")).limit(len(some)).collect()}
+
+
 def test_bag_with_a_stem_table(spark):
     """The same bag whatever the table holds, and no text in an exchange."""
     rows = [(1, "Running runners ran; flies denied the caresses"), (2, "running running flies"), (3, None), (4, "the 12 @x")]
