@@ -271,3 +271,13 @@ def test_csv_in_pieces(spark, tmp_path):
     (tmp_path / "in" / "9.csv").write_text("id,other,more\n1,2,3\n")
     with pytest.raises(Exception, match="header"):
         io.read_csv(spark, path, schema_, split=True).collect()
+
+
+def test_tasks_of_little_text(spark):
+    rows = [(i % 3 or None, "x" * 50) for i in range(400)] + [(7, None)]
+    df = spark.createDataFrame(rows, "k long, text string").coalesce(1)
+    assert io.in_small_tasks(df, "text", "k", chars=10_000).rdd.getNumPartitions() == 1
+    some = io.in_small_tasks(df.withColumn("text", F.concat("text", F.monotonically_increasing_id())), "text", "k", chars=2_000)
+    held = [r["count"] for r in some.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 401 and len(held) >= 10 and max(held) < 100
+    assert io.in_small_tasks(df.limit(0), "text", "k").count() == 0

@@ -1,5 +1,6 @@
 import time
 import random
+from collections import Counter
 
 import pytest
 from helpers import values
@@ -222,3 +223,14 @@ def test_many_phrases_score_like_few(spark, lexicon):
         seconds[name] = time.perf_counter() - started
     assert rows["few"] == rows["many"]
     assert seconds["many"] < 2 * seconds["few"] + 2
+
+
+def test_phrase_counts(spark):
+    """One string a phrase is grouped, and the phrases are those of the tokens' neighbours."""
+    docs = texts(spark, ["a", "aa bb", "aa bb cc aa bb", "", "éé, 日本 bb  aa bb cc", None, "aa bb cc"])
+    got = sen.phrase_counts(docs)
+    near = [(r["b2"], r["b1"], r["tok"]) for r in sen.token_context(docs, RuleSet()).collect() if r["b1"] is not None]
+    want = Counter((f"{b} {c}", None if a is None else f"{a} {b} {c}") for a, b, c in near)
+    assert values(got, "two", "three", "n") == sorted(((*k, n) for k, n in want.items()), key=repr) and max(want.values()) == 3
+    moved = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line]
+    assert len(moved) == 1 and "said" in moved[0] and "two" not in moved[0] and "three" not in moved[0]
