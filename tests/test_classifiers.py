@@ -89,3 +89,10 @@ def test_forest_of_joint_classes(spark, sf):
     marks = models.QUERIES["nb_joint_class"](spark, sf)
     assert values(got, "mention_id", "label") == values(marks, "mention_id", "label")
     assert {r["prediction"] for r in got.collect()} <= {0, 1, 2, 3, 4}
+
+
+def test_forest_input_is_hashed_once(spark, sf):
+    """What the forest reads, three times before it keeps it, is stored; no reading hashes the words again."""
+    model, test = models.forest(bow.with_terms(t.labelled(spark, sf)))
+    plan = test._jdf.queryExecution().optimizedPlan().toString()
+    assert model.getNumTrees == 200 and "md5" not in plan and "words" not in test.columns
