@@ -224,3 +224,34 @@ def test_bag_with_a_stem_table(spark):
     plan = bow.bag_of_words(docs, stems=stems)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 1 and "text" not in exchanges[0]
+
+
+def test_grams_are_cut_by_generated_code(spark):
+    """The rows of word_grams without functions of elements, which copied every row of a text's words."""
+    words = spark.createDataFrame([("a",), ("ab",), ("çde",), ("𝒜bcd",), ("abab",), ("",), (None,)], "word string")
+    cut = langid.gram_rows(words, ["word"], F.col("word"))
+    want = words.select("word", F.explode_outer(langid.word_grams(F.col("word"))).alias("gram"))
+    assert values(cut) == values(want)
+    wide = spark.createDataFrame([("a", -1.0), ("ab", -2.0)], "gram string, lp_en double")
+    table = spark.createDataFrame([("ab", -9.0)], "word string, w_en double")
+    rows, score = langid.with_scores(words, wide, table, ["en"])
+    assert "lambdafunction" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    sums = rows.groupBy("word").agg(F.sum(score["en"]).alias("s"))
+    assert {r["word"]: r["s"] for r in sums.collect()} == {"a": -1.0, "ab": -9.0, "çde": None, "𝒜bcd": None, "abab": -6.0, "": None, None: None}
+
+
+def test_tokens_of_odd_texts_as_by_their_patterns(spark):
+    """Edges, capitals, lower case and marks are found without a regex a token, to the same results."""
+    texts = ["", " ", "a", "AB", "AB cd", "A bc", "I AM", "İΣ ΑΣ ab", "x'' ab!! !!ab !!ab!! a!b! ..", "ab!\r ab.  .\rab \x85ab?",
+             "?!?ab ab?!?! ab-. #ab 'ab", "12 ab", "1! ?? 𝒜𝒜, Ǆa ǅǅ", "wow!!!!! why? why?? ???"]
+    rows = spark.createDataFrame([(t,) for t in texts], "c string")
+    c = F.col("c")
+    by_pattern = F.transform(x.tokens_min2(c), lambda w: F.when(w.rlike(x.PUNCT), F.regexp_replace(w, x.EDGE_PATTERN, "$1$2")).otherwise(w))
+    got = rows.select("c", by_pattern.alias("old"), x.scorer_tokens(c).alias("new"), x.mixed_case(c).alias("mixed"))
+    lows = got.select("*", F.transform("old", F.lower).alias("low"), x.lower_tokens(F.col("new")).alias("lows"))
+    for r in lows.withColumn("upper", F.size(F.filter("old", x.is_upper))).collect():
+        assert r["new"] == r["old"], r["c"]
+        assert r["mixed"] == (1 <= r["upper"] < len(r["old"])), r["c"]
+        assert r["lows"] == (r["low"] or [""]), r["c"]
+    plan = rows.select(x.mixed_case(c), x.lower_tokens(F.split(c, " ")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
