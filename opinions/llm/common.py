@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import atexit
 import functools
-import os
 import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from opinions.operators.shipping import shipped  # noqa: F401
+
 #: Parts that a group's rows are ranked in; a group of n rows costs its largest task about n / RANK_PARTS rows.
 RANK_PARTS = 1024
 #: Parts that rows which are alike in every column may spread over.
@@ -30,26 +30,6 @@ def _own_folder() -> str:
     return "file://" + folder
 
 
-_SHIPPED: set[str] = set()
-
-
-def shipped(spark: SparkSession) -> None:
-    """Send this package to the session's Python workers, which need not have the repository on their path."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="opinions-llm-"), "opinions.zip")
-    with zipfile.ZipFile(path, "w") as package:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    package.write(full, os.path.relpath(full, os.path.dirname(root)))
-    context.addPyFile(path)  # the driver serves it to the executors
-    _SHIPPED.add(context.applicationId)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``. A local session that names none
     (tests, a laptop) gets a folder of its own; on a cluster a missing setting is an error, because a

@@ -1,16 +1,20 @@
 """Queries of classifiers without an SQL twin."""
 
 import hashlib
+import random
 from collections import Counter
 
 import duckdb
+import pytest
 from helpers import values
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.linalg import Vectors
 
 import __spark_entry__ as entry
 from catalog import models
 from catalog import tables as t
 from check import TABLES
-from opinions.operators import bow
+from opinions.operators import bow, forest
 from opinions.operators import models as m
 from opinions.operators.durable import durable
 from oracle import sql
@@ -96,3 +100,66 @@ def test_forest_input_is_hashed_once(spark, sf):
     model, test = models.forest(bow.with_terms(t.labelled(spark, sf)))
     plan = test._jdf.queryExecution().optimizedPlan().toString()
     assert model.getNumTrees == 200 and "md5" not in plan and "words" not in test.columns
+
+
+def counted(spark, rows, width, terms, most):
+    """Texts of up to ``terms`` of ``width`` features, the first of them in up to ``most`` copies; class 2 of 0 to 3 has none."""
+    rng = random.Random(rows)
+    out = []
+    for i in range(rows):
+        label = rng.choice([0, 1, 1, 3])
+        held = {(rng.randrange(width) + label * 5) % width: float(rng.randint(1, 3)) for _ in range(rng.randrange(terms))}
+        held |= {j: float(rng.randint(1, most)) for j in range(3) if rng.random() < 0.7 - 0.1 * label}
+        out.append((label, Vectors.sparse(width, held)))
+    return durable(spark.createDataFrame(out, ["label", "features"]).repartition(3))
+
+
+def stored(spark, model, path):
+    model.write().save(path)
+    return sorted(map(str, spark.read.parquet(f"{path}/data").collect()))
+
+
+@pytest.mark.parametrize(
+    ("rows", "width", "terms", "most", "trees", "depth", "mb"),
+    [
+        (300, 1 << 16, 30, 2, 6, 5, 256),  # several tables of bins a batch
+        (12_000, 40, 20, 80, 12, 5, 256),  # thresholds from a sample, more values than bins
+        (500, 3_000, 20, 60, 4, 3, 0),  # a group a node
+        (400, 200, 10, 9, 3, 7, 1),
+    ],
+)
+def test_forest_is_the_one_that_spark_grows(spark, tmp_path, rows, width, terms, most, trees, depth, mb):
+    train = counted(spark, rows, width, terms, most)
+    estimator = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, maxMemoryInMB=mb)
+    own, theirs = forest.fit(train, estimator), estimator.fit(train)
+    assert stored(spark, own, str(tmp_path / "own")) == stored(spark, theirs, str(tmp_path / "theirs"))
+    assert (own.numFeatures, own.numClasses, own.getNumTrees, own.getMaxDepth()) == (width, 4, trees, depth)
+    assert values(own.transform(train), "label", "prediction") == values(theirs.transform(train), "label", "prediction")
+
+
+def test_forest_holds_terms_and_not_features(spark, monkeypatch):
+    """A training text takes bytes for its terms, whatever the number of features; Spark's own trainer, which holds all of
+    them for each text, gets none of the texts."""
+    train = counted(spark, 60, 1 << 15, 12, 2)
+    fitted = []
+    plain = RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: (fitted.append(df.first()["features"].size), plain(self, df, *a))[1])
+    model = m.random_forest(train, trees=7)
+    assert fitted == [1] and model.numFeatures == 1 << 15
+    cuts = forest.thresholds(train, 1 << 15, 60, 32, 42)
+    texts = forest.bagged_texts(train, "label", cuts, 7, 42).collect()
+    assert sum(len(r["idx"]) + len(r["bins"]) for r in texts) <= 5 * sum(r["features"].numNonzeros() for r in train.collect())
+    assert len(texts) == 60 and {len(r["bag"]) for r in texts} == {7}
+
+
+def test_forest_of_dense_features_and_refusals(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i % 3, Vectors.dense([float(rng.randrange(4) + (i % 3) * (j == 2)) for j in range(9)])) for i in range(200)]
+    train = durable(spark.createDataFrame(rows, ["label", "features"]))
+    estimator = RandomForestClassifier(numTrees=5, seed=2)
+    both = [stored(spark, f, str(tmp_path / str(i))) for i, f in enumerate((forest.fit(train, estimator), estimator.fit(train)))]
+    assert both[0] == both[1]
+    with pytest.raises(ValueError, match="below zero"):
+        forest.fit(spark.createDataFrame([(0, Vectors.dense([-2.0])), (1, Vectors.dense([1.0]))], ["label", "features"]), estimator)
+    with pytest.raises(Exception, match="empty"):
+        forest.fit(train.limit(0), estimator)
