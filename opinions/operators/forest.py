@@ -28,8 +28,8 @@ if TYPE_CHECKING:  # Python workers read this module, too, and need not load Spa
 #: Rows that Spark draws at least to find thresholds.
 SAMPLE = 10_000
 EPSILON = float(np.finfo(float).eps)
-#: Cells of a worker's dense table of bins, and candidates that it compares at once.
-CELLS, CANDIDATES = 1 << 23, 1 << 20
+#: Cells of a worker's tables of bins and weights, and candidates that it compares at once.
+CELLS, CANDIDATES = 1 << 23, 1 << 16
 #: Tasks of a scan at most, or four a core: each adds up its counts before they are shuffled.
 SCAN_TASKS = 64
 
@@ -185,12 +185,15 @@ def _vectors(column: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """f, v, n: how often a batch's vectors have a value other than zero of a feature."""
     for batch in batches:
-        for part in batch.column(0), :
-            _, idx, values = _vectors(part)
-            kept = values != 0
-            pairs, n = np.unique(np.rec.fromarrays([idx[kept].astype(np.int32), values[kept]], names="f,v"), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs["f"]), pa.array(pairs["v"]), pa.array(n, pa.int64())], ["f", "v", "n"])
+        _, f, v = _vectors(batch.column(0))
+        order = np.lexsort((v, f))
+        order = order[v[order] != 0]
+        f, v = f[order].astype(np.int32), v[order]
+        first = np.flatnonzero(np.concatenate([[True], (f[1:] != f[:-1]) | (v[1:] != v[:-1])])[: len(f)])
+        n = np.diff(np.append(first, len(f)))
+        yield pa.RecordBatch.from_arrays([pa.array(f[first]), pa.array(v[first]), pa.array(n, pa.int64())], ["f", "v", "n"])
 
 
 def _cuts(values: np.ndarray, n: np.ndarray, rows: float, splits: int) -> list[float]:
@@ -330,51 +333,52 @@ def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
 def _summed(batches: Iterator[pa.RecordBatch], g: Group) -> Iterator[pa.RecordBatch]:
     """SUMS of a task's texts; at and n are the sums above zero of a node, by place in its own part of the layout."""
     begins, node_at = g.layout()
+    count, width = len(g.tree), len(g.splits)
     order = np.argsort(g.subset.ravel(), kind="stable")
-    asked = np.searchsorted(g.subset.ravel()[order], np.arange(len(g.splits) + 1))  # by feature: the places that ask for it
-    places = (order // g.subset.shape[1]).astype(np.int32)
-    begin_of, tree_of = begins.ravel()[order], g.tree[places]
-    sums, totals = np.zeros(node_at[-1], np.int64), np.zeros((len(g.tree), g.classes), np.int64)
-    width, step = len(g.splits), max(1, CELLS // len(g.splits))
-    dense = np.zeros((step, width), np.uint8)
-    roots = np.arange(g.trees)
+    asked = np.searchsorted(g.subset.ravel()[order], np.arange(width + 1))  # by feature: the places that ask for it
+    places, begin_of = order // g.subset.shape[1], begins.ravel()[order]
+    sums, totals = np.zeros(node_at[-1], np.int64), np.zeros(count * g.classes, np.int64)
+    step = max(1, min(CELLS // width, CELLS // count))
+    dense, weight = np.zeros(step * width, np.uint8), np.zeros(step * count, np.uint8)  # by text, of each feature and of each place
     for batch in batches:
         labels = batch.column(0).to_numpy()
         starts, idx = _flat(batch.column(1), np.int32)
         bins = _flat(batch.column(2), np.uint8)[1]
         bags = _flat(batch.column(3), np.uint8)[1].reshape(-1, g.trees)
         for a in range(0, len(labels), step):
-            b = min(a + step, len(labels))
-            label, bag = labels[a:b], bags[a:b]
-            f, up = idx[starts[a] : starts[b]], bins[starts[a] : starts[b]]
-            doc = np.repeat(np.arange(b - a), np.diff(starts[a : b + 1]))
-            dense[doc, f] = up
-            node = np.tile(roots, (b - a, 1))
-            while True:
-                asks = g.feature[node]
-                if not (inner := asks >= 0).any():
-                    break
-                row, tree = np.nonzero(inner)
-                at = node[row, tree]
-                node[row, tree] = g.left[at] + (dense[row, g.feature[at]] > g.cut[at])
-            dense[doc, f] = 0
-            here = np.where(bag > 0, g.place[node], -1)
-            row, tree = np.nonzero(here >= 0)
-            np.add.at(totals, (here[row, tree], label[row]), bag[row, tree].astype(np.int64))
+            texts = np.arange(len(labels[a : a + step]))
+            label, bag = labels[a : a + step].astype(np.int64), bags[a : a + step].ravel()
+            terms = slice(starts[a], starts[a + len(texts)])
+            f, up, doc = idx[terms].astype(np.int64), bins[terms], np.repeat(texts, np.diff(starts[a : a + len(texts) + 1]))
+            cells = doc * width + f
+            dense[cells] = up
+            drawn = np.flatnonzero(bag)
+            who, node = drawn // g.trees, drawn % g.trees
+            while len(on := np.flatnonzero((asks := g.feature[node]) >= 0)):
+                at = node[on]
+                node[on] = g.left[at] + (dense[who[on] * width + asks[on]] > g.cut[at])
+            dense[cells] = 0
+            here = g.place[node]
+            on = np.flatnonzero(here >= 0)
+            here, who, drawn = here[on], who[on], bag[drawn[on]]
+            totals += np.bincount(here * g.classes + label[who], drawn, len(totals)).astype(np.int64)
+            held = who * count + here
+            weight[held] = drawn
             n = asked[f + 1] - asked[f]
             ends = np.cumsum(n)
             lo = 0
             while lo < len(f):  # as many terms as have about CANDIDATES places that ask for them
                 hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CANDIDATES, side="right")))
-                some = n[lo:hi]
-                term = np.repeat(np.arange(lo, hi), some)
-                near = np.arange(len(term)) + np.repeat(asked[f[lo:hi]] - (np.cumsum(some) - some), some)
-                hit = np.flatnonzero(here[doc[term], tree_of[near]] == places[near])
-                term, near = term[hit], near[hit]
-                who = doc[term]
-                at = begin_of[near] + (up[term].astype(np.int64) - 1) * g.classes + label[who]
-                np.add.at(sums, at, bag[who, tree_of[near]].astype(np.int64))
+                some, upto = n[lo:hi], ends[lo:hi] - ends[lo] + n[lo]
+                near = np.arange(upto[-1]) + np.repeat(asked[f[lo:hi]] - upto + some, some)
+                w = weight[np.repeat(doc[lo:hi] * count, some) + places[near]]
+                hit = np.flatnonzero(w)
+                term = lo + np.searchsorted(upto, hit, side="right")
+                at = begin_of[near[hit]] + (up[term].astype(np.int64) - 1) * g.classes + label[doc[term]]
+                np.add.at(sums, at, w[hit].astype(np.int64))
                 lo = hi
+            weight[held] = 0
+    totals = totals.reshape(count, g.classes)
     rows = []
     for p in np.flatnonzero(totals.any(axis=1)).tolist():
         part = sums[node_at[p] : node_at[p + 1]]

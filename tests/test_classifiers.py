@@ -163,3 +163,12 @@ def test_forest_of_dense_features_and_refusals(spark, tmp_path):
         forest.fit(spark.createDataFrame([(0, Vectors.dense([-2.0])), (1, Vectors.dense([1.0]))], ["label", "features"]), estimator)
     with pytest.raises(Exception, match="empty"):
         forest.fit(train.limit(0), estimator)
+
+
+def test_hashed_arrays_with_gaps(spark):
+    docs = spark.createDataFrame([(["a", None, "é", "a"],), ([None],), ([],), (["b"],)], "words array<string>").coalesce(1)
+    got = [r["features"] for r in m.hashed(docs, 32).collect()]
+    want = [Counter(bucket_of(t, 32) for t in terms) for terms in (["a", "é", "a"], [], [], ["b"])]
+    assert [dict(zip(v.indices.tolist(), v.values.tolist())) for v in got] == want and {v.size for v in got} == {32}
+    plan = m.hashed(docs, 32)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "ArrowEvalPython" in plan
