bag_of_words: texts go by their key into small tasks, and their words are not shuffled

Symptom: bag_of_words spills when a core has less than some 350 MB: 403 MB on 0.10 GB of documents with 8 local cores, a heap of 1.2 GB and 12 shuffle partitions.
Evidence: the task that reads texts keeps every (text, term) pair until its end, 353 MB on a 16 MB piece, though hardly any pair comes twice; then all pairs are shuffled and held again (168 MB in a task), 181 MB spilled in the first stage and 223 MB in the second.
Fix: a count of the keys tells which texts have theirs to themselves; these move by key into tasks of 4 million characters, whose number is measured, and are grouped there without a second shuffle. Texts that share a key, or have none, are combined and shuffled by key and term as before.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 1118 -> 927 s, shuffle 2.34 -> 1.09 GB, spill 1.87 -> 0.00 GB, read 1.94 -> 2.92 GB, longest task 75 -> 5 s, most memory of a task 873 -> 169 MB; at 6 GB of input CPU 5709 -> 4773 s, shuffle 14.15 -> 6.63 GB, spill 11.38 -> 0.00 GB, read 11.81 -> 17.74 GB, longest task 105 -> 5 s, most memory of a task 873 -> 237 MB; with hot keys, at 1 GB of input CPU 319 -> 335 s, shuffle 0.52 -> 0.20 GB, spill 0.00 -> 0.00 GB, read 0.36 -> 0.55 GB, longest task 17 -> 6 s, most memory of a task 404 -> 135 MB.

@@ -16,7 +16,7 @@ from opinions.operators import sentiment as sen
 from opinions.operators.durable import durable, shared_folder
 from opinions.plans import texts as plan
 from opinions.sources import profiles
-from opinions.sources.io import in_small_tasks
+from opinions.sources.io import gathered, in_small_tasks
 
 QUERIES = {}
 KEY = ["mention_id"]
@@ -258,7 +258,12 @@ def stem_vocab(spark, d):
 @query
 def bag_of_words(spark, d):
     texts = docs(spark, d)
-    return bow.bag_of_words(texts, stems=bow.frequent_stems(texts))
+    stems = bow.frequent_stems(texts)
+    alone, others = bow.by_sharing(texts, KEY)
+    bag = bow.bag_of_words(gathered(alone, "text", *KEY), stems=stems)
+    if others is None:
+        return bag
+    return bag.unionByName(bow.bag_of_words(in_small_tasks(others, "text", *KEY), stems=stems))
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinions.functions.porter import stem
 from opinions.functions.text import bow_pieces, drop_stopwords, exploded, telling
 from opinions.operators.durable import durable
+from opinions.operators.joins import fits_broadcast
 
 
 def english_stopwords() -> list[str]:
@@ -33,6 +34,22 @@ def words_of(docs: DataFrame, keys: Sequence[str], text: str = "text", stopwords
     return pieces.filter(telling(F.col("word"), stopwords))
 
 
+def by_sharing(docs: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The texts that have their key to themselves, and those whose key several rows have (null is a key), if there are any.
+
+    What is counted for a text of the first kind is whole. Only keys are shuffled to tell, unless the shared ones are too many
+    to broadcast: then a text moves once, by its key.
+    """
+    names = [f"_key{i}" for i in range(len(keys))]
+    rows = docs.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("_rows"))
+    shared = durable(rows.filter("_rows > 1").drop("_rows"))
+    if shared.isEmpty():
+        return docs, None
+    side = F.broadcast(shared) if fits_broadcast(shared) else shared
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    return docs.join(side, same, "left_anti"), docs.join(side, same, "left_semi")
+
+
 def stem_vocabulary(words: DataFrame) -> DataFrame:
     """word, stem for each distinct word."""
     return words.select("word").distinct().withColumn("stem", stem(F.col("word")))

@@ -17,6 +17,8 @@ from opinions.rules import REGION_CODES, REGION_WITHOUT_ROW
 SMALL_PIECES = 4
 #: Characters of text in a task of ``in_small_tasks``.
 TASK_CHARS = 1 << 24
+#: Characters of text in a task of ``gathered``.
+GROUP_CHARS = 1 << 22
 
 
 def read_csv(
@@ -160,6 +162,16 @@ def in_small_tasks(df: DataFrame, text: str, *keys: str, chars: int = TASK_CHARS
     return spread(df, -(-whole // chars), *keys, text)
 
 
+def gathered(df: DataFrame, text: str, *keys: str, chars: int = GROUP_CHARS) -> DataFrame:
+    """``df`` in tasks of about ``chars`` characters of text, with the rows of a key in one task.
+
+    Groups of these keys and further columns are then made without another shuffle, so a text moves instead of all that is made
+    of it. The number of tasks is measured; the keys should be of few rows each.
+    """
+    whole = df.agg(F.sum(F.length(text))).first()[0] or 0
+    return spread(df, max(1, -(-whole // chars)), *keys)
+
+
 def write_scored(df: DataFrame, path: str, by: str = "subject", mode: str = "overwrite", rows_per_file: int = 2_000_000) -> None:
     """Write rows in a folder for each value of ``by``, in files of about ``rows_per_file`` rows.
 

@@ -281,3 +281,13 @@ def test_tasks_of_little_text(spark):
     held = [r["count"] for r in some.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(held) == 401 and len(held) >= 10 and max(held) < 100
     assert io.in_small_tasks(df.limit(0), "text", "k").count() == 0
+
+
+def test_gathered_keeps_a_key_together_in_bounded_tasks(spark):
+    df = spark.range(200).select((F.col("id") % 50).alias("k"), F.repeat(F.lit("x"), 100).alias("text"))
+    some = io.gathered(df, "text", "k", chars=2_000)
+    assert some.rdd.getNumPartitions() == 10
+    tasks = some.withColumn("p", F.spark_partition_id()).groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p").alias("p"))
+    assert values(tasks, "n", "p") == [(4, 1)] * 50
+    assert io.gathered(df.limit(0), "text", "k").count() == 0
+    assert io.gathered(df, "text", "k").rdd.getNumPartitions() == 1

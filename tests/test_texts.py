@@ -4,13 +4,16 @@ import re
 import string
 import unittest.mock
 
+import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
+from catalog import texts as catalog
 from opinions.functions import porter
 from opinions.functions import text as x
 from opinions.functions.porter import stem
 from opinions.operators import bow, langid
+from opinions.sources import io
 
 SAMPLES = [
     "RT @name: hi", "@é1 x", "http://a.b/c?d=e-f x", "two\nlines", "snake_case", "don't stop", "covid19 9lives",
@@ -255,3 +258,29 @@ def test_tokens_of_odd_texts_as_by_their_patterns(spark):
         assert r["lows"] == (r["low"] or [""]), r["c"]
     plan = rows.select(x.mixed_case(c), x.lower_tokens(F.split(c, " ")))._jdf.queryExecution().optimizedPlan().toString()
     assert "lambdafunction" not in plan
+
+
+def documents(spark, folder, rows):
+    """A folder with the documents that the queries read, from (doc_id, text), in several files."""
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s1"), "n_chars": F.length("text").cast("long")}
+    )
+    df.repartition(8).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+ODD_TEXTS = ["Cats cat running, runs runs!", "the cat cat the not", "", None, "a I 12", "don't _ x''", "zz " * 500 + "éé aa", "cats"]
+#: Every text has a key of its own; some share one, or have none; all share one.
+SHARING = [(1, 2, 3, 4, 6, 7, 8, 9), (None, 2, None, 4, 2, 6, 4, 8), (5,) * 8]
+
+
+@pytest.mark.parametrize("keys", SHARING)
+def test_bag_needs_no_shuffle_of_words(spark, tmp_path, keys):
+    """Texts with a key of their own move by the key, and what is made of them does not; rows that share a key, or have none, are added."""
+    d = documents(spark, tmp_path, list(zip(keys, ODD_TEXTS)))
+    with unittest.mock.patch.object(io, "SMALL_PIECES", 0):  # as for a large input, which is not dealt out by id beforehand
+        docs, got = catalog.docs(spark, d), catalog.QUERIES["bag_of_words"](spark, d)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "term" in line]
+    assert len(moved) == (len(set(keys)) < len(keys))
+    assert values(got, "mention_id", "term", "n") == values(bow.bag_of_words(docs), "mention_id", "term", "n")
