@@ -111,10 +111,10 @@ def drop_stopwords(words: Column, stopwords: list[str]) -> Column:
     return F.filter(words, lambda w: telling(w, stopwords))
 
 
-def exploded(pieces: Column) -> Column:
+def exploded(pieces: Column, of: str = "string") -> Column:
     """The elements of an array, in rows. Without functions of elements in it, the explosion is generated code; concat keeps
     Spark from testing the array for emptiness, and so making it twice."""
-    return F.explode(F.concat(pieces, F.array().cast("array<string>")))
+    return F.explode(F.concat(pieces, F.array().cast(f"array<{of}>")))
 
 
 def tokens_min2(c: Column) -> Column:

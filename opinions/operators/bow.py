@@ -27,11 +27,23 @@ def terms_column(text: Column, stopwords: Sequence[str] | None = None, stems: bo
     return F.transform(kept, stem) if stems else kept
 
 
-def words_of(docs: DataFrame, keys: Sequence[str], text: str = "text", stopwords: Sequence[str] | None = None) -> DataFrame:
-    """One row per remaining word of a text, not stemmed."""
+def words_of(
+    docs: DataFrame, keys: Sequence[str], text: str = "text", stopwords: Sequence[str] | None = None, counted: bool = False
+) -> DataFrame:
+    """One row per remaining word of a text, not stemmed. If ``counted``, one row per different word, with its count ``n``: a text's
+    words are sorted in its row, and what lies between the ends of two runs of equal words is counted."""
     stopwords = english_stopwords() if stopwords is None else stopwords
-    pieces = docs.select(*keys, exploded(bow_pieces(F.coalesce(text, F.lit("")))).alias("word"))
-    return pieces.filter(telling(F.col("word"), stopwords))
+    pieces = bow_pieces(F.coalesce(text, F.lit("")))
+    if not counted:
+        return docs.select(*keys, exploded(pieces).alias("word")).filter(telling(F.col("word"), stopwords))
+    texts = docs.select(*keys, F.sort_array(pieces).alias("_words"))
+    # The places after the last word of each run; after the text's last word there is none, so null.
+    ends = F.filter(F.sequence(F.lit(1), F.size("_words")), lambda i: ~F.get("_words", i).eqNullSafe(F.get("_words", i - 1)))
+    runs = texts.select(*keys, "_words", ends.alias("_ends"))
+    places = runs.select(*keys, "_words", "_ends", exploded(F.sequence(F.lit(0), F.size("_ends") - 1), "int").alias("_run"))
+    end, start = F.get("_ends", F.col("_run")), F.coalesce(F.get("_ends", F.col("_run") - 1), F.lit(0))
+    rows = places.select(*keys, F.get("_words", end - 1).alias("word"), (end - start).cast("long").alias("n"))
+    return rows.filter(telling(F.col("word"), stopwords))
 
 
 def by_sharing(docs: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:

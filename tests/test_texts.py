@@ -284,3 +284,23 @@ def test_bag_needs_no_shuffle_of_words(spark, tmp_path, keys):
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "term" in line]
     assert len(moved) == (len(set(keys)) < len(keys))
     assert values(got, "mention_id", "term", "n") == values(bow.bag_of_words(docs), "mention_id", "term", "n")
+
+
+def test_words_are_counted_in_the_row(spark):
+    """A text's word counts need no aggregation, whose table would hold the words of all texts of a task."""
+    docs = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "mention_id long, text string")
+    plain = bow.words_of(docs, ["mention_id"]).groupBy("mention_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = bow.words_of(docs, ["mention_id"], counted=True)
+    assert values(counted, "mention_id", "word", "n") == values(plain, "mention_id", "word", "n")
+    assert "Aggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert (6, "zz", 500) in values(counted, "mention_id", "word", "n")
+
+
+@pytest.mark.parametrize("keys", SHARING)
+def test_stopword_filter_adds_up_shared_keys_only(spark, tmp_path, keys):
+    d = documents(spark, tmp_path, list(zip(keys, ODD_TEXTS)))
+    got = catalog.QUERIES["stopword_filter"](spark, d)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Aggregate" in plan) == (len(set(keys)) < len(keys))
+    want = bow.words_of(catalog.docs(spark, d), ["mention_id"]).groupBy("mention_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    assert values(got, "mention_id", "word", "n") == values(want, "mention_id", "word", "n")
